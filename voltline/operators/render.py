@@ -90,9 +90,9 @@ def write_report_files(lines: DataFrame, out_dir: str, newline: str = "\n") -> D
 
     def _write(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
+        from voltline.session import open_filesystem
 
-        filesystem, root = pafs.FileSystem.from_uri(out if "://" in out else "file://" + out)
+        filesystem, root = open_filesystem(out)
         filesystem.create_dir(root, recursive=True)
         current, stream, count = None, None, 0
         for pdf in batches:

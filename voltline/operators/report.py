@@ -134,8 +134,7 @@ class ParsedReport:
     def strings(self, layout: Layout | int, lineage: bool = True) -> DataFrame:
         """All-string rows of one layout, from files whose status is ok; NULL markers are NULL."""
         lay = layout if isinstance(layout, Layout) else self.layouts[layout]
-        good_files = self.file_status().filter(F.col("status") == STATUS_OK).select("source_file")
-        secs = self.sections.filter(F.col("layout_id") == lay.layout_id).join(good_files, "source_file", "left_semi")
+        secs = self.sections.filter((F.col("layout_id") == lay.layout_id) & F.col("file_ok"))
         rows = self._data_with_sections(secs.select("source_file", "h_pos", "n_pos"))
         schema = ", ".join(f"c{i} string" for i in range(lay.width))
         parsed = rows.select(
@@ -167,7 +166,8 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     hdrs = F.array_sort("hdrs")
     if sections == "last":
         sec = files.filter(F.size("hdrs") > 0).select(
-            "source_file", F.element_at(hdrs, -1).alias("h"), F.lit(None).alias("nxt")
+            "source_file", F.element_at(hdrs, -1).alias("h"),
+            F.lit(None).cast("struct<pos:struct<b:bigint,l:bigint>,header:string>").alias("nxt")
         )
     else:
         sec = files.select("source_file", hdrs.alias("hs")).select(
@@ -206,5 +206,13 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     )
     # a section without D lines does not fail a file that has data elsewhere
     rank = F.when(F.col("rows").isNull(), F.lit(None)).otherwise(rank)
-    parsed.sections = sec.withColumn("status_rank", rank).withColumn("rows", F.coalesce("rows", F.lit(0))).checkpoint()
+    sec = sec.withColumn("status_rank", rank).withColumn("rows", F.coalesce("rows", F.lit(0)))
+    # a file loads only when every section of it that has rows is ok (and it has both kinds of lines)
+    file_rank = sec.groupBy("source_file").agg(F.min("status_rank").alias("file_rank"))
+    ok_files = parsed.files.filter((F.col("header_lines") > 0) & (F.col("data_lines") > 0)).select("source_file")
+    file_rank = file_rank.join(ok_files, "source_file", "left_semi")
+    sec = sec.join(file_rank, "source_file", "left").withColumn(
+        "file_ok", F.coalesce(F.col("file_rank") == _STATUS_RANK[STATUS_OK], F.lit(False))
+    ).drop("file_rank")
+    parsed.sections = sec.checkpoint()
     return parsed

@@ -49,3 +49,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (never a machine-local path on a cluster)."""
     return f"{checkpoint_root(spark)}/voltline-scratch/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def open_filesystem(path: str):
+    """(pyarrow filesystem, path inside it) for a local path, a ``file:`` URI or any URI pyarrow knows."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        local = "/" + path[len("file:"):].lstrip("/")
+        return pafs.LocalFileSystem(), local.rstrip("/")
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path.rstrip("/"))
+    return pafs.LocalFileSystem(), path.rstrip("/")

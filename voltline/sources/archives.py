@@ -102,9 +102,9 @@ def write_zip_archives(rows: DataFrame, out_dir: str) -> DataFrame:
 
     def _write(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
+        from voltline.session import open_filesystem
 
-        filesystem, root = pafs.FileSystem.from_uri(out if "://" in out else "file://" + out)
+        filesystem, root = open_filesystem(out)
         filesystem.create_dir(root, recursive=True)
         state = {"name": None, "zip": None, "stream": None, "inner": None, "ibuf": None, "izip": None, "n": 0}
 
