@@ -75,7 +75,7 @@ def match_table(file_name: Column, tables: Sequence[str]) -> Column:
         | file_name.contains(F.concat(F.lit(catalog.ARCHIVE_MARKER), t, F.lit("#")))
         | file_name.contains(F.concat(F.lit(catalog.ARCHIVE_MARKER_ENCODED), t, F.lit("%23"))),
     )
-    return F.element_at(hit, 1)
+    return F.try_element_at(hit, F.lit(1))
 
 
 def include_filter(file_name: Column, patterns: Column | Sequence[str]) -> Column:

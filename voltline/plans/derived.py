@@ -278,3 +278,275 @@ def q_anti_join_new(spark, sf_dir):
 
 def q_pk_audit(spark, sf_dir):
     return pk_audit(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# --- ledger and acquisition planning -----------------------------------------------------------
+
+BASE_URL = "https://example.test/MMSDM/"
+
+
+def _named_periods(spark, sf_dir):
+    """Derived file names with their route (decoded, lower case) and strict period."""
+    n = named_files(spark, sf_dir)
+    p = period_strict("file_name")
+    return n.select(
+        "o_orderkey", "o_orderstatus", "file_name",
+        F.lower(route_table("file_name", decode=True)).alias("table_name"),
+        p["year"].alias("year"), p["month"].alias("month"),
+    )
+
+
+def _ledger_from(named: DataFrame, status: str) -> DataFrame:
+    return named.filter(F.col("o_orderstatus") == status).select(
+        "table_name", "year", "month", F.col("file_name").alias("source_file"),
+        F.lit(0).cast("bigint").alias("rows_loaded"), F.localtimestamp().alias("loaded_at"),
+    )
+
+
+def q_ledger_skip(spark, sf_dir):
+    """F8 with the original month grain: ledger from finished orders' files, candidates from all files."""
+    from voltline.operators.ledger import ledger_skip
+
+    named = _named_periods(spark, sf_dir)
+    cand = named.select(F.col("file_name").alias("source_file"), "table_name", "year", "month").distinct()
+    kept = ledger_skip(cand, _ledger_from(named, "F"), grain="month")
+    return kept.select(F.col("source_file").alias("file_name"), "table_name", "year", "month")
+
+
+def q_ledger_mark(spark, sf_dir):
+    """K3: open orders' files are marked in a ledger that already holds the finished ones."""
+    from voltline.operators.ledger import ledger_mark
+
+    named = _named_periods(spark, sf_dir)
+    path = scratch_dir(spark, "ledger")
+    _ledger_from(named, "F").dropDuplicates(["table_name", "year", "month", "source_file"]).write.parquet(path)
+    new = ledger_mark(spark, path, _ledger_from(named, "O"))
+    return new.select("table_name", "year", "month", "source_file")
+
+
+def _orders_grid(spark, sf_dir):
+    from voltline.plans.acquire import period_grid
+
+    o = table(spark, sf_dir, "orders")
+    bounds = o.agg(
+        F.min(F.year("o_orderdate")).alias("s"), F.max(F.year("o_orderdate")).alias("e"),
+        F.collect_set(F.month("o_orderdate")).alias("ms"),
+    )
+    return period_grid(spark, F.col("s"), F.col("e"), F.col("ms"), BASE_URL, current_year=2026, source=bounds)
+
+
+def q_period_grid(spark, sf_dir):
+    """F12 + F13: month grid spanning the orders' years and months."""
+    return _orders_grid(spark, sf_dir)
+
+
+def q_period_completeness(spark, sf_dir):
+    """F6 + F9: a month is complete when every wanted table is loaded (open orders) or local (finished)."""
+    from voltline.plans.acquire import local_month_tables, period_completeness
+
+    named = _named_periods(spark, sf_dir)
+    local = named.filter(F.col("o_orderstatus") == "F").select(
+        F.regexp_replace(F.upper("file_name"), r"\.CSV$", ".ZIP").alias("file_name")
+    ).distinct()
+    covered_local = local_month_tables(local, catalog.DEFAULT_WANTED_TABLES)
+    return period_completeness(_orders_grid(spark, sf_dir), _ledger_from(named, "O"), covered_local, catalog.DEFAULT_WANTED_TABLES)
+
+
+FEEDS = (("dispatch", ("DISPATCHPRICE", "DISPATCHREGIONSUM"), ("DISPATCH",)), ("other", (), ()))
+
+
+def q_feed_completeness(spark, sf_dir):
+    """per archive link, whether all tables of its feed are loaded for its month."""
+    from voltline.plans.acquire import feed_completeness
+
+    named = _named_periods(spark, sf_dir)
+    links = named.select("file_name", "year", "month").distinct().withColumn(
+        "feed_tables",
+        F.when(F.upper("file_name").contains("DISPATCH"), F.array(*[F.lit(t) for t in FEEDS[0][1]]))
+        .otherwise(F.array().cast("array<string>")),
+    )
+    return feed_completeness(links, _ledger_from(named, "O"), catalog.DEFAULT_WANTED_TABLES)
+
+
+def q_extract_links(spark, sf_dir):
+    """Every anchor of every page outside comments/scripts, resolved against the page URL."""
+    from voltline.sources.links import extract_links
+
+    return extract_links(table(spark, sf_dir, "pages"), suffix=None)
+
+
+FEED_PATTERNS = ("THE", "ION")
+
+
+def q_feed_filter(spark, sf_dir):
+    """links kept when their upper-cased file name contains one of the feed's patterns."""
+    from voltline.plans.acquire import include_filter
+    from voltline.sources.links import extract_links
+
+    links = extract_links(table(spark, sf_dir, "pages"), suffix=None)
+    return links.filter(include_filter(F.col("file_name"), FEED_PATTERNS)).select("page_id", "position", "file_name")
+
+
+def _listing_pages(spark, sf_dir):
+    """One listing page per order, linking its archive name (decoys inside a comment and a script)."""
+    from voltline.plans.acquire import month_url
+
+    n = named_files(spark, sf_dir)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    n = n.join(o, "o_orderkey")
+    href = F.regexp_replace("file_name", r"(?i)\.csv$", ".zip")
+    html = F.concat(
+        F.lit('<html><body><!-- <a href="PUBLIC_DVD_DISPATCHPRICE_202601010000.zip">old</a> -->'),
+        F.lit('<script>var a = \'<a href="PUBLIC_DVD_TRADINGPRICE_202601010000.zip">\';</script>'),
+        F.lit('<a href="'), href, F.lit('">'), F.col("o_orderkey").cast("string"), F.lit("</a></body></html>"),
+    )
+    url = month_url(BASE_URL, F.year("o_orderdate"), F.month("o_orderdate"))
+    return n.select(F.col("o_orderkey").alias("page_id"), url.alias("url"), html.alias("html"), "o_orderstatus", href.alias("href"))
+
+
+def q_link_manifest(spark, sf_dir):
+    """G3 link stage: name match (F5), ledger skip by period (F8), already-local skip."""
+    from voltline.plans.acquire import link_manifest
+
+    pages = _listing_pages(spark, sf_dir)
+    named = _named_periods(spark, sf_dir)
+    local = pages.filter(F.col("o_orderstatus") == "F").select(F.col("href").alias("file_name"))
+    out = link_manifest(pages.select("page_id", "url", "html"), catalog.DEFAULT_WANTED_TABLES, _ledger_from(named, "P"), local)
+    return out.select("page_id", "url", "file_name", "table_name", "year", "month")
+
+
+# --- load, stream, archives ---------------------------------------------------------------------
+
+def _events_lines(spark, sf_dir, copy: str = "A"):
+    # the report names the time column EVENT_TIME, so the loader coerces it (a column named ts stays text)
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "user_id", "event_type", "value", "props")
+    fname = F.concat(F.lit(f"PUBLIC_DVD_EVENTS_{copy}_"), F.date_format("event_time", "yyyyMMdd"), F.lit("0000.CSV"))
+    return e, render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS", directory=f"inbox{copy}")
+
+
+def _events_typed(lines: DataFrame, types=None):
+    parsed = parse_report(lines)
+    rows = parsed.strings(0)
+    data_cols = [c for c in rows.columns if not c.startswith("_")]
+    return apply_types(rows, types or infer_types(rows, data_cols))
+
+
+def _events_load(spark, sf_dir):
+    from voltline.catalog import TableModel
+    from voltline.operators.load import load_batch
+
+    model = TableModel("EVENTS", ("event_id",))
+    path = scratch_dir(spark, "events-table")
+    e, lines_a = _events_lines(spark, sf_dir, "A")
+    early = lines_a.join(
+        e.filter(F.dayofmonth("event_time") <= 15).select(F.col("event_id").alias("line_id")), "line_id", "left_semi"
+    ).unionByName(lines_a.filter(F.col("line_id") < 0))
+    first = load_batch(spark, _events_typed(early), path, model)
+    _, lines_b = _events_lines(spark, sf_dir, "B")
+    both = _events_typed(lines_a.unionByName(lines_b))
+    second = load_batch(spark, both, path, model)
+    return path, first, second
+
+
+def q_load_batch(spark, sf_dir):
+    """First load the first half of each month, then all events twice; the table ends exact."""
+    path, _, _ = _events_load(spark, sf_dir)
+    return spark.read.parquet(path).drop("_source_file")
+
+
+def q_load_metrics(spark, sf_dir):
+    """D3: counters of the second load (in, duplicates in batch, already present, loaded)."""
+    _, _, second = _events_load(spark, sf_dir)
+    return spark.createDataFrame(
+        [(second.rows_in, second.dup_in_batch, second.already_present, second.rows_loaded)],
+        "rows_in bigint, dup_in_batch bigint, already_present bigint, rows_loaded bigint",
+    )
+
+
+def q_load_first_file(spark, sf_dir):
+    """K1: the table created from the first load has the inferred schema."""
+    path, _, _ = _events_load(spark, sf_dir)
+    fields = [f for f in spark.read.parquet(path).schema.fields if not f.name.startswith("_")]
+    return spark.createDataFrame([(f.name, i + 1, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                                 "column_name string, position int, data_type string")
+
+
+def q_stream_load(spark, sf_dir):
+    """Events files land in an inbox in two drops; an availableNow stream loads each drop."""
+    from voltline.plans.load import LoadOptions
+    from voltline.streaming.loader import start_stream_load
+
+    root = scratch_dir(spark, "stream")
+    e, lines = _events_lines(spark, sf_dir, "A")
+    early_ids = e.filter(F.dayofmonth("event_time") <= 15).select(F.col("event_id").alias("line_id"))
+    early_files = lines.join(early_ids, "line_id", "left_semi").select("file_name").distinct()
+    first = lines.join(early_files, "file_name", "left_semi")
+    second = lines.join(early_files, "file_name", "left_anti")
+    opts = LoadOptions(start_year=1900, end_year=2100)
+    for i, drop in enumerate((first, second)):
+        write_report_files(drop, f"{root}/inbox/drop{i}").collect()
+        q = start_stream_load(spark, f"{root}/inbox", f"{root}/wh", f"{root}/ledger", f"{root}/ckpt", opts)
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/wh/OTHER_DATA").drop("_source_file")
+
+
+def q_expand_archives(spark, sf_dir):
+    """Documents zipped two levels deep, expanded on the executors, text length per member."""
+    from voltline.sources.archives import expand_archives, read_archives, write_zip_archives
+
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(
+        F.concat(F.lit("DOCS_"), F.floor(F.col("doc_id") / 100).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("PART_"), F.floor(F.col("doc_id") / 10).cast("string"), F.lit(".zip")).alias("inner"),
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"),
+        F.encode("text", "UTF-8").alias("data"),
+    )
+    out = scratch_dir(spark, "archives")
+    write_zip_archives(rows, out).collect()
+    members = expand_archives(read_archives(spark, out))
+    return members.select(
+        F.substring_index("member", "/", -1).alias("member"), "depth",
+        F.length(F.col("content").cast("string")).alias("n_chars"),
+    )
+
+
+# --- catalogue and SQL pass-through --------------------------------------------------------------
+
+ALL_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def q_table_counts(spark, sf_dir):
+    from voltline.plans.sql import table_counts
+
+    return table_counts({t: table(spark, sf_dir, t) for t in ALL_TABLES})
+
+
+def q_describe_tables(spark, sf_dir):
+    from voltline.plans.sql import describe_tables
+
+    return describe_tables(spark, {t: table(spark, sf_dir, t) for t in ALL_TABLES})
+
+
+def _sql(spark, sf_dir, text: str, names: list[str]):
+    from voltline.plans.sql import run_sql
+
+    return run_sql(spark, text, **{n: table(spark, sf_dir, n) for n in names})
+
+
+SQL_PASS_THROUGH = {
+    "sql_filter": ("SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} WHERE o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00' AND o_orderstatus = 'F'", ["orders"]),
+    "sql_join": ("SELECT n.n_name, c.c_custkey, o.o_orderkey FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderpriority = '1-URGENT'", ["orders", "customer", "nation"]),
+    "sql_group": ("SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price FROM {lineitem} GROUP BY l_returnflag, l_linestatus", ["lineitem"]),
+    "sql_rollup": ("SELECT r.r_name, n.n_name, count(*) AS customers FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey GROUP BY ROLLUP (r.r_name, n.n_name)", ["customer", "nation", "region"]),
+    "sql_window": ("SELECT o_custkey, o_orderkey, o_totalprice, rnk FROM (SELECT o_custkey, o_orderkey, o_totalprice, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rnk FROM {orders}) t WHERE rnk <= 3", ["orders"]),
+    "sql_setop": ("SELECT * FROM (SELECT c_custkey FROM {customer} EXCEPT SELECT o_custkey FROM {orders}) UNION ALL SELECT * FROM (SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'O')", ["customer", "orders"]),
+}
+
+
+def _make_sql_query(key):
+    text, names = SQL_PASS_THROUGH[key]
+    return lambda spark, sf_dir: _sql(spark, sf_dir, text, names)
+
+
+for _key in SQL_PASS_THROUGH:
+    globals()["q_" + _key] = _make_sql_query(_key)

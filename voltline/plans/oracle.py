@@ -121,3 +121,134 @@ SQL: dict[str, str] = {
         "coalesce(sum(CASE WHEN NOT has_null AND n > 1 THEN n - 1 END), 0)::BIGINT AS surplus_rows FROM k"
     ),
 }
+
+
+_WANTED = "[" + ", ".join(f"'{t}'" for t in catalog.DEFAULT_WANTED_TABLES) + "]"
+_DEC_ROUTE = "lower(" + _route("url_decode(file_name)") + ")"
+
+NAMED_PERIODS = f"""{NAMED_FILES},
+np AS (SELECT o_orderkey, o_orderstatus, file_name, {_DEC_ROUTE} AS table_name, {_period(_STRICT)} FROM named)"""
+
+GRID = """grid AS (
+  SELECT y::INTEGER AS year, m.month::INTEGER AS month,
+         'https://example.test/MMSDM/' || y || '/MMSDM_' || y || '_' || lpad(m.month::VARCHAR, 2, '0') || '/MMSDM_Historical_Data_SQLLoader/DATA/' AS url
+  FROM (SELECT min(year(o_orderdate)) AS s, max(year(o_orderdate)) AS e FROM orders) b,
+       range(b.s, b.e + 1) t(y), (SELECT DISTINCT month(o_orderdate) AS month FROM orders) m)"""
+
+_STRIPPED = (
+    "regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+    "'(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g'), '(?is)<style\\b[^>]*>.*?</style\\s*>', '', 'g')"
+)
+_HREFS = f"regexp_extract_all({_STRIPPED}, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
+
+LINKS = f"""links AS (
+  SELECT page_id, url AS page_url, unnest(h) AS href, generate_subscripts(h, 1)::BIGINT AS position
+  FROM (SELECT page_id, url, {_HREFS} AS h FROM pages))"""
+
+_ORIGIN = "regexp_extract(page_url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1)"
+_RESOLVED = (
+    "CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href "
+    f"WHEN starts_with(href, '/') AND NOT starts_with(href, '//') THEN {_ORIGIN} || href "
+    "ELSE NULL END"
+)
+
+SQL.update({
+    "ledger_skip": f"""
+        WITH {NAMED_PERIODS},
+        cand AS (SELECT DISTINCT file_name, table_name, year, month FROM np),
+        led AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'F' AND year IS NOT NULL AND month IS NOT NULL),
+        fresh AS (SELECT * FROM cand c WHERE NOT EXISTS (
+            SELECT 1 FROM led l WHERE l.table_name = c.table_name AND l.year = c.year AND l.month = c.month))
+        SELECT file_name, table_name, year, month FROM fresh WHERE year IS NULL OR month IS NULL
+        UNION ALL
+        SELECT min(file_name) AS file_name, table_name, year, month FROM fresh
+        WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY table_name, year, month""",
+    "ledger_mark": f"""
+        WITH {NAMED_PERIODS}
+        SELECT DISTINCT table_name, year, month, file_name AS source_file FROM np WHERE o_orderstatus = 'O'
+        EXCEPT
+        SELECT DISTINCT table_name, year, month, file_name AS source_file FROM np WHERE o_orderstatus = 'F'""",
+    "period_grid": f"WITH {GRID} SELECT * FROM grid",
+    "period_completeness": f"""
+        WITH {NAMED_PERIODS}, {GRID},
+        wanted AS (SELECT unnest({_WANTED}) AS t),
+        loaded AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'O' AND year IS NOT NULL AND month IS NOT NULL),
+        local_names AS (SELECT DISTINCT regexp_replace(upper(file_name), '\\.CSV$', '.ZIP') AS n FROM np WHERE o_orderstatus = 'F'),
+        local_cov AS (
+          SELECT DISTINCT lower(w.t) AS table_name, g.year, g.month FROM local_names l, wanted w, grid g
+          WHERE ends_with(l.n, '.ZIP') AND contains(l.n, g.year || lpad(g.month::VARCHAR, 2, '0'))
+            AND (starts_with(l.n, 'PUBLIC_DVD_' || w.t || '_') OR starts_with(l.n, 'PUBLIC_ARCHIVE%23' || w.t || '%23')
+                 OR starts_with(l.n, 'PUBLIC_ARCHIVE#' || w.t || '#'))),
+        cov AS (
+          SELECT year, month, count(DISTINCT table_name) AS c FROM (SELECT * FROM loaded UNION SELECT * FROM local_cov)
+          WHERE table_name IN (SELECT lower(t) FROM wanted) GROUP BY year, month)
+        SELECT g.year, g.month, g.url, coalesce(c, 0)::BIGINT AS covered_tables,
+               coalesce(c, 0) = {len(catalog.DEFAULT_WANTED_TABLES)} AS complete
+        FROM grid g LEFT JOIN cov USING (year, month)""",
+    "feed_completeness": f"""
+        WITH {NAMED_PERIODS},
+        links AS (SELECT DISTINCT file_name, year, month FROM np),
+        loaded AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'O' AND year IS NOT NULL AND month IS NOT NULL),
+        lt AS (SELECT l.*, unnest(CASE WHEN contains(upper(l.file_name), 'DISPATCH') THEN ['dispatchprice', 'dispatchregionsum']
+                                       ELSE [{", ".join(f"'{t.lower()}'" for t in catalog.DEFAULT_WANTED_TABLES)}] END) AS table_name FROM links l)
+        SELECT file_name, year, month,
+               bool_and(EXISTS (SELECT 1 FROM loaded d WHERE d.table_name = lt.table_name AND d.year = lt.year AND d.month = lt.month))
+               AND year IS NOT NULL AND month IS NOT NULL AS complete
+        FROM lt GROUP BY file_name, year, month""",
+    "extract_links": f"""
+        WITH {LINKS}
+        SELECT page_id, position, href, {_RESOLVED} AS url,
+               replace(upper(regexp_extract(url_decode(href), '[^/]*$', 0)), 'ẞ', 'SS') AS file_name FROM links""",
+    "feed_filter": f"""
+        WITH {LINKS}, f AS (SELECT page_id, position, replace(upper(regexp_extract(url_decode(href), '[^/]*$', 0)), 'ẞ', 'SS') AS file_name FROM links)
+        SELECT * FROM f WHERE contains(file_name, 'THE') OR contains(file_name, 'ION')""",
+    "link_manifest": f"""
+        WITH {NAMED_PERIODS},
+        pg AS (SELECT n.o_orderkey AS page_id, n.o_orderstatus, regexp_replace(n.file_name, '(?i)\\.csv$', '.zip') AS href,
+                      'https://example.test/MMSDM/' || year(o.o_orderdate) || '/MMSDM_' || year(o.o_orderdate) || '_'
+                      || lpad(month(o.o_orderdate)::VARCHAR, 2, '0') || '/MMSDM_Historical_Data_SQLLoader/DATA/' AS page_url
+               FROM named n JOIN orders o USING (o_orderkey)),
+        m AS (SELECT page_id, page_url || href AS url, upper(url_decode(href)) AS file_name, href FROM pg),
+        t AS (SELECT *, lower(list_filter({_WANTED}, lambda x: contains(file_name, 'PUBLIC_DVD_' || x || '_')
+                   OR contains(file_name, 'PUBLIC_ARCHIVE#' || x || '#') OR contains(file_name, 'PUBLIC_ARCHIVE%23' || x || '%23'))[1]) AS table_name,
+                   CAST(NULLIF(regexp_extract(url_decode(upper(file_name)), '{_STRICT}', 1), '') AS INTEGER) AS year,
+                   CAST(NULLIF(regexp_extract(url_decode(upper(file_name)), '{_STRICT}', 2), '') AS INTEGER) AS month FROM m),
+        led AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'P' AND year IS NOT NULL AND month IS NOT NULL)
+        SELECT page_id, url, file_name, table_name, year, month FROM t
+        WHERE table_name IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM led WHERE led.table_name = t.table_name AND led.year = t.year AND led.month = t.month)
+          AND NOT EXISTS (SELECT 1 FROM pg WHERE pg.o_orderstatus = 'F' AND pg.href = t.href)""",
+    "load_batch": "SELECT event_id, ts AS event_time, user_id, event_type, value, props FROM events",
+    "load_metrics": (
+        "SELECT 2 * count(*) AS rows_in, count(*) AS dup_in_batch, count(*) FILTER (WHERE day(ts) <= 15) AS already_present, "
+        "count(*) FILTER (WHERE day(ts) > 15) AS rows_loaded FROM events"
+    ),
+    "stream_load": "SELECT event_id, ts AS event_time, user_id, event_type, value, props FROM events",
+    "expand_archives": "SELECT 'doc_' || doc_id || '.txt' AS member, 2 AS depth, length(text)::INTEGER AS n_chars FROM documents",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}"
+        for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    ),
+    "sql_filter": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderstatus = 'F'",
+    "sql_join": "SELECT n.n_name, c.c_custkey, o.o_orderkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE o.o_orderpriority = '1-URGENT'",
+    "sql_group": "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price FROM lineitem GROUP BY l_returnflag, l_linestatus",
+    "sql_rollup": "SELECT r.r_name, n.n_name, count(*) AS customers FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY ROLLUP (r.r_name, n.n_name)",
+    "sql_window": "SELECT o_custkey, o_orderkey, o_totalprice, rnk FROM (SELECT o_custkey, o_orderkey, o_totalprice, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rnk FROM orders) t WHERE rnk <= 3",
+    "sql_setop": "SELECT * FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT * FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')",
+})
+
+_TYPE_MAP = (
+    "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+    "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' "
+    "WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(data_type) END"
+)
+SQL["describe_tables"] = (
+    f"SELECT table_name, ordinal_position::INTEGER AS position, column_name, {_TYPE_MAP} AS data_type "
+    "FROM information_schema.columns WHERE table_name IN ("
+    + ", ".join(f"'{t}'" for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split())
+    + ")"
+)
+SQL["load_first_file"] = (
+    f"SELECT CASE column_name WHEN 'ts' THEN 'event_time' ELSE column_name END AS column_name, ordinal_position::INTEGER AS position, {_TYPE_MAP} AS data_type "
+    "FROM information_schema.columns WHERE table_name = 'events'"
+)

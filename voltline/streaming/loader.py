@@ -22,11 +22,11 @@ from voltline.sources.archives import expand_archives, member_lines
 
 def _batch_lines(batch: DataFrame) -> DataFrame:
     """Lines frame of one micro-batch of the text source (ids taken on the batch scan)."""
-    src = percent_decode(F.regexp_replace(F.col("_metadata.file_path"), r"^file:(//)?", ""))
+    src = percent_decode(F.regexp_replace(F.col("_file_path"), r"^file:(//)?", ""))
     return batch.select(
         src.alias("source_file"),
         base_name(src).alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
         "value",
     )
@@ -55,7 +55,11 @@ def start_stream_load(
             .option("pathGlobFilter", "*.[zZ][iI][pP]").load(inbox)
         )
     else:
-        stream = reader.format("text").option("pathGlobFilter", "*.[cC][sS][vV]").load(inbox)
+        stream = reader.format("text").option("pathGlobFilter", "*.[cC][sS][vV]").load(inbox).select(
+            "value",
+            F.col("_metadata.file_path").alias("_file_path"),
+            F.col("_metadata.file_block_start").alias("_block_start"),
+        )
 
     def _load(batch: DataFrame, epoch_id: int) -> None:
         if archives:
