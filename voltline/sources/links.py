@@ -43,7 +43,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
         .when(h.startswith("/"), F.concat(origin, h))
         .when(h.startswith("?"), F.concat(no_query, h))
         .when(h.startswith("#"), F.concat(no_frag, h))
-        .when(h == "", no_frag)
+        .when(h == "", b)
         .otherwise(F.concat(base_dir, F.regexp_replace(h, r"^(\./)+", "")))
     )
 
