@@ -38,6 +38,11 @@ def strip_extension(name: Column | str) -> Column:
     return F.regexp_replace(_col(name), r"^(\.*[^.].*)\.[^.]*$", "$1")
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (keeps generated code small)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def route_table(name: Column | str, decode: bool = False) -> Column:
     """target table for a report file name (OTHER_DATA when unrecognised).
 
@@ -47,24 +52,30 @@ def route_table(name: Column | str, decode: bool = False) -> Column:
     n = _col(name)
     if decode:
         n = percent_decode(n)
-    stem = F.upper(strip_extension(n))
-    dvd = F.regexp_replace(F.substring(stem, len(catalog.DVD_PREFIX) + 1, 1 << 30), r"_\d{8,12}$", "")
-    part = (
-        F.when(stem.startswith(catalog.DVD_PREFIX), dvd)
-        .when(stem.contains(catalog.ARCHIVE_MARKER), F.split_part(stem, F.lit("#"), F.lit(2)))
-        .otherwise(stem)
-    )
-    return F.when(part.isin(*catalog.ROUTABLE_TABLES), part).otherwise(F.lit(catalog.FALLBACK_TABLE))
+
+    def part_of(stem: Column) -> Column:
+        dvd = F.regexp_replace(F.substring(stem, len(catalog.DVD_PREFIX) + 1, 1 << 30), r"_\d{8,12}$", "")
+        return (
+            F.when(stem.startswith(catalog.DVD_PREFIX), dvd)
+            .when(stem.contains(catalog.ARCHIVE_MARKER), F.split_part(stem, F.lit("#"), F.lit(2)))
+            .otherwise(stem)
+        )
+
+    part = _let(F.upper(strip_extension(n)), part_of)
+    routes = F.create_map(*[x for t in catalog.ROUTABLE_TABLES for x in (F.lit(t), F.lit(t))])
+    return F.coalesce(F.try_element_at(routes, part), F.lit(catalog.FALLBACK_TABLE))
 
 
 def _period(name: Column | str, pattern: str) -> Column:
-    decoded = percent_decode(F.upper(_col(name)))
-    year = F.regexp_extract(decoded, pattern, 1)
-    month = F.regexp_extract(decoded, pattern, 2)
-    return F.struct(
-        F.when(year != "", year.cast("int")).alias("year"),
-        F.when(month != "", month.cast("int")).alias("month"),
-    )
+    def fields(decoded: Column) -> Column:
+        year = F.regexp_extract(decoded, pattern, 1)
+        month = F.regexp_extract(decoded, pattern, 2)
+        return F.struct(
+            F.when(year != "", year.cast("int")).alias("year"),
+            F.when(month != "", month.cast("int")).alias("month"),
+        )
+
+    return _let(percent_decode(F.upper(_col(name))), fields)
 
 
 def period_strict(name: Column | str) -> Column:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltline.session import materialize
+
 LEDGER_SCHEMA = "table_name string, year int, month int, source_file string, rows_loaded bigint, loaded_at timestamp_ntz"
 _MONTH_KEY = ["table_name", "year", "month"]
 
@@ -73,7 +75,7 @@ def ledger_mark(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame
         cand.join(current, same, "left_anti")
         .withColumn("loaded_at", F.localtimestamp())
         .select("table_name", "year", "month", "source_file", "rows_loaded", "loaded_at")
-        .checkpoint()
     )
+    new = materialize(new, "ledger-new")
     new.write.mode("append").parquet(path)
     return new

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltline import catalog
+from voltline.session import materialize
 from voltline.functions.text import clean_line, drop_invalid_utf8, field_count, null_if_token
 
 # section tables with at most this many rows are broadcast to the line scans
@@ -162,7 +163,8 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         F.count_if(F.col("tag") == "I").alias("header_lines"),
         F.count_if(F.col("tag") == "D").alias("data_lines"),
         F.collect_list(hdr_struct).alias("hdrs"),
-    ).checkpoint()
+    )
+    files = materialize(files, "report-files")
     hdrs = F.array_sort("hdrs")
     if sections == "last":
         sec = files.filter(F.size("hdrs") > 0).select(
@@ -214,5 +216,5 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     sec = sec.join(file_rank, "source_file", "left").withColumn(
         "file_ok", F.coalesce(F.col("file_rank") == _STATUS_RANK[STATUS_OK], F.lit(False))
     ).drop("file_rank")
-    parsed.sections = sec.checkpoint()
+    parsed.sections = materialize(sec, "report-sections")
     return parsed

@@ -21,6 +21,7 @@ from voltline.operators.infer import apply_types, infer_types
 from voltline.operators.ledger import ledger_mark, ledger_skip, read_ledger
 from voltline.operators.load import REPORT_SCHEMA, LoadReport, load_batch, table_schema
 from voltline.operators.report import STATUS_OK, ParsedReport, parse_report
+from voltline.session import materialize
 from voltline.sources.lines import list_files, read_report_lines
 
 
@@ -95,7 +96,7 @@ def load_lines(
     """
     opts = opts or LoadOptions()
     parsed = parse_report(lines, sections=opts.sections)
-    status = parsed.file_status().join(routes.select("source_file", "table_name", "year", "month"), "source_file", "left").checkpoint()
+    status = materialize(parsed.file_status().join(routes.select("source_file", "table_name", "year", "month"), "source_file", "left"), "file-status")
     reports: list[LoadReport] = []
     for table, frames in tables_from_parsed(parsed, routes).items():
         model = catalog.table_model(table)
@@ -123,7 +124,7 @@ def load_inbox(
     """G7 as one call: returns (file status frame, per-table report frame)."""
     opts = opts or LoadOptions()
     files = list_files(spark, inbox, "*.[cC][sS][vV]")
-    candidates = plan_candidates(files, read_ledger(spark, ledger_path), opts).checkpoint()
+    candidates = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "candidates")
     paths = [r["source_file"] for r in candidates.select("source_file").collect()]
     if not paths:
         empty = spark.createDataFrame([], REPORT_SCHEMA)

@@ -61,3 +61,16 @@ def open_filesystem(path: str):
     if "://" in path:
         return pafs.FileSystem.from_uri(path.rstrip("/"))
     return pafs.LocalFileSystem(), path.rstrip("/")
+
+
+def materialize(df, purpose: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One job (a reliable ``checkpoint()`` runs its input twice unless it is cached), the lineage is cut
+    (a lost executor later re-reads files instead of re-running the plan), and later readers get
+    column pruning and row-group statistics.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

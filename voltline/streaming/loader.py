@@ -17,6 +17,7 @@ from voltline import catalog
 from voltline.functions.names import base_name, percent_decode
 from voltline.operators.ledger import read_ledger
 from voltline.plans.load import LoadOptions, load_lines, plan_candidates
+from voltline.session import materialize
 from voltline.sources.archives import expand_archives, member_lines
 
 
@@ -68,7 +69,7 @@ def start_stream_load(
         else:
             lines = _batch_lines(batch)
         files = lines.select("source_file", "file_name").distinct()
-        routes = plan_candidates(files, read_ledger(spark, ledger_path), opts).checkpoint()
+        routes = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "stream-routes")
         lines = lines.join(F.broadcast(routes.select("source_file")), "source_file", "left_semi") if routes.count() <= 200_000 \
             else lines.join(routes.select("source_file"), "source_file", "left_semi")
         load_lines(spark, lines, routes, warehouse, ledger_path, opts)
