@@ -2,8 +2,8 @@
 
 Passes over the lines (each one a distributed scan; nothing per file is collected):
 
-1. one aggregate per file: header lines (few per file, kept in an array), counts of I and D lines;
-   the result (one row per file) is checkpointed;
+1. one aggregate per file (counts of I and D lines) and the header lines with their position; the
+   next header of a file bounds each section (a window over header lines only);
 2. D lines joined to their header section -> per-section width statistics -> file status;
 3. D lines joined to the sections that passed -> ``from_csv`` with the layout's width -> named columns.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltline import catalog
@@ -157,27 +157,27 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         raise ValueError("sections must be 'nearest' or 'last'")
     tagged = tag_lines(lines)
 
-    # pass 1: per file, header lines with their position, and line counts
-    hdr_struct = F.when(F.col("tag") == "I", F.struct(_pos("block_start", "line_id").alias("pos"), F.col("value").alias("header")))
-    files = tagged.groupBy("source_file", "file_name").agg(
-        F.count_if(F.col("tag") == "I").alias("header_lines"),
-        F.count_if(F.col("tag") == "D").alias("data_lines"),
-        F.collect_list(hdr_struct).alias("hdrs"),
+    # pass 1: per file line counts (one aggregate), header lines with their position
+    files = materialize(
+        tagged.groupBy("source_file", "file_name").agg(
+            F.count_if(F.col("tag") == "I").alias("header_lines"),
+            F.count_if(F.col("tag") == "D").alias("data_lines"),
+        ),
+        "report-files",
+    )
+    heads = tagged.filter(F.col("tag") == "I").select(
+        "source_file", _pos("block_start", "line_id").alias("h_pos"), F.col("value").alias("header")
     )
-    files = materialize(files, "report-files")
-    hdrs = F.array_sort("hdrs")
     if sections == "last":
-        sec = files.filter(F.size("hdrs") > 0).select(
-            "source_file", F.element_at(hdrs, -1).alias("h"),
-            F.lit(None).cast("struct<pos:struct<b:bigint,l:bigint>,header:string>").alias("nxt")
-        )
+        # max_by is combined map-side: one row per file whatever the number of header lines
+        sec = heads.groupBy("source_file").agg(
+            F.max("h_pos").alias("h_pos"), F.max_by("header", "h_pos").alias("header")
+        ).select("source_file", "h_pos", F.lit(None).cast("struct<b:bigint,l:bigint>").alias("n_pos"), "header")
     else:
-        sec = files.select("source_file", hdrs.alias("hs")).select(
-            "source_file", F.posexplode("hs").alias("i", "h"), "hs"
-        ).select("source_file", "h", F.get("hs", F.col("i") + 1).alias("nxt"))
-    sec = sec.select(
-        "source_file", F.col("h.pos").alias("h_pos"), F.col("nxt.pos").alias("n_pos"), F.col("h.header").alias("header")
-    )
+        # header lines only (a few per file); the window buffer spills if a file has very many
+        w = Window.partitionBy("source_file").orderBy("h_pos")
+        sec = heads.select("source_file", "h_pos", F.lead("h_pos").over(w).alias("n_pos"), "header")
+    sec = materialize(sec, "report-heads")
 
     # layouts: the only driver-side collection, bounded
     distinct_headers = [r["header"] for r in sec.select("header").distinct().orderBy("header").limit(catalog.MAX_LAYOUTS + 1).collect()]
@@ -189,7 +189,7 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         [(l.layout_id, l.header, l.width, l.ok) for l in layouts], "layout_id int, header string, width int, layout_ok boolean"
     )
     sec = sec.join(F.broadcast(layout_df), "header", "inner")
-    parsed = ParsedReport(tagged, files.drop("hdrs"), sec, layouts, sections)
+    parsed = ParsedReport(tagged, files, sec, layouts, sections)
 
     # pass 2: width statistics per section -> status per section
     joined = parsed._data_with_sections(sec.select("source_file", "h_pos", "n_pos"))
