@@ -171,3 +171,78 @@ def archive_links(links: DataFrame, start_year: int, end_year: int, months: Sequ
     return links.withColumn("year", period["year"]).withColumn("month", period["month"]).filter(
         in_period("year", "month", start_year, end_year, months)
     )
+
+
+FEED_SCHEMA = "name string, url string, tables array<string>, include_patterns array<string>"
+
+
+def feeds_frame(spark: SparkSession, feeds: Sequence[dict] | None, root_url: str | None,
+                tables: Sequence[str] = catalog.DEFAULT_WANTED_TABLES) -> DataFrame:
+    """Feed configuration as a DataFrame; F14: no feeds but a root URL -> one feed with all tables."""
+    rows = [
+        (f.get("name", "feed"), f.get("url"), [str(t).upper() for t in f.get("tables", [])],
+         [str(p).upper() for p in f.get("include_patterns", [])])
+        for f in (feeds or [])
+        if f.get("url")
+    ]
+    if not rows and root_url:
+        rows = [("current_root", root_url, [t.upper() for t in tables], [])]
+    return spark.createDataFrame(rows, FEED_SCHEMA)
+
+
+def feed_links(pages: DataFrame, feeds: DataFrame, suffix: str = ".zip") -> DataFrame:
+    """S6 + F7 for feed listing pages: ``pages`` (page_id, url, html) whose url is a feed url."""
+    links = extract_links(pages, suffix=suffix).join(
+        pages.select("page_id", F.col("url").alias("feed_url")), "page_id"
+    )
+    f = F.broadcast(feeds.select(F.col("url").alias("feed_url"), F.col("name").alias("feed"),
+                                 F.col("tables").alias("feed_tables"), F.col("include_patterns")))
+    joined = links.join(f, "feed_url")  # feeds: configuration, a handful of rows
+    return joined.filter(include_filter(F.col("file_name"), F.col("include_patterns"))).drop("include_patterns")
+
+
+def plan_downloads(
+    spark: SparkSession,
+    source: str,
+    pages: DataFrame,
+    ledger: DataFrame,
+    local_files: DataFrame,
+    tables: Sequence[str] = catalog.DEFAULT_WANTED_TABLES,
+    feeds: Sequence[dict] | None = None,
+    root_url: str | None = None,
+    start_year: int = catalog.DEFAULT_START_YEAR,
+    end_year: int = catalog.DEFAULT_END_YEAR,
+    months: Sequence[int] = catalog.DEFAULT_MONTHS,
+) -> DataFrame:
+    """The download manifest (url, file_name, ...) for one source.
+
+    ``pages`` are the fetched listing pages (page_id, url, html): month pages for ``mmsdm`` (their
+    urls come from ``period_grid`` minus complete months), feed pages for ``archive``/``current``.
+    """
+    src = check_source(source)
+    local = local_files.select(F.col("file_name").alias("local_name")).distinct()
+    if src == "mmsdm":
+        # F5 -> F8 -> F11 (the month grid and F9 decide which pages were fetched)
+        return link_manifest(pages, tables, ledger, local_files)
+    fr = feeds_frame(spark, feeds, root_url if src == "current" else None, tables)
+    links = feed_links(pages, fr).withColumn("local_name", F.substring_index("href", "/", -1))
+    if src == "archive":
+        # F7 -> F2 -> F4 -> F10 -> F11
+        ranged = archive_links(links, start_year, end_year, months)
+        done = feed_completeness(
+            ranged.select("file_name", "feed_tables", "year", "month").distinct(), ledger, tables
+        ).filter("complete").select("file_name", "year", "month")
+        ranged = ranged.join(done, ["file_name", "year", "month"], "left_anti")
+        return ranged.join(local, "local_name", "left_anti")
+    # G5 current: F14 -> S6 -> F7 -> F11 (no period or ledger test)
+    return links.join(local, "local_name", "left_anti")
+
+
+def extract_plan(archives: DataFrame, start_year: int, end_year: int, months: Sequence[int]) -> DataFrame:
+    """Archives whose name is inside the period window (first-8 rule, 0 = unknown) are expanded."""
+    from voltline.functions.names import period_first8
+    from voltline.sources.archives import expand_archives
+
+    p = period_first8(F.col("file_name"))
+    keep = in_period(p["year"], p["month"], start_year, end_year, months, zero_is_unknown=True)
+    return expand_archives(archives.filter(keep))

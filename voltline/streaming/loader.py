@@ -44,10 +44,17 @@ def start_stream_load(
     available_now: bool = True,
     interval_seconds: int = catalog.LOADER_POLL_SECONDS,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
-    """Start the continuous loader. ``archives=True`` takes zip files (T3) instead of report files."""
+    """Start the continuous loader. ``archives=True`` takes zip files (T3) instead of report files.
+
+    ``archive_dir`` (K4) moves source files there once their batch is committed (the file source's
+    ``cleanSource=archive``; it runs a batch late, so never read "gone from the inbox" as "loaded").
+    """
     opts = opts or LoadOptions()
     reader = spark.readStream.option("recursiveFileLookup", "true")
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archives:
