@@ -24,8 +24,21 @@ from pyspark.sql import types as T
 from voltline import catalog
 from voltline.functions.timestamps import parse_market_timestamp
 
-_INT = r"^\s*[+-]?\d+\s*$"
-_FLOAT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity|nan|NaN)\s*$"
+# Fixed value: infinity spellings read as numbers.
+_INF = ("INF", "+INF", "-INF", "INFINITY", "+INFINITY", "-INFINITY")
+
+
+def _is_integer(c):
+    # the ANSI cast accepts exactly optionally signed, optionally blank-padded 64-bit digit strings
+    return c.try_cast("bigint").isNotNull()
+
+
+def _is_decimal(c):
+    # the cast also takes Java-only forms (1d, 1.5f, 0x1p3): letters d/x/p and a trailing f are refused
+    no_java_suffix = (F.length(F.translate(c, "dDxXpP", "")) == F.length(c)) & (
+        ~F.upper(F.trim(c)).endswith("F") | F.upper(F.trim(c)).isin(*_INF)
+    )
+    return c.try_cast("double").isNotNull() & no_java_suffix
 
 
 def is_datetime_name(name: str) -> bool:
@@ -40,8 +53,8 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
         c = F.col(f"`{name}`")
         aggs += [
             F.count(c).alias(f"n{i}"),
-            F.bool_and(c.isNull() | (c.rlike(_INT) & c.try_cast("bigint").isNotNull())).alias(f"i{i}"),
-            F.bool_and(c.isNull() | (c.rlike(_FLOAT) & c.try_cast("double").isNotNull())).alias(f"f{i}"),
+            F.bool_and(c.isNull() | _is_integer(c)).alias(f"i{i}"),
+            F.bool_and(c.isNull() | _is_integer(c) | _is_decimal(c)).alias(f"f{i}"),
             F.bool_and(c.isNull() | c.isin(*catalog.TRUE_TOKENS, *catalog.FALSE_TOKENS)).alias(f"b{i}"),
         ]
     if not aggs:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.session import materialize
+from voltline.session import materialize, path_exists
 
 LEDGER_SCHEMA = "table_name string, year int, month int, source_file string, rows_loaded bigint, loaded_at timestamp_ntz"
 _MONTH_KEY = ["table_name", "year", "month"]
@@ -20,12 +20,8 @@ _MONTH_KEY = ["table_name", "year", "month"]
 
 def read_ledger(spark: SparkSession, path: str | None) -> DataFrame:
     """The ledger, or an empty frame with its schema when nothing was recorded yet."""
-    if path:
-        try:
-            return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-        except Exception as exc:  # absent path
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
+    if path and path_exists(path):
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 

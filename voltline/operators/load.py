@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from voltline.catalog import TableModel
 from voltline.operators.align import align_schema, cast_to_target
 from voltline.operators.dedupe import anti_join_new, dedupe_first
-from voltline.session import materialize
+from voltline.session import materialize, path_exists
 
 LINEAGE = ("_source_file", "_block_start", "_line_id")
 STORED_LINEAGE = ("_source_file",)
@@ -51,12 +51,9 @@ REPORT_SCHEMA = "table_name string, rows_in bigint, rejected bigint, dup_in_batc
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of a path table, None when it does not exist."""
-    try:
-        return spark.read.parquet(path).schema
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+    if not path_exists(path):
+        return None
+    return spark.read.parquet(path).schema
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

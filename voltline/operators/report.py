@@ -2,9 +2,10 @@
 
 Passes over the lines (each one a distributed scan; nothing per file is collected):
 
-1. one aggregate per file (counts of I and D lines) and the header lines with their position; the
-   next header of a file bounds each section (a window over header lines only);
-2. D lines joined to their header section -> per-section width statistics -> file status;
+1. header lines with their position; the next header of a file bounds each section (a window over
+   header lines only); written once, it is small;
+2. every D line left-joined to its section -> per-section width statistics and per-file line
+   counts -> file status;
 3. D lines joined to the sections that passed -> ``from_csv`` with the layout's width -> named columns.
 
 The only thing brought to the driver is the set of distinct header texts (layouts), capped at
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from voltline import catalog
 from voltline.session import materialize
-from voltline.functions.text import clean_line, drop_invalid_utf8, field_count, null_if_token
+from voltline.functions.text import drop_invalid_utf8, field_count, null_if_token, strip_right
 
 # section tables with at most this many rows are broadcast to the line scans
 BROADCAST_SECTIONS_MAX = 200_000
@@ -79,11 +80,10 @@ def analyse_header(layout_id: int, header: str) -> Layout:
 
 def tag_lines(lines: DataFrame) -> DataFrame:
     """P1 + P2: decode, tag 'I'/'D' by exact prefix (no trim, case-sensitive), strip the right end."""
-    decoded = drop_invalid_utf8("value")
-    tag = F.when(decoded.startswith(catalog.HEADER_TAG), F.lit("I")).when(decoded.startswith(catalog.DATA_TAG), F.lit("D"))
-    return lines.select(
-        "source_file", "file_name", "block_start", "line_id", tag.alias("tag"), clean_line("value").alias("value")
-    )
+    decoded = lines.select("source_file", "file_name", "block_start", "line_id", drop_invalid_utf8("value").alias("value"))
+    v = F.col("value")
+    tag = F.when(v.startswith(catalog.HEADER_TAG), F.lit("I")).when(v.startswith(catalog.DATA_TAG), F.lit("D"))
+    return decoded.select("source_file", "file_name", "block_start", "line_id", tag.alias("tag"), strip_right(v).alias("value"))
 
 
 def _pos(block: str, line: str) -> Column:
@@ -101,18 +101,17 @@ class ParsedReport:
         self.sections_mode = sections_mode
 
     # -- joins of D lines to sections --------------------------------------------------------
-    def _data_with_sections(self, sections: DataFrame) -> DataFrame:
+    def _data_with_sections(self, sections: DataFrame, how: str = "inner") -> DataFrame:
         data = self.tagged.filter(F.col("tag") == "D").select(
-            "source_file", "block_start", "line_id", "value", _pos("block_start", "line_id").alias("pos")
+            "source_file", "file_name", "block_start", "line_id", "value", _pos("block_start", "line_id").alias("pos")
         )
         s = sections.withColumnRenamed("source_file", "s_file")
-        n = sections.count() if sections.isStreaming is False else BROADCAST_SECTIONS_MAX + 1
-        if n <= BROADCAST_SECTIONS_MAX:
+        if sections.count() <= BROADCAST_SECTIONS_MAX:
             s = F.broadcast(s)
         cond = data["source_file"] == s["s_file"]
         if self.sections_mode == "nearest":
             cond = cond & (data["pos"] > s["h_pos"]) & (s["n_pos"].isNull() | (data["pos"] < s["n_pos"]))
-        return data.join(s, cond, "inner").drop("s_file")
+        return data.join(s, cond, how).drop("s_file")
 
     def file_status(self) -> DataFrame:
         """One row per file: status, header/data line counts, rows that parse."""
@@ -157,26 +156,23 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         raise ValueError("sections must be 'nearest' or 'last'")
     tagged = tag_lines(lines)
 
-    # pass 1: per file line counts (one aggregate), header lines with their position
-    files = materialize(
-        tagged.groupBy("source_file", "file_name").agg(
-            F.count_if(F.col("tag") == "I").alias("header_lines"),
-            F.count_if(F.col("tag") == "D").alias("data_lines"),
-        ),
-        "report-files",
-    )
+    # pass 1: header lines with their position -> one row per section (small, written once)
     heads = tagged.filter(F.col("tag") == "I").select(
-        "source_file", _pos("block_start", "line_id").alias("h_pos"), F.col("value").alias("header")
+        "source_file", "file_name", _pos("block_start", "line_id").alias("h_pos"), F.col("value").alias("header")
     )
     if sections == "last":
         # max_by is combined map-side: one row per file whatever the number of header lines
         sec = heads.groupBy("source_file").agg(
-            F.max("h_pos").alias("h_pos"), F.max_by("header", "h_pos").alias("header")
-        ).select("source_file", "h_pos", F.lit(None).cast("struct<b:bigint,l:bigint>").alias("n_pos"), "header")
+            F.max("h_pos").alias("h_pos"), F.max_by("header", "h_pos").alias("header"), F.count("*").alias("header_lines"),
+            F.first("file_name").alias("file_name"),
+        ).select("source_file", "file_name", "h_pos", F.lit(None).cast("struct<b:bigint,l:bigint>").alias("n_pos"), "header", "header_lines")
     else:
         # header lines only (a few per file); the window buffer spills if a file has very many
         w = Window.partitionBy("source_file").orderBy("h_pos")
-        sec = heads.select("source_file", "h_pos", F.lead("h_pos").over(w).alias("n_pos"), "header")
+        sec = heads.select(
+            "source_file", "file_name", "h_pos", F.lead("h_pos").over(w).alias("n_pos"), "header",
+            F.count("*").over(Window.partitionBy("source_file")).alias("header_lines"),
+        )
     sec = materialize(sec, "report-heads")
 
     # layouts: the only driver-side collection, bounded
@@ -189,16 +185,28 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         [(l.layout_id, l.header, l.width, l.ok) for l in layouts], "layout_id int, header string, width int, layout_ok boolean"
     )
     sec = sec.join(F.broadcast(layout_df), "header", "inner")
-    parsed = ParsedReport(tagged, files, sec, layouts, sections)
-
-    # pass 2: width statistics per section -> status per section
-    joined = parsed._data_with_sections(sec.select("source_file", "h_pos", "n_pos"))
-    stats = joined.groupBy("source_file", "h_pos").agg(
-        F.count("*").alias("rows"),
-        F.min_by(field_count("value"), "pos").alias("first_width"),
-        F.max(field_count("value")).alias("max_width"),
+    parsed = ParsedReport(tagged, None, sec, layouts, sections)
+
+    # pass 2: every D line, attached to its section when it has one -> width statistics per section,
+    # data-line counts per file (lines before any header count as data but belong to no section)
+    joined = parsed._data_with_sections(sec.select("source_file", "h_pos", "n_pos"), how="left")
+    stats = materialize(
+        joined.groupBy("source_file", "file_name", "h_pos").agg(
+            F.count("*").alias("rows"),
+            F.min_by(field_count("value"), "pos").alias("first_width"),
+            F.max(field_count("value")).alias("max_width"),
+        ),
+        "report-stats",
+    )
+    data_counts = stats.groupBy("source_file", "file_name").agg(F.sum("rows").cast("bigint").alias("data_lines"))
+    files = sec.select("source_file", "file_name", F.col("header_lines").cast("bigint").alias("header_lines")).distinct() \
+        .join(data_counts, ["source_file", "file_name"], "full")
+    parsed.files = files.select(
+        "source_file", "file_name",
+        F.coalesce("header_lines", F.lit(0)).cast("bigint").alias("header_lines"),
+        F.coalesce("data_lines", F.lit(0)).cast("bigint").alias("data_lines"),
     )
-    sec = sec.join(stats, ["source_file", "h_pos"], "left")
+    sec = sec.join(stats.filter(F.col("h_pos").isNotNull()).drop("file_name"), ["source_file", "h_pos"], "left")
     rank = (
         F.when(F.col("rows").isNull(), F.lit(_STATUS_RANK[STATUS_EMPTY]))
         .when(~F.col("layout_ok"), F.lit(_STATUS_RANK[STATUS_BAD_HEADER]))

@@ -424,11 +424,14 @@ def _events_lines(spark, sf_dir, copy: str = "A"):
     return e, render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS", directory=f"inbox{copy}")
 
 
-def _events_typed(lines: DataFrame, types=None):
+def _events_typed(lines: DataFrame, infer: bool = True):
+    """Parsed events rows: typed by inference (table creation) or left as text for the target's cast."""
     parsed = parse_report(lines)
     rows = parsed.strings(0)
+    if not infer:
+        return rows
     data_cols = [c for c in rows.columns if not c.startswith("_")]
-    return apply_types(rows, types or infer_types(rows, data_cols))
+    return apply_types(rows, infer_types(rows, data_cols))
 
 
 def _events_load(spark, sf_dir):
@@ -443,7 +446,7 @@ def _events_load(spark, sf_dir):
     ).unionByName(lines_a.filter(F.col("line_id") < 0))
     first = load_batch(spark, _events_typed(early), path, model)
     _, lines_b = _events_lines(spark, sf_dir, "B")
-    both = _events_typed(lines_a.unionByName(lines_b))
+    both = _events_typed(lines_a.unionByName(lines_b), infer=False)  # the table exists: cast to its types
     second = load_batch(spark, both, path, model)
     return path, first, second
 

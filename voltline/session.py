@@ -74,3 +74,11 @@ def materialize(df, purpose: str = "stage"):
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def path_exists(path: str) -> bool:
+    """True when a file or folder exists at ``path`` (local path or any URI pyarrow knows)."""
+    from pyarrow import fs as pafs
+
+    filesystem, inner = open_filesystem(path)
+    return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
