@@ -93,7 +93,9 @@ def _pos(block: str, line: str) -> Column:
 class ParsedReport:
     """Result of ``parse_report``: sections with status and layout, plus per-layout row frames."""
 
-    def __init__(self, tagged: DataFrame, files: DataFrame, sections: DataFrame, layouts: list[Layout], sections_mode: str):
+    def __init__(self, tagged: DataFrame, files: DataFrame, sections: DataFrame, layouts: list[Layout], sections_mode: str,
+                 n_sections: int):
+        self.n_sections = n_sections  # rows of the section table: decides broadcast vs shuffle join
         self.tagged = tagged
         self.files = files
         self.sections = sections
@@ -106,7 +108,7 @@ class ParsedReport:
             "source_file", "file_name", "block_start", "line_id", "value", _pos("block_start", "line_id").alias("pos")
         )
         s = sections.withColumnRenamed("source_file", "s_file")
-        if sections.count() <= BROADCAST_SECTIONS_MAX:
+        if self.n_sections <= BROADCAST_SECTIONS_MAX:
             s = F.broadcast(s)
         cond = data["source_file"] == s["s_file"]
         if self.sections_mode == "nearest":
@@ -173,7 +175,7 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
             "source_file", "file_name", "h_pos", F.lead("h_pos").over(w).alias("n_pos"), "header",
             F.count("*").over(Window.partitionBy("source_file")).alias("header_lines"),
         )
-    sec = materialize(sec, "report-heads")
+    sec, n_sections = materialize(sec, "report-heads", with_count=True)
 
     # layouts: the only driver-side collection, bounded
     distinct_headers = [r["header"] for r in sec.select("header").distinct().orderBy("header").limit(catalog.MAX_LAYOUTS + 1).collect()]
@@ -185,7 +187,7 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         [(l.layout_id, l.header, l.width, l.ok) for l in layouts], "layout_id int, header string, width int, layout_ok boolean"
     )
     sec = sec.join(F.broadcast(layout_df), "header", "inner")
-    parsed = ParsedReport(tagged, None, sec, layouts, sections)
+    parsed = ParsedReport(tagged, None, sec, layouts, sections, n_sections)
 
     # pass 2: every D line, attached to its section when it has one -> width statistics per section,
     # data-line counts per file (lines before any header count as data but belong to no section)

@@ -63,17 +63,23 @@ def open_filesystem(path: str):
     return pafs.LocalFileSystem(), path.rstrip("/")
 
 
-def materialize(df, purpose: str = "stage"):
+def materialize(df, purpose: str = "stage", with_count: bool = False):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     One job (a reliable ``checkpoint()`` runs its input twice unless it is cached), the lineage is cut
     (a lost executor later re-reads files instead of re-running the plan), and later readers get
-    column pruning and row-group statistics.
+    column pruning and row-group statistics. ``with_count`` also returns the row count, observed on
+    the write itself (no extra job).
     """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(purpose)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    return (out, obs.get["n"]) if with_count else out
 
 
 def path_exists(path: str) -> bool:
