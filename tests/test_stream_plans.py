@@ -81,3 +81,30 @@ def test_extract_plan_period_filter(spark):
             z.writestr(name.replace(".zip", ".CSV"), "I,A,B,1,x\nD,A,B,1,1\n")
     got = sorted(r["member"] for r in extract_plan(read_archives(spark, d), 2026, 2026, [1]).collect())
     assert got == ["PUBLIC_DVD_X_202601010000.CSV", "PUBLIC_DVD_X_LATEST.CSV"]
+
+
+def test_manifest_stream_and_list_tables(spark):
+    from voltline.plans.sql import list_tables, table_counts, warehouse_tables
+    from voltline.streaming.planner import start_manifest_stream
+
+    d = tempfile.mkdtemp(prefix="run-")
+    os.makedirs(f"{d}/pages")
+    with open(f"{d}/pages/p1.html", "w") as f:
+        f.write('<a href="PUBLIC_DISPATCHIS_202601011200.zip">a</a><!-- <a href="OLD.zip"> -->')
+    urls = spark.createDataFrame([("p1.html", "https://h.example/Current/"), ("p2.html", "https://h.example/Current/")],
+                                 "file_name string, url string")
+    q = start_manifest_stream(spark, f"{d}/pages", urls, f"{d}/manifest", f"{d}/ckpt", root_url="https://h.example/Current/")
+    q.awaitTermination()
+    with open(f"{d}/pages/p2.html", "w") as f:  # next poll: one old link, one new
+        f.write('<a href="PUBLIC_DISPATCHIS_202601011200.zip">a</a><a href="PUBLIC_DISPATCHIS_202601011205.zip">b</a>')
+    q = start_manifest_stream(spark, f"{d}/pages", urls, f"{d}/manifest", f"{d}/ckpt", root_url="https://h.example/Current/")
+    q.awaitTermination()
+    m = spark.read.parquet(f"{d}/manifest").collect()
+    assert sorted(r["url"] for r in m) == ["https://h.example/Current/PUBLIC_DISPATCHIS_202601011200.zip",
+                                           "https://h.example/Current/PUBLIC_DISPATCHIS_202601011205.zip"]
+    # Q2 over a warehouse folder
+    spark.range(3).write.parquet(f"{d}/wh/T1")
+    spark.range(5).write.parquet(f"{d}/wh/T2")
+    assert sorted(r["table_name"] for r in list_tables(spark, f"{d}/wh").collect()) == ["T1", "T2"]
+    counts = {r["table_name"]: r["rows"] for r in table_counts(warehouse_tables(spark, f"{d}/wh")).collect()}
+    assert counts == {"T1": 3, "T2": 5}

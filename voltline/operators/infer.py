@@ -24,21 +24,32 @@ from pyspark.sql import types as T
 from voltline import catalog
 from voltline.functions.timestamps import parse_market_timestamp
 
-# Fixed value: infinity spellings read as numbers.
-_INF = ("INF", "+INF", "-INF", "INFINITY", "+INFINITY", "-INFINITY")
+# Shapes of integer and decimal text. The pattern is checked before the cast: a failed cast costs an
+# exception inside the JVM, and the pattern also refuses Java-only forms the cast would take (1d, 0x1p3).
+_INT = r"^\s*[+-]?\d+\s*$"
+_FLOAT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity|nan|NaN)\s*$"
 
 
 def _is_integer(c):
-    # the ANSI cast accepts exactly optionally signed, optionally blank-padded 64-bit digit strings
-    return c.try_cast("bigint").isNotNull()
+    return c.rlike(_INT) & c.try_cast("bigint").isNotNull()
 
 
 def _is_decimal(c):
-    # the cast also takes Java-only forms (1d, 1.5f, 0x1p3): letters d/x/p and a trailing f are refused
-    no_java_suffix = (F.length(F.translate(c, "dDxXpP", "")) == F.length(c)) & (
-        ~F.upper(F.trim(c)).endswith("F") | F.upper(F.trim(c)).isin(*_INF)
+    return c.rlike(_FLOAT) & c.try_cast("double").isNotNull()
+
+
+# Value classes as bits; a column's type is the AND over its values (NULL is neutral).
+_INT_BIT, _NUM_BIT, _BOOL_BIT = 1, 2, 4
+
+
+def value_class(c):
+    """Small integer class of one text value: integer 3, other number 2, true/false word 4, other 0."""
+    return F.when(c.isNull(), F.lit(_INT_BIT | _NUM_BIT | _BOOL_BIT)).otherwise(
+        F.when(_is_integer(c), F.lit(_INT_BIT | _NUM_BIT))
+        .when(_is_decimal(c), F.lit(_NUM_BIT))
+        .when(c.isin(*catalog.TRUE_TOKENS, *catalog.FALSE_TOKENS), F.lit(_BOOL_BIT))
+        .otherwise(F.lit(0))
     )
-    return c.try_cast("double").isNotNull() & no_java_suffix
 
 
 def is_datetime_name(name: str) -> bool:
@@ -47,28 +58,24 @@ def is_datetime_name(name: str) -> bool:
 
 
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
-    """Infer a type per string column with a single aggregate over ``df``."""
+    """Infer a type per string column with a single aggregate over ``df`` (two small aggregates per column)."""
     aggs = []
     for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
-        aggs += [
-            F.count(c).alias(f"n{i}"),
-            F.bool_and(c.isNull() | _is_integer(c)).alias(f"i{i}"),
-            F.bool_and(c.isNull() | _is_integer(c) | _is_decimal(c)).alias(f"f{i}"),
-            F.bool_and(c.isNull() | c.isin(*catalog.TRUE_TOKENS, *catalog.FALSE_TOKENS)).alias(f"b{i}"),
-        ]
+        aggs += [F.count(c).alias(f"n{i}"), F.bit_and(value_class(c)).alias(f"m{i}")]
     if not aggs:
         return {}
     row = df.agg(*aggs).collect()[0]
     out: dict[str, T.DataType] = {}
     for i, name in enumerate(columns):
+        mask = row[f"m{i}"] or 0
         if not row[f"n{i}"]:
             t: T.DataType = T.TimestampNTZType() if is_datetime_name(name) else T.DoubleType()
-        elif row[f"i{i}"]:
+        elif mask & _INT_BIT:
             t = T.LongType()
-        elif row[f"f{i}"]:
+        elif mask & _NUM_BIT:
             t = T.DoubleType()
-        elif row[f"b{i}"]:
+        elif mask & _BOOL_BIT:
             t = T.BooleanType()
         elif is_datetime_name(name):
             t = T.TimestampNTZType()

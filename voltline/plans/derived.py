@@ -19,7 +19,7 @@ from voltline.operators.dedupe import anti_join_new, dedupe_first, pk_audit
 from voltline.operators.infer import apply_types, infer_types
 from voltline.operators.render import render_report_lines, write_report_files
 from voltline.operators.report import parse_report, tag_lines
-from voltline.session import scratch_dir
+from voltline.session import materialize, scratch_dir
 from voltline.sources.lines import read_report_lines
 
 # Naming parameters of the derived report files.
@@ -35,9 +35,17 @@ def month_file(prefix: str, ts: str = "o_orderdate") -> Column:
     return F.concat(F.lit(prefix), F.date_format(ts, "yyyyMM"), F.lit("010000.CSV"))
 
 
+def staged(lines: DataFrame) -> DataFrame:
+    """Rendered lines written once (Parquet in the shared checkpoint folder), as files on disk would be.
+
+    Without this the rendering expression would be re-evaluated wherever the parser filters on a
+    value computed from the line."""
+    return materialize(lines, "rendered-lines")
+
+
 def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return render_report_lines(o, month_file("PUBLIC_DVD_ORDERS_"), F.col("o_orderkey"), report="ORDERS", sub_report="ORDERS")
+    return staged(render_report_lines(o, month_file("PUBLIC_DVD_ORDERS_"), F.col("o_orderkey"), report="ORDERS", sub_report="ORDERS"))
 
 
 # --- parsing ---------------------------------------------------------------------------------
@@ -85,10 +93,10 @@ def _two_section_lines(spark, sf_dir):
             F.struct(F.lit(1 << 40).cast("bigint").alias("line_id"), F.lit("I,ORD,B,2,o_orderkey,o_orderstatus").alias("value")),
         )).alias("h"),
     ).select("file_name", "h.line_id", "h.value")
-    return data.unionByName(heads).select(
+    return staged(data.unionByName(heads).select(
         F.concat(F.lit("inbox/"), "file_name").alias("source_file"), "file_name",
         F.lit(0).cast("bigint").alias("block_start"), "line_id", "value",
-    )
+    ))
 
 
 def q_header_last_wins(spark, sf_dir):
@@ -127,10 +135,10 @@ def q_payload_offset(spark, sf_dir):
         fname.alias("file_name"), F.lit(-1).cast("bigint").alias("line_id"),
         F.concat(F.lit("I,CUSTOMER"), pad, F.lit(","), F.col("n_nationkey").cast("string"), F.lit(",c_custkey,c_name,c_acctbal")).alias("value"),
     )
-    lines = data.unionByName(heads).select(
+    lines = staged(data.unionByName(heads).select(
         F.concat(F.lit("inbox/"), "file_name").alias("source_file"), "file_name",
         F.lit(0).cast("bigint").alias("block_start"), "line_id", "value",
-    )
+    ))
     parsed = parse_report(lines)
     frames = []
     for lay in parsed.layouts:
@@ -165,10 +173,10 @@ def q_file_status(spark, sf_dir):
     header = F.when(F.col("m") == 3, F.lit("I,ORD,ORD,1,o_orderkey,,o_totalprice")).otherwise(F.lit("I,ORD,ORD,1,o_orderkey,o_custkey,o_totalprice"))
     heads = data.filter(F.col("m") != 2).select("file_name", "m").distinct().select(
         "file_name", F.lit(-1).cast("bigint").alias("line_id"), header.alias("value"), "m")
-    lines = data.unionByName(heads).select(
+    lines = staged(data.unionByName(heads).select(
         F.concat(F.lit("inbox/"), "file_name").alias("source_file"), "file_name",
         F.lit(0).cast("bigint").alias("block_start"), "line_id", "value",
-    )
+    ))
     return parse_report(lines).file_status().select("file_name", "status", "header_lines", "data_lines", "rows")
 
 
@@ -177,7 +185,7 @@ def q_infer_types(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     fname = F.concat(F.lit("PUBLIC_DVD_LINEITEM_"), F.date_format("l_shipdate", "yyyyMM"), F.lit("010000.CSV"))
     order = F.col("l_orderkey") * 16 + F.col("l_linenumber")
-    lines = render_report_lines(li, fname, order, report="LINEITEM", sub_report="LINEITEM")
+    lines = staged(render_report_lines(li, fname, order, report="LINEITEM", sub_report="LINEITEM"))
     rows = parse_report(lines).strings(0, lineage=False)
     types = infer_types(rows, rows.columns)
     spec = [(c, i + 1, types[c].simpleString()) for i, c in enumerate(rows.columns)]
@@ -421,7 +429,7 @@ def _events_lines(spark, sf_dir, copy: str = "A"):
     # the report names the time column EVENT_TIME, so the loader coerces it (a column named ts stays text)
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "user_id", "event_type", "value", "props")
     fname = F.concat(F.lit(f"PUBLIC_DVD_EVENTS_{copy}_"), F.date_format("event_time", "yyyyMMdd"), F.lit("0000.CSV"))
-    return e, render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS", directory=f"inbox{copy}")
+    return e, staged(render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS", directory=f"inbox{copy}"))
 
 
 def _events_typed(lines: DataFrame, infer: bool = True):

@@ -27,6 +27,23 @@ def table_paths(warehouse: str, names: list[str]) -> dict[str, str]:
     return {n: f"{warehouse.rstrip('/')}/{n}" for n in names}
 
 
+def list_tables(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Q2: names of the Parquet tables (sub-folders) of a warehouse folder, from a distributed listing."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .load(warehouse).select("path")
+    )
+    root = warehouse.rstrip("/").split("/")[-1]
+    parent = F.element_at(F.split(F.regexp_extract("path", rf"/{re.escape(root)}/([^/]+)/", 1), "/"), 1)
+    return files.select(parent.alias("table_name")).filter(F.col("table_name") != "").distinct()
+
+
+def warehouse_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """Every table of a warehouse folder as a DataFrame (for ``run_sql`` and ``table_counts``)."""
+    names = sorted(r["table_name"] for r in list_tables(spark, warehouse).collect())
+    return {n: spark.read.parquet(p) for n, p in table_paths(warehouse, names).items()}
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """A1 + Q2: (table_name, rows) for every table, in one job (a union of per-table counts)."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]

@@ -76,9 +76,12 @@ def start_stream_load(
         else:
             lines = _batch_lines(batch)
         files = lines.select("source_file", "file_name").distinct()
-        routes = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "stream-routes")
-        lines = lines.join(F.broadcast(routes.select("source_file")), "source_file", "left_semi") if routes.count() <= 200_000 \
-            else lines.join(routes.select("source_file"), "source_file", "left_semi")
+        routes, n_files = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "stream-routes", with_count=True)
+        if n_files == 0:
+            return
+        keep = routes.select("source_file")
+        # one row per file of the micro-batch: broadcast while that list is small, shuffle beyond
+        lines = lines.join(F.broadcast(keep) if n_files <= 200_000 else keep, "source_file", "left_semi")
         load_lines(spark, lines, routes, warehouse, ledger_path, opts)
 
     writer = stream.writeStream.foreachBatch(_load).option("checkpointLocation", checkpoint)
