@@ -108,3 +108,13 @@ def test_manifest_stream_and_list_tables(spark):
     assert sorted(r["table_name"] for r in list_tables(spark, f"{d}/wh").collect()) == ["T1", "T2"]
     counts = {r["table_name"]: r["rows"] for r in table_counts(warehouse_tables(spark, f"{d}/wh")).collect()}
     assert counts == {"T1": 3, "T2": 5}
+
+
+def test_period_grid_order_clamp_and_empty(spark):
+    from voltline.plans.acquire import period_grid
+
+    g = [(r["year"], r["month"]) for r in period_grid(spark, 2025, 2030, [1, 3, 2], "https://b/", current_year=2026).collect()]
+    assert g == [(2026, 3), (2026, 2), (2026, 1), (2025, 3), (2025, 2), (2025, 1)]
+    assert period_grid(spark, 2027, 2030, [1], "https://b/", current_year=2026).count() == 0
+    url = period_grid(spark, 2026, 2026, [1], "https://b/").first()["url"]
+    assert url == "https://b/2026/MMSDM_2026_01/MMSDM_Historical_Data_SQLLoader/DATA/"

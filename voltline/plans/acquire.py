@@ -45,10 +45,9 @@ def period_grid(spark: SparkSession, start_year: int | Column, end_year: int | C
     if current_year is not None:
         end = F.least(end, F.lit(current_year))
     months_col = months if isinstance(months, Column) else F.array(*[F.lit(m) for m in months])
-    grid = base.select(
-        F.explode(F.sequence(end, lit(start_year), F.lit(-1))).alias("year"),
-        F.sort_array(months_col, asc=False).alias("ms"),
-    ).filter(F.col("year") >= lit(start_year) if not isinstance(start_year, Column) else F.lit(True))
+    start = lit(start_year)
+    years = F.when(end >= start, F.sequence(end, start, F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    grid = base.select(F.explode(years).alias("year"), F.sort_array(months_col, asc=False).alias("ms"))
     grid = grid.select("year", F.explode("ms").alias("month"))
     return grid.select(
         F.col("year").cast("int").alias("year"),

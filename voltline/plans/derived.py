@@ -315,7 +315,7 @@ def q_ledger_skip(spark, sf_dir):
     """F8 with the original month grain: ledger from finished orders' files, candidates from all files."""
     from voltline.operators.ledger import ledger_skip
 
-    named = _named_periods(spark, sf_dir)
+    named = materialize(_named_periods(spark, sf_dir), "named-files")  # the file listing, written once
     cand = named.select(F.col("file_name").alias("source_file"), "table_name", "year", "month").distinct()
     kept = ledger_skip(cand, _ledger_from(named, "F"), grain="month")
     return kept.select(F.col("source_file").alias("file_name"), "table_name", "year", "month")
@@ -416,7 +416,7 @@ def q_link_manifest(spark, sf_dir):
     """G3 link stage: name match (F5), ledger skip by period (F8), already-local skip."""
     from voltline.plans.acquire import link_manifest
 
-    pages = _listing_pages(spark, sf_dir)
+    pages = materialize(_listing_pages(spark, sf_dir), "listing-pages")  # fetched pages, written once
     named = _named_periods(spark, sf_dir)
     local = pages.filter(F.col("o_orderstatus") == "F").select(F.col("href").alias("file_name"))
     out = link_manifest(pages.select("page_id", "url", "html"), catalog.DEFAULT_WANTED_TABLES, _ledger_from(named, "P"), local)
