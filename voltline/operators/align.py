@@ -55,23 +55,25 @@ def cast_to_target(batch: DataFrame, target: T.StructType, strict: bool = False)
     """Cast columns named in ``target``; returns (good rows, rejected rows with a reason).
 
     A row is rejected when a non-NULL value turns NULL in the cast. With ``strict`` an unconvertible
-    value fails the job (ANSI cast) instead.
+    value fails the job (ANSI cast) instead. Each value is converted once: the converted and the
+    original columns sit side by side in one projection, and both outputs select from it.
     """
     types = {f.name: f.dataType for f in target.fields}
     src = {f.name: f.dataType for f in batch.schema.fields}
-    casted = [
-        _convert(c, src[c], types[c], strict) if c in types and src[c] != types[c] else F.col(f"`{c}`")
-        for c in batch.columns
-    ]
-    lost = [
-        F.when(F.col(f"`{c}`").isNotNull() & _convert(c, src[c], types[c], False).isNull(), F.lit(c))
-        for c in batch.columns
-        if c in types and src[c] != types[c]
-    ]
-    if strict or not lost:
+    changing = [c for c in batch.columns if c in types and src[c] != types[c]]
+    if strict or not changing:
+        casted = [_convert(c, src[c], types[c], strict) if c in changing else F.col(f"`{c}`") for c in batch.columns]
         return batch.select(*casted), batch.limit(0).withColumn("_reject_reason", F.lit(None).cast("string"))
+    orig = {c: f"_orig_{i}" for i, c in enumerate(changing)}
+    both = batch.select(
+        *[_convert(c, src[c], types[c], False) if c in orig else F.col(f"`{c}`") for c in batch.columns],
+        *[F.col(f"`{c}`").alias(o) for c, o in orig.items()],
+    )
+    lost = [F.when(F.col(o).isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c, o in orig.items()]
     reason = F.concat_ws(",", *lost)
-    flagged = batch.withColumn("_reject_reason", F.when(reason != "", F.concat(F.lit("unconvertible: "), reason)))
-    good = flagged.filter(F.col("_reject_reason").isNull()).select(*casted)
-    bad = flagged.filter(F.col("_reject_reason").isNotNull())
+    flagged = both.withColumn("_reject_reason", F.when(reason != "", F.concat(F.lit("unconvertible: "), reason)))
+    good = flagged.filter(F.col("_reject_reason").isNull()).select(*[F.col(f"`{c}`") for c in batch.columns])
+    bad = flagged.filter(F.col("_reject_reason").isNotNull()).select(
+        *[F.col(orig[c]).alias(c) if c in orig else F.col(f"`{c}`") for c in batch.columns], "_reject_reason"
+    )
     return good, bad

@@ -139,11 +139,11 @@ class ParsedReport:
         secs = self.sections.filter((F.col("layout_id") == lay.layout_id) & F.col("file_ok"))
         rows = self._data_with_sections(secs.select("source_file", "h_pos", "n_pos"))
         schema = ", ".join(f"c{i} string" for i in range(lay.width))
-        parsed = rows.select(
-            "source_file", "block_start", "line_id",
-            F.from_csv("value", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}).alias("r"),
-        )
-        named = [null_if_token(F.col(f"r.c{lay.start_col + j}")).alias(name) for j, name in enumerate(lay.names)]
+        # the split is a generator output: filters on values derived from the fields cannot be pushed
+        # below it, so each line is parsed exactly once whatever the consumers do
+        fields = F.from_csv("value", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+        parsed = rows.select("source_file", "block_start", "line_id", F.inline(F.array(fields)))
+        named = [null_if_token(F.col(f"c{lay.start_col + j}")).alias(name) for j, name in enumerate(lay.names)]
         keep = [F.col("source_file").alias("_source_file"), F.col("block_start").alias("_block_start"), F.col("line_id").alias("_line_id")] if lineage else []
         return parsed.select(*keep, *named)
 
