@@ -98,3 +98,26 @@ def test_ledger_month_grain(spark):
     assert kept == ["f1", "f4"]
     kept = sorted(r["source_file"] for r in ledger_skip(cand, ledger, grain="file").collect())
     assert kept == ["f1", "f2", "f3", "f4"]
+
+
+def test_declared_schema_replaces_inference(spark, make_lines):
+    from pyspark.sql import types as T
+
+    from voltline.plans.load import load_lines
+
+    d = tempfile.mkdtemp(prefix="run-")
+    text = ("I,DISPATCH,PRICE,5,SETTLEMENTDATE,RUNNO,REGIONID,DISPATCHINTERVAL,INTERVENTION,RRP,LASTCHANGED\n"
+            'D,DISPATCH,PRICE,5,"2026/01/01 00:05:00",1,R1,1,0,10.5,"2026/01/01 00:00:04"\n')
+    lines = make_lines({"PUBLIC_DVD_DISPATCHPRICE_202601010000.CSV": text})
+    routes = spark.createDataFrame([("inbox/PUBLIC_DVD_DISPATCHPRICE_202601010000.CSV", "dispatchprice", 2026, 1)],
+                                   "source_file string, table_name string, year int, month int")
+    declared = T.StructType([
+        T.StructField("SETTLEMENTDATE", T.TimestampNTZType()), T.StructField("RUNNO", T.LongType()),
+        T.StructField("REGIONID", T.StringType()), T.StructField("DISPATCHINTERVAL", T.LongType()),
+        T.StructField("INTERVENTION", T.LongType()), T.StructField("RRP", T.DoubleType()),
+        T.StructField("LASTCHANGED", T.TimestampNTZType()),
+    ])
+    load_lines(spark, lines, routes, f"{d}/wh", None, declared={"DISPATCHPRICE": declared})
+    t = spark.read.parquet(f"{d}/wh/DISPATCHPRICE")
+    assert t.schema["LASTCHANGED"].dataType == T.TimestampNTZType()
+    assert t.first()["LASTCHANGED"].second == 4

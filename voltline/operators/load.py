@@ -96,8 +96,10 @@ def load_batch(
     data_cols = [c for c in batch.columns if c not in LINEAGE]
     target = table_schema(spark, table_path)
     if target is None:
+        # K1: a schema declared in the catalogue wins (V8), else the batch's (inferred) schema
+        declared = model.schema.fields if model.schema is not None else None
         schema = T.StructType(
-            [f for f in batch.schema.fields if f.name in data_cols]
+            (list(declared) if declared is not None else [f for f in batch.schema.fields if f.name in data_cols])
             + [T.StructField(c, T.StringType(), True) for c in STORED_LINEAGE]
         )
         create_table(spark, table_path, schema)

@@ -89,20 +89,23 @@ def load_lines(
     warehouse: str,
     ledger_path: str | None = None,
     opts: LoadOptions | None = None,
+    declared: dict | None = None,
 ) -> tuple[DataFrame, list[LoadReport]]:
     """Parse a lines frame and merge it into ``warehouse/<TABLE>``; returns (file status frame, reports).
 
     ``routes`` maps each source_file to table_name / year / month (see ``annotate_files``).
+    ``declared`` maps upper-case table names to a StructType used instead of inference (V8).
     """
     opts = opts or LoadOptions()
     parsed = parse_report(lines, sections=opts.sections)
     status = materialize(parsed.file_status().join(routes.select("source_file", "table_name", "year", "month"), "source_file", "left"), "file-status")
     reports: list[LoadReport] = []
+    declared = declared or {}
     for table, frames in tables_from_parsed(parsed, routes).items():
-        model = catalog.table_model(table)
+        model = catalog.table_model(table, declared.get(table.upper()))
         path = f"{warehouse.rstrip('/')}/{model.name}"
         batch = union_layouts(frames)
-        if table_schema(spark, path) is None:
+        if table_schema(spark, path) is None and model.schema is None:
             data_cols = [c for c in batch.columns if not c.startswith("_")]
             batch = apply_types(batch, infer_types(batch, data_cols))
         reports.append(load_batch(spark, batch, path, model, extra=opts.extra, strict=opts.strict))
