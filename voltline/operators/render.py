@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from voltline.session import ship_package
 from pyspark.sql import types as T
 
 _COMMENT_ID = -2
@@ -109,5 +111,6 @@ def write_report_files(lines: DataFrame, out_dir: str, newline: str = "\n") -> D
             stream.close()
             yield pd.DataFrame({"file_name": [current], "lines": [count]})
 
+    ship_package(lines.sparkSession)
     ordered = lines.repartition("file_name").sortWithinPartitions("file_name", "block_start", "line_id")
     return ordered.select("file_name", "value").mapInPandas(_write, "file_name string, lines long")

@@ -88,3 +88,33 @@ def path_exists(path: str) -> bool:
 
     filesystem, inner = open_filesystem(path)
     return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``voltline`` importable in Python workers (as ``--py-files`` would), once per application.
+
+    Needed by the operators that run Python on executors (zip expansion, file writers); the zip is
+    built on the driver and distributed by Spark.
+    """
+    import os
+    import zipfile
+
+    import voltline
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(voltline.__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="voltline-pyfiles-"), "voltline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

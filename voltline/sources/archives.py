@@ -15,6 +15,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltline.session import ship_package
+
 from voltline.functions.names import base_name, percent_decode
 from voltline.functions.text import drop_invalid_utf8
 
@@ -70,6 +72,7 @@ def expand_archives(archives: DataFrame, max_depth: int = 16) -> DataFrame:
             if rows:
                 yield pd.DataFrame(rows, columns=["archive", "member", "depth", "content", "error"])
 
+    ship_package(archives.sparkSession)
     return archives.select("archive", "content").mapInPandas(_expand, MEMBER_SCHEMA)
 
 
@@ -150,5 +153,6 @@ def write_zip_archives(rows: DataFrame, out_dir: str) -> DataFrame:
         if done:
             yield pd.DataFrame([done], columns=["archive", "members"])
 
+    ship_package(rows.sparkSession)
     ordered = rows.repartition("archive").sortWithinPartitions("archive", "inner", "member")
     return ordered.select("archive", "inner", "member", "data").mapInPandas(_write, "archive string, members long")
