@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -45,6 +46,8 @@ def main():
     from voltline.session import local_session
 
     spark = local_session()
+    if os.environ.get("CHECK_TZ"):  # run under another session time zone (results must not change)
+        spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

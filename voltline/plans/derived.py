@@ -31,8 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ym(ts: str | Column) -> Column:
+    """yyyyMM of a TIMESTAMP_NTZ, zone-free (field extraction, not date_format)."""
+    return F.format_string("%04d%02d", F.year(ts), F.month(ts))
+
+
+def ymd(ts: str | Column) -> Column:
+    return F.format_string("%04d%02d%02d", F.year(ts), F.month(ts), F.dayofmonth(ts))
+
+
 def month_file(prefix: str, ts: str = "o_orderdate") -> Column:
-    return F.concat(F.lit(prefix), F.date_format(ts, "yyyyMM"), F.lit("010000.CSV"))
+    return F.concat(F.lit(prefix), ym(ts), F.lit("010000.CSV"))
 
 
 def staged(lines: DataFrame) -> DataFrame:
@@ -183,7 +192,7 @@ def q_file_status(spark, sf_dir):
 def q_infer_types(spark, sf_dir):
     """Types inferred from lineitem rendered as text."""
     li = table(spark, sf_dir, "lineitem")
-    fname = F.concat(F.lit("PUBLIC_DVD_LINEITEM_"), F.date_format("l_shipdate", "yyyyMM"), F.lit("010000.CSV"))
+    fname = F.concat(F.lit("PUBLIC_DVD_LINEITEM_"), ym("l_shipdate"), F.lit("010000.CSV"))
     order = F.col("l_orderkey") * 16 + F.col("l_linenumber")
     lines = staged(render_report_lines(li, fname, order, report="LINEITEM", sub_report="LINEITEM"))
     rows = parse_report(lines).strings(0, lineage=False)
@@ -197,10 +206,11 @@ def q_coerce_datetime(spark, sf_dir):
     """Event times rendered in two layouts, date only, or junk; parsed zone-free."""
     e = table(spark, sf_dir, "events")
     style = F.pmod("event_id", F.lit(4))
+    iso = F.substring(F.col("ts").cast("string"), 1, 19)  # yyyy-MM-dd HH:mm:ss, zone-free
     text = (
-        F.when(style == 0, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
-        .when(style == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .when(style == 2, F.date_format("ts", "yyyy/MM/dd"))
+        F.when(style == 0, F.regexp_replace(iso, "-", "/"))
+        .when(style == 1, iso)
+        .when(style == 2, F.regexp_replace(F.substring(iso, 1, 10), "-", "/"))
         .otherwise(F.concat(F.lit("not a time "), F.col("event_id").cast("string")))
     )
     return e.select("event_id", parse_market_timestamp(text).alias("ts_parsed"))
@@ -211,12 +221,12 @@ def q_coerce_datetime(spark, sf_dir):
 def named_files(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     t = F.element_at(F.array(*[F.lit(x) for x in NAMING_TABLES]), (F.pmod("o_custkey", F.lit(len(NAMING_TABLES))) + 1).cast("int"))
-    ymd = F.date_format("o_orderdate", "yyyyMMdd")
+    day = ymd("o_orderdate")
     style = F.pmod("o_orderkey", F.lit(4))
     name = (
-        F.when(style == 0, F.concat(F.lit("PUBLIC_DVD_"), t, F.lit("_"), ymd, F.lit("0000.CSV")))
-        .when(style == 1, F.concat(F.lit("PUBLIC_ARCHIVE#"), t, F.lit("#FILE01#"), ymd, F.lit("0000.CSV")))
-        .when(style == 2, F.concat(F.lit("PUBLIC_ARCHIVE%23"), t, F.lit("%23FILE01%23"), ymd, F.lit("0000.CSV")))
+        F.when(style == 0, F.concat(F.lit("PUBLIC_DVD_"), t, F.lit("_"), day, F.lit("0000.CSV")))
+        .when(style == 1, F.concat(F.lit("PUBLIC_ARCHIVE#"), t, F.lit("#FILE01#"), day, F.lit("0000.CSV")))
+        .when(style == 2, F.concat(F.lit("PUBLIC_ARCHIVE%23"), t, F.lit("%23FILE01%23"), day, F.lit("0000.CSV")))
         .otherwise(F.concat(F.lower(t), F.lit(".csv")))
     )
     return o.select("o_orderkey", name.alias("file_name"), "o_orderstatus")
@@ -428,7 +438,7 @@ def q_link_manifest(spark, sf_dir):
 def _events_lines(spark, sf_dir, copy: str = "A"):
     # the report names the time column EVENT_TIME, so the loader coerces it (a column named ts stays text)
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "user_id", "event_type", "value", "props")
-    fname = F.concat(F.lit(f"PUBLIC_DVD_EVENTS_{copy}_"), F.date_format("event_time", "yyyyMMdd"), F.lit("0000.CSV"))
+    fname = F.concat(F.lit(f"PUBLIC_DVD_EVENTS_{copy}_"), ymd("event_time"), F.lit("0000.CSV"))
     return e, staged(render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS", directory=f"inbox{copy}"))
 
 
