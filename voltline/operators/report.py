@@ -193,10 +193,10 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     # data-line counts per file (lines before any header count as data but belong to no section)
     joined = parsed._data_with_sections(sec.select("source_file", "h_pos", "n_pos"), how="left")
     stats = materialize(
-        joined.groupBy("source_file", "file_name", "h_pos").agg(
+        joined.withColumn("width_", field_count("value")).groupBy("source_file", "file_name", "h_pos").agg(
             F.count("*").alias("rows"),
-            F.min_by(field_count("value"), "pos").alias("first_width"),
-            F.max(field_count("value")).alias("max_width"),
+            F.min_by("width_", "pos").alias("first_width"),
+            F.max("width_").alias("max_width"),
         ),
         "report-stats",
     )
