@@ -69,7 +69,7 @@ def q_parse_report(spark, sf_dir):
 def q_scan_report_lines(spark, sf_dir):
     """S1 + P2: orders written as report files, read back, lines counted per file and tag."""
     out = scratch_dir(spark, "scan")
-    write_report_files(orders_lines(spark, sf_dir), out).collect()
+    write_report_files(orders_lines(spark, sf_dir), out).count()
     tagged = tag_lines(read_report_lines(spark, out))
     return tagged.groupBy("file_name").agg(
         F.count_if(F.col("tag") == "I").alias("header_lines"),
@@ -505,7 +505,7 @@ def q_stream_load(spark, sf_dir):
     second = lines.join(early_files, "file_name", "left_anti")
     opts = LoadOptions(start_year=1900, end_year=2100)
     for i, drop in enumerate((first, second)):
-        write_report_files(drop, f"{root}/inbox/drop{i}").collect()
+        write_report_files(drop, f"{root}/inbox/drop{i}").count()
         q = start_stream_load(spark, f"{root}/inbox", f"{root}/wh", f"{root}/ledger", f"{root}/ckpt", opts)
         q.awaitTermination()
     return spark.read.parquet(f"{root}/wh/OTHER_DATA").drop("_source_file")
@@ -523,7 +523,7 @@ def q_expand_archives(spark, sf_dir):
         F.encode("text", "UTF-8").alias("data"),
     )
     out = scratch_dir(spark, "archives")
-    write_zip_archives(rows, out).collect()
+    write_zip_archives(rows, out).count()
     members = expand_archives(read_archives(spark, out))
     return members.select(
         F.substring_index("member", "/", -1).alias("member"), "depth",
