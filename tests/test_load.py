@@ -121,3 +121,21 @@ def test_declared_schema_replaces_inference(spark, make_lines):
     t = spark.read.parquet(f"{d}/wh/DISPATCHPRICE")
     assert t.schema["LASTCHANGED"].dataType == T.TimestampNTZType()
     assert t.first()["LASTCHANGED"].second == 4
+
+
+def test_bound_target_keeps_anti_join_exact(spark):
+    from voltline.operators.load import bound_target
+
+    batch = spark.createDataFrame(
+        [("2026-01-01 00:05:00", 1), ("2026-01-01 00:10:00", 2), (None, 3)], "k string, v int"
+    ).selectExpr("CAST(k AS TIMESTAMP_NTZ) AS k", "v")
+    target = spark.createDataFrame(
+        [("2026-01-01 00:05:00",), ("2025-12-31 23:55:00",), ("2026-01-01 00:15:00",), (None,)], "k string"
+    ).selectExpr("CAST(k AS TIMESTAMP_NTZ) AS k")
+    bounded = bound_target(target, batch, "k")
+    assert sorted(str(r["k"]) for r in bounded.collect()) == ["2026-01-01 00:05:00"]
+    new = sorted(r["v"] for r in anti_join_new(batch, bounded, ["k"]).collect())
+    assert new == sorted(r["v"] for r in anti_join_new(batch, target, ["k"]).collect()) == [2, 3]
+    # a batch whose key column is all NULL cannot match anything
+    nulls = batch.filter("k IS NULL")
+    assert bound_target(target, nulls, "k").count() == 0
