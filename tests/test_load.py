@@ -139,3 +139,20 @@ def test_bound_target_keeps_anti_join_exact(spark):
     # a batch whose key column is all NULL cannot match anything
     nulls = batch.filter("k IS NULL")
     assert bound_target(target, nulls, "k").count() == 0
+
+
+def test_load_inbox_join_route_for_many_files(spark, monkeypatch):
+    import os
+
+    import voltline.plans.load as pl
+
+    d = tempfile.mkdtemp(prefix="run-")
+    os.makedirs(f"{d}/inbox/sub")
+    _write(f"{d}/inbox", "PUBLIC_DVD_DISPATCHPRICE_202601010000.CSV", HEAD + 'D,DISPATCH,PRICE,5,"2026/01/01 00:05:00",1,R1,1,0,1.5\n')
+    _write(f"{d}/inbox/sub", "PUBLIC_DVD_DISPATCHPRICE_202601020000.CSV", HEAD + 'D,DISPATCH,PRICE,5,"2026/01/02 00:05:00",1,R1,1,0,2.5\n')
+    _write(f"{d}/inbox", "PUBLIC_DVD_DISPATCHPRICE_202501010000.CSV", HEAD + 'D,DISPATCH,PRICE,5,"2025/01/01 00:05:00",1,R1,1,0,9.5\n')
+    monkeypatch.setattr(pl, "PATH_LIST_MAX", 0)  # force the folder + join route
+    opts = LoadOptions(start_year=2026, end_year=2026, months=(1,))
+    _, report = load_inbox(spark, f"{d}/inbox", f"{d}/wh", f"{d}/ledger", opts)
+    assert report.first()["rows_loaded"] == 2
+    assert sorted(r["RRP"] for r in spark.read.parquet(f"{d}/wh/DISPATCHPRICE").collect()) == [1.5, 2.5]

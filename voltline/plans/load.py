@@ -25,6 +25,11 @@ from voltline.session import materialize
 from voltline.sources.lines import list_files, read_report_lines
 
 
+# candidate lists up to this size are passed to the reader as paths; beyond, the folder is joined
+PATH_LIST_MAX = 100_000
+BROADCAST_FILES_MAX = 1_000_000
+
+
 @dataclass
 class LoadOptions:
     start_year: int = catalog.DEFAULT_START_YEAR
@@ -127,11 +132,19 @@ def load_inbox(
     """G7 as one call: returns (file status frame, per-table report frame)."""
     opts = opts or LoadOptions()
     files = list_files(spark, inbox, "*.[cC][sS][vV]")
-    candidates = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "candidates")
-    paths = [r["source_file"] for r in candidates.select("source_file").collect()]
-    if not paths:
+    candidates, n = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "candidates", with_count=True)
+    if n == 0:
         empty = spark.createDataFrame([], REPORT_SCHEMA)
         return candidates.limit(0), empty
-    lines = read_report_lines(spark, paths, recursive=False)
+    if n <= PATH_LIST_MAX:
+        # a bounded list of new files: hand it to the reader, which then lists nothing else
+        paths = [r["source_file"] for r in candidates.select("source_file").collect()]
+        lines = read_report_lines(spark, paths, recursive=False)
+    else:
+        # very many files: read the folder, keep the candidates by a join (no path list on the driver)
+        keep = candidates.select("source_file")
+        lines = read_report_lines(spark, inbox).join(
+            F.broadcast(keep) if n <= BROADCAST_FILES_MAX else keep, "source_file", "left_semi"
+        )
     status, reports = load_lines(spark, lines, candidates, warehouse, ledger_path, opts)
     return status, spark.createDataFrame([r.as_row() for r in reports], REPORT_SCHEMA)
