@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from voltline.llm import url_filter
+from voltline.llm.fingerprints import op10_minhash_fingerprints
 from voltline.llm.language_id import op5_language_id
 from voltline.llm.line_quality import op3_quality_classifier
+from voltline.llm.packing import op9_packing
 from voltline.llm.personal_data import op1_personal_data
 from voltline.llm.quality_rules import op2_quality_rules
 from voltline.llm.secret_scans import op7_secret_scans
+from voltline.llm.set_join import op8_jaccard_join
 from voltline.llm.url_filter import op6_url_filter
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_personal_data, op2_quality_rules, op3_quality_classifier, op5_language_id, op6_url_filter, op7_secret_scans)
+    for f in (
+        op1_personal_data, op2_quality_rules, op3_quality_classifier, op5_language_id, op6_url_filter, op7_secret_scans,
+        op8_jaccard_join, op9_packing, op10_minhash_fingerprints,
+    )
 }
 SQL = {"op6_url_filter": url_filter.oracle()}
