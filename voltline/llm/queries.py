@@ -5,6 +5,7 @@ from __future__ import annotations
 from voltline.llm import url_filter
 from voltline.llm.fingerprints import op10_minhash_fingerprints
 from voltline.llm.language_id import op5_language_id
+from voltline.llm.lattice_pieces import op4_lattice_pieces
 from voltline.llm.line_quality import op3_quality_classifier
 from voltline.llm.packing import op9_packing
 from voltline.llm.personal_data import op1_personal_data
@@ -16,7 +17,7 @@ from voltline.llm.url_filter import op6_url_filter
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_personal_data, op2_quality_rules, op3_quality_classifier, op5_language_id, op6_url_filter, op7_secret_scans,
+        op1_personal_data, op2_quality_rules, op3_quality_classifier, op4_lattice_pieces, op5_language_id, op6_url_filter, op7_secret_scans,
         op8_jaccard_join, op9_packing, op10_minhash_fingerprints,
     )
 }
