@@ -6,7 +6,7 @@ columns of the input, also ones named like an output, never clash. A null text c
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +61,20 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, fn: Callable[[list[str]
     return src.mapInArrow(run, schema)
 
 
+def keep_texts(df: DataFrame, text_col: str, keep: Callable[[list[str]], Iterable[bool]]) -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text ``keep`` accepts; it is given blocks of texts."""
+    ship_package(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            for part in blocks(texts):
+                yield batch.slice(part.start, part.stop - part.start).filter(pa.array(keep(texts[part]), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def crc_mod(id_col: str, m: int):
     """crc32 of the id as text, modulo ``m``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % m

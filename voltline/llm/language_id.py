@@ -151,7 +151,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = bounded_sample(rows, "_key", cfg.sample_rows)
     buckets = cfg.buckets
     counted = map_texts(sample, "_lang", "_text", lambda t: _counts(t, buckets), {"bucket": "array<int>", "count": "array<long>"})
-    got = sorted(((r[0], np.array(r[1], np.int64), np.array(r[2], float)) for r in counted.collect()), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    got = sorted(((r[0], np.array(r[1], np.int64), np.array(r[2], float)) for r in counted.limit(cfg.sample_rows).collect()), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
     return fit(got, cfg)
 
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import crc_mod, map_texts, table
+from voltline.llm.common import crc_mod, keep_texts, map_texts, table
 from voltline.llm.sampling import bounded_sample
 from voltline.llm.textarrays import mix, segment_hashes, words_of
 
@@ -253,12 +253,17 @@ def score(docs: DataFrame, model: ChainModel, id_col: str = "doc_id", text_col:
     return map_texts(docs, id_col, text_col, run, {"score": "double", "predicted": "int"})
 
 
-def trained_on(spark: SparkSession, sf_dir: str) -> ChainModel:
-    """The model of the labelled documents outside the held-out third."""
-    labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1)
-    return train(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+def keep_good(docs: DataFrame, model: ChainModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, all columns unchanged."""
+    return keep_texts(docs, text_col, lambda t: model.scores(t) >= least)
+
+
+def trained_on(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ChainModel:
+    """The model of the labelled rows of ``docs`` outside the held-out third."""
+    return train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score(table(spark, sf_dir, "documents"), trained_on(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, trained_on(spark, docs, sf_dir))
     return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")

@@ -308,7 +308,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg:
         return {k: [r[i] for r in rows] for i, k in enumerate(("y", "feature", "chain", "skip"))}
 
     fields = dict.fromkeys(("y", "feature", "chain", "skip"), "array<int>")
-    got = map_texts(bounded_sample(docs.select(id_col, text_col), id_col, cfg.sample_rows), id_col, text_col, run, fields).where("y is not null").drop(id_col).collect()
+    got = map_texts(bounded_sample(docs.select(id_col, text_col), id_col, cfg.sample_rows), id_col, text_col, run, fields).where("y is not null").drop(id_col).limit(cfg.sample_rows).collect()
     got = sorted(tuple(map(tuple, r)) for r in got)  # the fit doesn't depend on the order of tasks
     arrays = [Nodes(np.array(r[0]), np.array(r[0]), np.array(r[1], np.int64).reshape(-1, N_FEATURES), np.array(r[2], np.int64).reshape(-1, 2), np.array(r[3], np.int64).reshape(-1, 2)) for r in got]
     feature, chain, skip, _ = _together(arrays)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from voltline.llm.common import map_texts, table
+from voltline.llm.common import keep_texts, map_texts, table
 from voltline.llm.textarrays import mix, segment_hashes, words_of
 
 
@@ -163,5 +163,10 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return map_texts(docs, id_col, text_col, lambda t: measure(t, limits), FIELDS)
 
 
+def keep_regular(docs: DataFrame, text_col: str = "text", limits: RepetitionLimits = RepetitionLimits()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns unchanged."""
+    return keep_texts(docs, text_col, lambda t: measure(t, limits)["kept"])
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The ``rows`` rows of smallest key hash (repeatable; all rows when there are fewer).
+    """The ``rows`` rows of smallest key hash (repeatable; all rows when there are fewer), more only if ids repeat.
 
-    Only hashes are sorted; the rows themselves are filtered by the last hash, so texts don't move.
+    Only hashes are sorted; the rows themselves are filtered by the last hash, so texts don't move. Callers put
+    ``limit(rows)`` behind what they make of the rows.
     """
     h = F.xxhash64(F.lit("sample"), F.col(key))
     last = df.select(h.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    return df.where(h <= F.lit(last)).limit(rows) if last is not None else df.limit(0)
+    return df.where(h <= F.lit(last)) if last is not None else df.limit(0)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.common import blocks, map_texts, table
-from voltline.llm.linking import Similarity, sets_of, text_key, with_components
+from voltline.llm.linking import BROADCAST_ROWS, Similarity, sets_of, text_key, with_components
 from voltline.llm.textarrays import shingles, words_of
 from voltline.session import materialize, ship_package
 
@@ -102,5 +102,24 @@ def _named(rows: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
     return out.select(id_col, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` with one of each group of linked rows: that of the least id, then text key; null ids last.
+
+    Of rows that are equal in id and text one stays; rows without words are linked with nothing and all stay. Only
+    the keys of dropped rows meet the documents, by broadcast while they are few."""
+    clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    who = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_key(clean).alias("text"))
+    found = materialize(similar_components(docs.select(who.alias("_who"), F.col(text_col)), "_who", text_col, sim), "grouped-docs")
+    worded = found.where("n_shingles > 0")
+    lost, n = materialize(worded.where("_who != component_id").select("_who").distinct(), "lost", with_count=True)
+    again, m = materialize(worded.where("_who = component_id").groupBy("_who").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_who"), "again", with_count=True)
+    marked = docs.withColumn("_who", who)
+    kept = marked.join(F.broadcast(lost) if n <= BROADCAST_ROWS else lost, "_who", "left_anti")
+    if m:  # rows that repeat as they are
+        keys = F.broadcast(again) if m <= BROADCAST_ROWS else again
+        kept = kept.join(keys, "_who", "left_anti").unionByName(kept.join(keys, "_who", "left_semi").dropDuplicates(["_who"]))
+    return kept.select(*docs.columns)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
