@@ -39,15 +39,13 @@ def subwords(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(text index, bucket) of each n-gram. Characters that are no letters part words."""
     raw = ["".join(c if c.isalpha() else " " for c in t.lower()) if not t.isascii() else t.lower() for t in texts]
     data = [r.encode("utf-8", "ignore") for r in raw]
-    buf = np.frombuffer(b" " + b"  ".join(data) + b" ", np.uint8)
+    buf = np.frombuffer(b"".join(b" %b " % d for d in data), np.uint8)
+    owner = np.repeat(np.arange(len(texts)), [len(d) + 2 for d in data])
     b = np.where(_KEEP[buf], buf, np.uint8(32)).astype(np.uint32)
-    bounds = np.cumsum([0, *(len(d) + 2 for d in data)])
     space = b == 32
-    single = np.concatenate([[True], ~(space[1:] & space[:-1])])  # one space at most between words
-    cut = np.searchsorted(np.flatnonzero(single), bounds)
-    b, space = b[single], space[single]
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.minimum(cut, len(b))))
-    owner = np.append(owner, np.full(len(b) - len(owner), len(texts) - 1))
+    again = np.zeros(len(b), bool)  # one space at most between words
+    again[1:] = space[1:] & space[:-1] & (owner[1:] == owner[:-1])
+    b, space, owner = b[~again], space[~again], owner[~again]
     docs, grams = [], []
     h = b * np.uint32(0x01000193)
     for n in range(2, max(ORDERS) + 1):
@@ -56,7 +54,6 @@ def subwords(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
             ok = owner[: len(h)] == owner[n - 1 :]
             for j in range(1, n - 1):  # no space inside: subwords of one word and its edges
                 ok &= ~space[j : j + len(h)]
-            ok &= ~(space[: len(h)] & space[n - 1 :])
             v = h[ok]
             v = (v ^ (v >> np.uint32(15))) * np.uint32(0x85EBCA6B)
             docs.append(owner[: len(h)][ok])
