@@ -8,7 +8,7 @@ from voltline.llm import line_quality, secret_scans
 from voltline.llm.quality_rules import RepetitionLimits, measure
 from voltline.llm.wordbpe import encoder
 
-from .test_set_join import brute
+from test_set_join import brute
 
 
 @pytest.fixture(scope="module")
