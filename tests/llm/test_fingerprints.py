@@ -3,6 +3,8 @@ import re
 
 import numpy as np
 
+from test_set_join import brute, near_copies as near_texts
+
 from voltline.llm import fingerprints as P
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,3 +57,12 @@ def test_odd_rows(odd_docs, no_docs):
     same = {r.doc_id: r.fingerprint for r in P.fingerprints(odd_docs).where("doc_id in (0, 5, 6)").collect()}
     assert same == {r.doc_id: r.fingerprint for r in rows if r.doc_id in (0, 5, 6)}
     assert P.edit_likeness(no_docs).count() == 0 and P.fingerprints(no_docs).count() == 0
+
+
+def test_near_copies_match_brute_force(spark, odd_docs, no_docs):
+    texts = near_texts(5)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r[0]: (r[1], r[2]) for r in P.near_copies(docs).collect()} == brute(texts, CFG.sets)
+    by = {r.doc_id: r for r in P.near_copies(odd_docs).collect() if r.doc_id not in (4, None)}
+    assert by[7].component_id == 0 and by[1].component_id == 1 and by[1].n_shingles == 0
+    assert P.near_copies(no_docs).count() == 0

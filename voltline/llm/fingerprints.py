@@ -3,6 +3,7 @@
 A text's fingerprint is the minimum of each of ``perms`` universal hash permutations x -> a*x + b (a odd, modulo
 2^32) over its word shingles, kept to 16 bits each, as hex: equal texts have equal fingerprints, and the share of
 equal places estimates the Jaccard similarity of the shingle sets. Signatures are computed in numpy, block by block.
+Near copies are found through signature bands joined in Spark; each candidate's Jaccard similarity is verified.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import ARROW, BLOCK_CHARS, map_texts, table
-from voltline.llm.textarrays import shingles, words_of
-from voltline.session import ship_package
+from voltline.llm.common import BLOCK_CHARS, map_texts, table
+from voltline.llm.linking import Similarity, classes_of, named, sets_of, text_key, with_components
+from voltline.llm.textarrays import mix, shingles, words_of
+from voltline.session import materialize, ship_package
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,10 @@ class MinHashConfig:
     band_rows: int = 4  # perms / band_rows bands: at Jaccard 0.8 a pair shares none of 32 bands once in 2 * 10^7
     similarity: tuple[int, int] = (80, 100)
 
+    @property
+    def sets(self) -> Similarity:
+        return Similarity(self.shingle, *self.similarity, lower=False)
+
 
 def _permutations(cfg: MinHashConfig) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(cfg.seed)
@@ -66,6 +72,38 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(docs, id_col, text_col, lambda t: {"fingerprint": _hex(_short(signatures(t, cfg)))}, {"fingerprint": "string"})
 
 
+# --- near copies ------------------------------------------------------------------------------
+
+
+def band_rows(docs: DataFrame, id_col: str, text_col: str, cfg: MinHashConfig) -> DataFrame:
+    """(id, tkey, n, k1, k2, keys) of each row: size and key of its shingle set, and a key for each signature band."""
+    sim = cfg.sets
+
+    def run(texts: list[str]) -> dict[str, list]:
+        s = sets_of(texts, sim)
+        n = np.diff(s.off)
+        rows = signatures(texts, cfg).reshape(len(texts), -1, cfg.band_rows).astype(np.uint64)
+        key = np.broadcast_to(np.arange(rows.shape[1], dtype=np.uint64), rows.shape[:2])
+        for j in range(cfg.band_rows):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, j])
+        return {"n": n, "k1": s.k1, "k2": s.k2, "keys": [k if m else [] for k, m in zip(key.view(np.int64), n.tolist())]}
+
+    clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    who = docs.select(F.struct(F.col(id_col).alias("id"), text_key(clean).alias("tkey")).alias("_who"), clean.alias("_text"))
+    got = map_texts(who, "_who", "_text", run, {"n": "long", "k1": "long", "k2": "long", "keys": "array<long>"})
+    return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "keys")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: MinHashConfig = MinHashConfig()) -> DataFrame:
+    """(id, n_shingles, component_id) of each row: the least id reached by verified links of pairs that share a band.
+
+    Equal sets are one class before the bands are joined, lists of a hot band are cut into blocks, and a candidate's
+    similarity is exact. Texts without words are alone; null ids as in the set join."""
+    rows = materialize(band_rows(docs.select(id_col, text_col), id_col, text_col, cfg), "bands")
+    classes = classes_of(rows, id_col)
+    return named(rows, with_components(classes, docs, text_col, cfg.sets, positional=False), id_col)
+
+
 # --- a document, its edited text and the next document ----------------------------------------
 
 

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltline.llm.components import components
@@ -263,6 +263,26 @@ def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFr
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
+# --- classes and rows --------------------------------------------------------------------------
+
+
+def classes_of(rows: DataFrame, id_col: str) -> DataFrame:
+    """One written row per distinct non-empty set: a number, the least id, and what its members share."""
+    one = rows.where("n > 0").groupBy("k1", "k2").agg(
+        F.min(id_col).alias("rep"), F.first("n").alias("n"), F.min("tkey").alias("tkey"), F.first("keys").alias("keys")
+    )
+    return materialize(one.withColumn("sid", F.monotonically_increasing_id()), "classes")
+
+
+def named(rows: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
+    """Each row with the least id of its class's component."""
+    grouped = grouped.select("k1", "k2", "rep", "component")
+    least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
+    by_set = grouped.join(least, "component").select("k1", "k2", "component_id")
+    out = rows.select(id_col, F.col("n").alias("n_shingles"), "k1", "k2").join(by_set, ["k1", "k2"], "left")
+    return out.select(id_col, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
+
+
 # --- the whole ---------------------------------------------------------------------------------
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.common import blocks, map_texts, table
-from voltline.llm.linking import BROADCAST_ROWS, Similarity, sets_of, text_key, with_components
+from voltline.llm.linking import BROADCAST_ROWS, Similarity, classes_of, named, sets_of, text_key, with_components
 from voltline.llm.textarrays import shingles, words_of
 from voltline.session import materialize, ship_package
 
@@ -74,14 +74,6 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> Da
     return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "keys")
 
 
-def classes_of(rows: DataFrame, id_col: str) -> DataFrame:
-    """One written row per distinct non-empty set: a number, the least id, and what its members share."""
-    one = rows.where("n > 0").groupBy("k1", "k2").agg(
-        F.min(id_col).alias("rep"), F.first("n").alias("n"), F.min("tkey").alias("tkey"), F.first("keys").alias("keys")
-    )
-    return materialize(one.withColumn("sid", F.monotonically_increasing_id()), "classes")
-
-
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim: Similarity = Similarity()) -> DataFrame:
     """(id, n_shingles, component_id) of each row: the least id that links reach, itself included.
 
@@ -90,16 +82,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = materialize(set_rows(docs.select(id_col, text_col), id_col, text_col, sim), "sets")
     classes = classes_of(rows, id_col)
-    return _named(rows, with_components(classes, docs, text_col, sim, positional=True), id_col)
-
-
-def _named(rows: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
-    """Each row with the least id of its class's component."""
-    grouped = grouped.select("k1", "k2", "rep", "component")
-    least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = grouped.join(least, "component").select("k1", "k2", "component_id")
-    out = rows.select(id_col, F.col("n").alias("n_shingles"), "k1", "k2").join(by_set, ["k1", "k2"], "left")
-    return out.select(id_col, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
+    return named(rows, with_components(classes, docs, text_col, sim, positional=True), id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim: Similarity = Similarity()) -> DataFrame:
