@@ -54,7 +54,7 @@ def test_source_dispatch_and_fallback_feed(spark):
     with pytest.raises(ValueError):
         check_source("ftp")
     fr = feeds_frame(spark, None, "https://h.example/Current/").collect()
-    assert fr[0]["name"] == "current_root" and fr[0]["include_patterns"] == []
+    assert fr[0]["name"] == "root" and fr[0]["include_patterns"] == []
     assert feeds_frame(spark, None, None).count() == 0
 
 
@@ -67,13 +67,33 @@ def test_plan_downloads_archive_and_current(spark):
     empty = read_ledger(spark, None)
     got = plan_downloads(spark, "archive", pages, empty, local, feeds=feeds, start_year=2026, end_year=2026, months=[1])
     assert [r["file_name"] for r in got.collect()] == ["PUBLIC_DISPATCHIS_202601011200.ZIP"]
-    ledger = spark.createDataFrame([("dispatchprice", 2026, 1, "x", 1, None)], empty.schema)
+    ledger = spark.createDataFrame([("dispatchprice", 2026, 1, "x", 1, None, None, None)], empty.schema)
     got = plan_downloads(spark, "archive", pages, ledger, local, feeds=feeds, start_year=2026, end_year=2026, months=[1])
     assert got.count() == 0  # every table of the feed is loaded for that month
     cur = plan_downloads(spark, "current", pages, empty, local, feeds=feeds)
     assert sorted(r["file_name"] for r in cur.collect()) == ["PUBLIC_DISPATCHIS_202512011200.ZIP", "PUBLIC_DISPATCHIS_202601011200.ZIP"]
 
 
+def test_historical_plan_reads_wanted_months_and_asks_for_the_pages_month(spark):
+    from voltline.plans.acquire import month_pages
+
+    base = "https://h.example/"
+    page = lambda m: f"{base}2026/MMSDM_2026_{m:02d}/MMSDM_Historical_Data_SQLLoader/DATA/"
+    names = ["PUBLIC_DVD_DISPATCHPRICE_202602010000.zip", "PUBLIC_ARCHIVE%23TRADINGPRICE%23LATEST.zip"]
+    html = "".join(f'<a href="{n}">x</a>' for n in names)
+    pages = spark.createDataFrame([(m, page(m), html) for m in (1, 2, 3, 4)], "page_id long, url string, html string")
+    schema = read_ledger(spark, None).schema
+    ledger = spark.createDataFrame([(t, 2026, m, f"{t}{m}", 1, None, None, None) for t, m in (("dispatchprice", 1), ("tradingprice", 1), ("dispatchprice", 2))], schema)
+    local = spark.createDataFrame([("PUBLIC_DVD_DISPATCHPRICE_202603010000.zip",)], "file_name string")
+    wanted = ("DISPATCHPRICE", "TRADINGPRICE")
+    args = dict(start_year=2025, end_year=2030, months=[1, 2, 3], current_year=2026)
+    grid = {(r["year"], r["month"]) for r in month_pages(spark, wanted, ledger, local, base, **args).collect()}
+    assert grid == {(2025, 1), (2025, 2), (2025, 3), (2026, 2), (2026, 3)}  # 2026/1 is complete, later years are to come
+    got = plan_downloads(spark, "mmsdm", pages, ledger, local, tables=wanted, base_url=base, **args).collect()
+    # page 2: its price file is loaded by the page's month; page 3: nothing is
+    assert sorted((r["page_id"], r["table_name"]) for r in got) == [(2, "tradingprice"), (3, "dispatchprice"), (3, "tradingprice")]
+
+
 def test_extract_plan_period_filter(spark):
     d = tempfile.mkdtemp(prefix="run-")
     for name in ("PUBLIC_DVD_X_202601010000.zip", "PUBLIC_DVD_X_202501010000.zip", "PUBLIC_DVD_X_LATEST.zip"):

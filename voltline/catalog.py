@@ -71,12 +71,6 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 # A column whose upper-cased name contains one of these is coerced to a timestamp.
 DATETIME_NAME_MARKERS = ("DATE", "TIME")
 
-# Timestamp layouts accepted in report fields (zone-free market time).
-DATETIME_LAYOUTS = ("yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "yyyy-MM-dd")
-
-# Month listing page of the historical data model archive.
-MONTH_URL_TEMPLATE = "{base}{year}/MMSDM_{year}_{month:02d}/MMSDM_Historical_Data_SQLLoader/DATA/"
-
 # Default period window and poll intervals.
 DEFAULT_START_YEAR = 2026
 DEFAULT_END_YEAR = 2026
@@ -106,7 +100,3 @@ class TableModel:
 def table_model(name: str, schema: T.StructType | None = None) -> TableModel:
     upper = name.upper()
     return TableModel(upper, PRIMARY_KEYS.get(upper, ()), schema)
-
-
-def all_table_names() -> list[str]:
-    return list(ROUTABLE_TABLES) + [FALLBACK_TABLE]

@@ -9,5 +9,5 @@ from voltline.functions.names import (  # noqa: F401
     route_table,
     strip_extension,
 )
-from voltline.functions.text import clean_line, drop_invalid_utf8, field_count, null_if_token  # noqa: F401
+from voltline.functions.text import drop_invalid_utf8, field_count, null_if_token, quoted  # noqa: F401
 from voltline.functions.timestamps import parse_market_timestamp  # noqa: F401

@@ -19,6 +19,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds (back-ticks are doubled)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def drop_invalid_utf8(value: Column | str) -> Column:
     """Invalid UTF-8 bytes are dropped (a genuine U+FFFD in such a line goes too).
 
@@ -33,11 +38,6 @@ def strip_right(value: Column | str) -> Column:
     return F.rtrim(_col(value), F.lit(WHITESPACE))
 
 
-def clean_line(value: Column | str) -> Column:
-    """P1 + P2 clean-up: drop invalid bytes, strip trailing white space."""
-    return strip_right(drop_invalid_utf8(value))
-
-
 def _commas(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(","), F.lit("")))
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltline.operators.infer import cast_string_column
+from voltline.functions.text import quoted
+from voltline.operators.infer import cast_string_column, is_datetime_name
 
 
 @dataclass
@@ -34,46 +35,48 @@ def align_schema(batch: DataFrame, target: T.StructType, extra: str = "drop", ke
     names = [f.name for f in target.fields]
     added = [f.name for f in target.fields if f.name not in have]
     dropped = [c for c in batch.columns if c not in set(names) and c not in set(keep)]
-    cols = [F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
+    cols = [quoted(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
     if extra == "add":
-        cols += [F.col(f"`{c}`") for c in dropped]
+        cols += [quoted(c) for c in dropped]
         dropped = []
     elif extra != "drop":
         raise ValueError("extra must be 'drop' or 'add'")
-    cols += [F.col(f"`{c}`") for c in keep if c in have]
+    cols += [quoted(c) for c in keep if c in have]
     return Aligned(batch.select(*cols), added, dropped)
 
 
 def _convert(name: str, source: T.DataType, target: T.DataType, strict: bool):
     if isinstance(source, T.StringType) and not isinstance(target, T.StringType):
         return cast_string_column(name, target, strict)
-    c = F.col(f"`{name}`")
+    c = quoted(name)
     return (c.cast(target) if strict else c.try_cast(target)).alias(name)
 
 
 def cast_to_target(batch: DataFrame, target: T.StructType, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Cast columns named in ``target``; returns (good rows, rejected rows with a reason).
 
-    A row is rejected when a non-NULL value turns NULL in the cast. With ``strict`` an unconvertible
-    value fails the job (ANSI cast) instead. Each value is converted once: the converted and the
+    A row is rejected when a non-NULL value turns NULL in the cast, except in a timestamp column whose name
+    says date or time: there unparseable text is NULL on every load, the first and later ones (P9). With
+    ``strict`` an unconvertible value fails the job (ANSI cast) instead. Each value is converted once: the converted and the
     original columns sit side by side in one projection, and both outputs select from it.
     """
     types = {f.name: f.dataType for f in target.fields}
     src = {f.name: f.dataType for f in batch.schema.fields}
     changing = [c for c in batch.columns if c in types and src[c] != types[c]]
     if strict or not changing:
-        casted = [_convert(c, src[c], types[c], strict) if c in changing else F.col(f"`{c}`") for c in batch.columns]
+        casted = [_convert(c, src[c], types[c], strict) if c in changing else quoted(c) for c in batch.columns]
         return batch.select(*casted), batch.limit(0).withColumn("_reject_reason", F.lit(None).cast("string"))
     orig = {c: f"_orig_{i}" for i, c in enumerate(changing)}
     both = batch.select(
-        *[_convert(c, src[c], types[c], False) if c in orig else F.col(f"`{c}`") for c in batch.columns],
-        *[F.col(f"`{c}`").alias(o) for c, o in orig.items()],
+        *[_convert(c, src[c], types[c], False) if c in orig else quoted(c) for c in batch.columns],
+        *[quoted(c).alias(o) for c, o in orig.items()],
     )
-    lost = [F.when(F.col(o).isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c, o in orig.items()]
+    coerced = {c for c in changing if is_datetime_name(c) and isinstance(types[c], (T.TimestampNTZType, T.TimestampType))}
+    lost = [F.when(F.col(o).isNotNull() & quoted(c).isNull(), F.lit(c)) for c, o in orig.items() if c not in coerced]
     reason = F.concat_ws(",", *lost)
     flagged = both.withColumn("_reject_reason", F.when(reason != "", F.concat(F.lit("unconvertible: "), reason)))
-    good = flagged.filter(F.col("_reject_reason").isNull()).select(*[F.col(f"`{c}`") for c in batch.columns])
+    good = flagged.filter(F.col("_reject_reason").isNull()).select(*[quoted(c) for c in batch.columns])
     bad = flagged.filter(F.col("_reject_reason").isNotNull()).select(
-        *[F.col(orig[c]).alias(c) if c in orig else F.col(f"`{c}`") for c in batch.columns], "_reject_reason"
+        *[F.col(orig[c]).alias(c) if c in orig else quoted(c) for c in batch.columns], "_reject_reason"
     )
     return good, bad

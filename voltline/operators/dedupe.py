@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# batches with at most this many distinct keys take the broadcast semi-join route of J1
-BROADCAST_KEYS_MAX = 2_000_000
+from voltline.functions.text import quoted
+
+# batches whose distinct keys take at most this many bytes (64 for a text) take the broadcast semi-join route of J1
+BROADCAST_KEY_BYTES = 64 << 20
 
 
 def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -19,10 +21,10 @@ def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    packed = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)],
-                      *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(rest)])
-    agg = df.groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.min(packed).alias("_first"))
-    out = {k: F.col(f"`{k}`") for k in key}
+    packed = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order)],
+                      *[quoted(c).alias(f"v{i}") for i, c in enumerate(rest)])
+    agg = df.groupBy(*[quoted(k) for k in key]).agg(F.min(packed).alias("_first"))
+    out = {k: quoted(k) for k in key}
     out.update({c: F.col(f"_first.v{i}").alias(c) for i, c in enumerate(rest)})
     return agg.select(*[out[c].alias(c) for c in df.columns])
 
@@ -36,12 +38,16 @@ def anti_join_new(batch: DataFrame, target: DataFrame, key: Sequence[str], known
     broadcast back into the anti-join. Beyond the bound both sides are shuffled on the key.
     """
     key = list(key)
-    keys = batch.select(*key).dropDuplicates()
+    plain = {k: f"_k{i}" for i, k in enumerate(key)}  # join columns, whatever the names hold
+    on = list(plain.values())
+    wide = batch.select("*", *[quoted(k).alias(p) for k, p in plain.items()])
+    existing = target.select(*[quoted(k).alias(p) for k, p in plain.items()])
+    keys = wide.select(*on).dropDuplicates()
     n = known_keys if known_keys is not None else keys.count()
-    if n <= BROADCAST_KEYS_MAX:
-        existing = target.select(*key).join(F.broadcast(keys), key, "left_semi")
-        return batch.join(F.broadcast(existing.dropDuplicates()), key, "left_anti")
-    return batch.join(target.select(*key), key, "left_anti")
+    row_bytes = sum(8 if f.dataType.simpleString() not in ("string", "binary") else 64 for f in keys.schema.fields)
+    if n * row_bytes <= BROADCAST_KEY_BYTES:
+        existing = F.broadcast(existing.join(F.broadcast(keys), on, "left_semi").dropDuplicates())
+    return wide.join(existing, on, "left_anti").drop(*on)
 
 
 def pk_audit(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ Inference is one global aggregate (partial aggregation on every partition, one r
 Rules, per column, over its non-NULL values:
 
     no values at all                  -> DOUBLE (TIMESTAMP_NTZ for a date/time-named column)
-    every value an integer (64 bit)   -> BIGINT
+    every value an integer (64 bit)   -> BIGINT (a wider integer makes the column STRING)
     every value a decimal number      -> DOUBLE
     every value a true/false word     -> BOOLEAN
     otherwise                         -> STRING
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltline import catalog
+from voltline.functions.text import quoted
 from voltline.functions.timestamps import parse_market_timestamp
 
 # Shapes of integer and decimal text. The pattern is checked before the cast: a failed cast costs an
@@ -46,6 +47,7 @@ def value_class(c):
     """Small integer class of one text value: integer 3, other number 2, true/false word 4, other 0."""
     return F.when(c.isNull(), F.lit(_INT_BIT | _NUM_BIT | _BOOL_BIT)).otherwise(
         F.when(_is_integer(c), F.lit(_INT_BIT | _NUM_BIT))
+        .when(c.rlike(_INT), F.lit(0))  # an integer beyond 64 bit keeps its digits as text
         .when(_is_decimal(c), F.lit(_NUM_BIT))
         .when(c.isin(*catalog.TRUE_TOKENS, *catalog.FALSE_TOKENS), F.lit(_BOOL_BIT))
         .otherwise(F.lit(0))
@@ -61,7 +63,7 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
     """Infer a type per string column with a single aggregate over ``df`` (two small aggregates per column)."""
     aggs = []
     for i, name in enumerate(columns):
-        c = F.col(f"`{name}`")
+        c = quoted(name)
         aggs += [F.count(c).alias(f"n{i}"), F.bit_and(value_class(c)).alias(f"m{i}")]
     if not aggs:
         return {}
@@ -87,7 +89,7 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
 
 def cast_string_column(name: str, target: T.DataType, strict: bool = False):
     """String column -> ``target``; unconvertible text becomes NULL (or fails with ``strict``)."""
-    c = F.col(f"`{name}`")
+    c = quoted(name)
     if isinstance(target, T.StringType):
         return c.alias(name)
     if isinstance(target, (T.TimestampNTZType, T.TimestampType)):
@@ -103,4 +105,4 @@ def cast_string_column(name: str, target: T.DataType, strict: bool = False):
 
 def apply_types(df: DataFrame, types: dict[str, T.DataType], strict: bool = False) -> DataFrame:
     """Cast the listed string columns, keep every other column as it is."""
-    return df.select(*[cast_string_column(c, types[c], strict) if c in types else F.col(f"`{c}`") for c in df.columns])
+    return df.select(*[cast_string_column(c, types[c], strict) if c in types else quoted(c) for c in df.columns])

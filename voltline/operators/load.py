@@ -5,6 +5,10 @@
     -> first-wins dedupe inside the batch (D1) -> drop keys already in the target (J1)
     -> append (K2), with counters for every step (D3)
 
+Rows that cannot be loaded (a value that does not convert, a NULL in a key column: V4, V11) go to the
+``_rejects`` table beside the tables, with their file, line and reason, so for every load
+``rows_in = rows_loaded + already_present + dup_in_batch + rejected``.
+
 Tables without a primary key are guarded by the ``_source_file`` lineage column instead: rows of a
 file that is already in the table are not appended again, so replaying a batch is a no-op (V10).
 The deduped batch is written once to the session's shared checkpoint folder (lineage cut: a lost
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltline.catalog import TableModel
+from voltline.functions.text import quoted
 from voltline.operators.align import align_schema, cast_to_target
 from voltline.operators.dedupe import anti_join_new, dedupe_first
 from voltline.session import materialize, path_exists
@@ -41,19 +46,38 @@ class LoadReport:
     added_columns: list[str] = field(default_factory=list)
     dropped_columns: list[str] = field(default_factory=list)
     key_checked: bool = True
+    loaded_by_file: DataFrame | None = None  # (source_file, rows_loaded) of this load
 
     def as_row(self) -> tuple:
-        return (self.table, self.rows_in, self.rejected, self.dup_in_batch, self.already_present, self.rows_loaded)
+        return (self.table, self.rows_in, self.rejected, self.dup_in_batch, self.already_present, self.rows_loaded, self.dropped_columns)
+
+
+REPORT_SCHEMA = "table_name string, rows_in bigint, rejected bigint, dup_in_batch bigint, already_present bigint, rows_loaded bigint, dropped_columns array<string>"
+
+# The rejects of every load under one warehouse; a leading underscore keeps it out of the table listing.
+REJECTS = "_rejects"
+REJECT_SCHEMA = "table_name string, source_file string, block_start bigint, line_id bigint, reason string, row string"
+
 
+def write_rejects(warehouse: str, rows: DataFrame) -> int:
+    """Append rows to the warehouse's rejects; columns of ``REJECT_SCHEMA`` that ``rows`` lacks are NULL. Returns their number."""
+    fields = [c.split() for c in REJECT_SCHEMA.split(", ")]
+    n = Observation("rejects")
+    out = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in fields])
+    out.observe(n, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(f"{warehouse.rstrip('/')}/{REJECTS}")
+    return n.get["n"]
 
-REPORT_SCHEMA = "table_name string, rows_in bigint, rejected bigint, dup_in_batch bigint, already_present bigint, rows_loaded bigint"
 
+def read_rejects(spark: SparkSession, warehouse: str) -> DataFrame:
+    path = f"{warehouse.rstrip('/')}/{REJECTS}"
+    return spark.read.schema(REJECT_SCHEMA).parquet(path) if path_exists(path, spark) else spark.createDataFrame([], REJECT_SCHEMA)
 
-def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema of a path table, None when it does not exist."""
-    if not path_exists(path):
+
+def table_schema(spark: SparkSession, path: str, merge: bool = False) -> T.StructType | None:
+    """Schema of a path table, None when it does not exist; ``merge`` unites the schemas of all its files."""
+    if not path_exists(path, spark):
         return None
-    return spark.read.parquet(path).schema
+    return spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
 
 
 _RANGE_TYPES = (T.TimestampNTZType, T.TimestampType, T.DateType, T.LongType, T.IntegerType, T.DoubleType, T.StringType)
@@ -88,13 +112,18 @@ def load_batch(
     model: TableModel,
     extra: str = "drop",
     strict: bool = False,
-    rejects_path: str | None = None,
+    warehouse: str | None = None,
 ) -> LoadReport:
-    """Merge ``batch`` (typed, with lineage columns) into the Parquet table at ``table_path``."""
+    """Merge ``batch`` (typed, with lineage columns) into the Parquet table at ``table_path``.
+
+    Rejects go to ``warehouse`` (the table's folder when not given); with ``strict`` an unconvertible value or a
+    NULL key fails the job instead. ``extra='add'`` keeps columns that the table does not know: new files of the
+    table hold them, and readers see them with ``mergeSchema``.
+    """
     report = LoadReport(model.name)
     lineage_in = [c for c in LINEAGE if c in batch.columns]
     data_cols = [c for c in batch.columns if c not in LINEAGE]
-    target = table_schema(spark, table_path)
+    target = table_schema(spark, table_path, merge=extra == "add")
     if target is None:
         # K1: a schema declared in the catalogue wins (V8), else the batch's (inferred) schema
         declared = model.schema.fields if model.schema is not None else None
@@ -110,42 +139,49 @@ def load_batch(
     aligned = align_schema(batch, target_data, extra=extra, keep=lineage_in)
     report.added_columns, report.dropped_columns = aligned.added, aligned.dropped
     good, bad = cast_to_target(aligned.frame, target_data, strict=strict)
-    seen = Observation("rows_in")
-    good = good.observe(seen, F.count(F.lit(1)).alias("n"))
-    if rejects_path is not None and not strict:
-        rejected = Observation("rejected")
-        bad.withColumn("_table", F.lit(model.name)).observe(rejected, F.count(F.lit(1)).alias("n")) \
-            .write.mode("append").parquet(rejects_path)
-        report.rejected = rejected.get["n"]
-
     key = [k for k in model.primary_key]
+    report.key_checked = bool(key) and all(k in data_cols for k in key)
     order = [c for c in LINEAGE if c in good.columns]
+    # every row is parsed and cast once, the good and the rejected ones written side by side
+    no_key = F.concat_ws(",", *[F.when(quoted(k).isNull(), F.lit(k)) for k in key]) if report.key_checked else F.lit("")
+    columns = good.columns
+    marked = good.withColumn("_reject_reason", F.when(no_key != "", F.concat(F.lit("null key: "), no_key)))
+    as_text = F.to_json(F.struct(*[quoted(c) for c in data_cols if c in bad.columns])) if any(c in bad.columns for c in data_cols) else F.lit(None).cast("string")
+    marked = marked.withColumn("_reject_row", F.when(F.col("_reject_reason").isNotNull(), as_text))
+    lost = bad.withColumn("_reject_row", as_text).select(
+        *[F.lit(None).cast(good.schema[c].dataType).alias(c) if c not in LINEAGE else F.col(c) for c in columns], "_reject_reason", "_reject_row"
+    )
+    staged, report.rows_in = materialize(marked.unionByName(lost), "batch", with_count=True)
+    wrong = staged.filter(F.col("_reject_reason").isNotNull())
+    if strict and report.key_checked and not wrong.isEmpty():
+        raise ValueError(f"{model.name}: rows with a NULL in a key column")
+    named = {"_source_file": "source_file", "_block_start": "block_start", "_line_id": "line_id"}
+    report.rejected = write_rejects(
+        warehouse or table_path.rstrip("/").rsplit("/", 1)[0],
+        wrong.select(F.lit(model.name).alias("table_name"), *[F.col(c).alias(named[c]) for c in order], F.col("_reject_reason").alias("reason"), F.col("_reject_row").alias("row")),
+    )
+    rows = staged.filter(F.col("_reject_reason").isNull()).select(*[quoted(c) for c in columns])
     existing = spark.read.parquet(table_path)
-    if key and all(k in good.columns for k in key):
-        # job 1: parse + cast + first-wins dedupe, written once to the shared checkpoint folder
-        deduped = materialize(dedupe_first(good, key, order) if order else good.dropDuplicates(key), "dedupe")
-        report.rows_in = seen.get["n"]
-        n_dedup = deduped.count()
-        report.dup_in_batch = report.rows_in - n_dedup
+    if report.key_checked:
+        deduped, n_dedup = materialize(dedupe_first(rows, key, order) if order else rows.dropDuplicates(key), "dedupe", with_count=True)
+        report.dup_in_batch = report.rows_in - report.rejected - n_dedup
         new = anti_join_new(deduped, bound_target(existing, deduped, key[0]), key, known_keys=n_dedup)
     else:
         # No key (or key columns missing): replay guard on the lineage column only
-        report.key_checked = not key
-        staged = materialize(good, "batch")
-        report.rows_in = seen.get["n"]
-        n_dedup = report.rows_in
-        if "_source_file" in staged.columns and "_source_file" in existing.columns:
-            new = staged.join(existing.select("_source_file").distinct(), "_source_file", "left_anti")
-        else:
-            new = staged
+        n_dedup = report.rows_in - report.rejected
+        new = rows
+        if "_source_file" in rows.columns and "_source_file" in existing.columns:
+            new = rows.join(existing.select("_source_file").distinct(), "_source_file", "left_anti")
     stored = [f.name for f in target.fields]
-    new = new.select(*[F.col(f"`{c}`") if c in new.columns else F.lit(None).cast(target[c].dataType).alias(c) for c in stored])
-    # job 2: anti-join + append; the row count comes from the write itself. Rows are sorted by the
-    # first key column inside each task (no shuffle) so Parquet row groups get tight min/max stats.
+    beyond = [c for c in columns if c not in stored and c not in LINEAGE] if extra == "add" else []
+    new = new.select(*[quoted(c) if c in new.columns else F.lit(None).cast(target[c].dataType).alias(c) for c in stored], *[quoted(c) for c in beyond])
+    # the new rows are written once and appended from there: their counts by file come without the join run
+    # again. Rows are sorted by the first key column inside each task (no shuffle), for tight row-group statistics.
     if key and key[0] in new.columns:
-        new = new.sortWithinPartitions(key[0])
-    loaded = Observation("rows_loaded")
-    new.observe(loaded, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
-    report.rows_loaded = loaded.get["n"]
+        new = new.sortWithinPartitions(quoted(key[0]))
+    new, report.rows_loaded = materialize(new, "new-rows", with_count=True)
+    new.write.mode("append").parquet(table_path)
+    if "_source_file" in new.columns:
+        report.loaded_by_file = new.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("rows_loaded"))
     report.already_present = n_dedup - report.rows_loaded
     return report

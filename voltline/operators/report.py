@@ -71,8 +71,10 @@ def analyse_header(layout_id: int, header: str) -> Layout:
     names = values[start_col:]
     if any(n is None for n in names):
         return Layout(layout_id, header, width, start_col, (), "missing column name")
-    if len(set(names)) != len(names):
+    if len({n.upper() for n in names}) != len(names):  # a table cannot hold names that differ in case only
         return Layout(layout_id, header, width, start_col, tuple(names), "duplicate column name")
+    if any(n.startswith("_") and n in ("_source_file", "_block_start", "_line_id") for n in names):
+        return Layout(layout_id, header, width, start_col, tuple(names), "name of a lineage column")
     if not names:
         return Layout(layout_id, header, width, start_col, (), "no payload columns")
     return Layout(layout_id, header, width, start_col, tuple(names), None)
@@ -115,6 +117,11 @@ class ParsedReport:
             cond = cond & (data["pos"] > s["h_pos"]) & (s["n_pos"].isNull() | (data["pos"] < s["n_pos"]))
         return data.join(s, cond, how).drop("s_file")
 
+    def orphan_lines(self) -> DataFrame:
+        """Data lines that belong to no header (before the first of their file, or in a file without one)."""
+        rows = self._data_with_sections(self.sections.select("source_file", "h_pos", "n_pos"), how="left").filter(F.col("h_pos").isNull())
+        return rows.select("source_file", "block_start", "line_id", F.lit("no header before the line").alias("reason"), F.col("value").alias("row"))
+
     def file_status(self) -> DataFrame:
         """One row per file: status, header/data line counts, rows that parse."""
         sec = self.sections.groupBy("source_file").agg(

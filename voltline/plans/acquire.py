@@ -24,7 +24,7 @@ def check_source(source: str) -> str:
     """Normalise the source name; an unknown one is an error."""
     s = str(source).strip().lower()
     if s not in SOURCES:
-        raise ValueError(f"Unsupported source '{source}'. Expected one of: {', '.join(SOURCES)}")
+        raise ValueError(f"no such source: {source!r}; the sources are {SOURCES}")
     return s
 
 
@@ -37,13 +37,12 @@ def period_grid(spark: SparkSession, start_year: int | Column, end_year: int | C
     """F12 + F13: (year, month, url), years from end to start, months descending.
 
     Bounds may be Columns over ``source`` (a one-row frame), so the grid can be derived from data.
-    ``current_year`` clamps the end year (a parameter, so runs are repeatable).
+    ``current_year`` clamps the end year: this year when not given (give it where a run must be repeatable).
     """
     base = source if source is not None else spark.range(1).select()
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     end = lit(end_year)
-    if current_year is not None:
-        end = F.least(end, F.lit(current_year))
+    end = F.least(end, F.lit(current_year) if current_year is not None else F.year(F.current_date()))
     months_col = months if isinstance(months, Column) else F.array(*[F.lit(m) for m in months])
     start = lit(start_year)
     years = F.when(end >= start, F.sequence(end, start, F.lit(-1))).otherwise(F.array().cast("array<int>"))
@@ -146,21 +145,39 @@ def feed_completeness(links: DataFrame, ledger: DataFrame, all_tables: Sequence[
     return loaded.select(*keys, (F.col("all_loaded") & known).alias("complete"))
 
 
+# The month in the url of a historical listing page.
+_PAGE_MONTH = r"MMSDM_(\d{4})_(\d{2})/"
+
+
+def month_pages(spark: SparkSession, tables: Sequence[str], ledger: DataFrame, local_files: DataFrame, base_url: str, start_year: int | Column, end_year: int | Column,
+                months: Sequence[int] | Column, current_year: int | None = None, source: DataFrame | None = None) -> DataFrame:
+    """G3 page stage: F12 grid -> F13 urls -> F9: the (year, month, url) of listing pages that are still to be read."""
+    grid = period_grid(spark, start_year, end_year, months, base_url, current_year, source)
+    local = local_month_tables(local_files.select(F.upper("file_name").alias("file_name")).distinct(), tables)
+    complete = period_completeness(grid, ledger, local, tables).filter("complete").select("year", "month")
+    return grid.join(complete, ["year", "month"], "left_anti")
+
+
 def link_manifest(pages: DataFrame, tables: Sequence[str], ledger: DataFrame, local_files: DataFrame,
                   suffix: str = ".zip") -> DataFrame:
-    """G3 link stage: F5 name match -> F8 ledger skip (by the link's period) -> F11 already-local skip.
+    """G3 link stage: F5 name match -> F8 ledger skip -> F11 already-local skip.
 
+    The ledger is asked for the month of the page, read from its url; a page of unknown month falls back to the
+    link's own period. ``year`` and ``month`` of the result are the link's.
     ``local_files`` has ``file_name`` (the on-disk, un-decoded last URL segment).
     """
-    links = extract_links(pages, suffix=suffix)
+    links = extract_links(pages, suffix=suffix, with_page=True)
     period = period_strict(F.col("file_name"))
     matched = links.select(
         "page_id", "position", "href", "url", "file_name",
         F.lower(match_table(F.col("file_name"), tables)).alias("table_name"),
         period["year"].alias("year"), period["month"].alias("month"),
         F.substring_index("href", "/", -1).alias("local_name"),
+        *[F.regexp_extract("page_url", _PAGE_MONTH, i).try_cast("int").alias(f"page_{k}") for i, k in ((1, "year"), (2, "month"))],
     ).filter(F.col("table_name").isNotNull())
-    fresh = matched.join(ledger_months(ledger), ["table_name", "year", "month"], "left_anti")
+    asked = matched.select("*", *[F.when(F.col("page_year").isNull(), F.col(k)).otherwise(F.col(f"page_{k}")).alias(f"_{k}") for k in ("year", "month")])
+    done = ledger_months(ledger).select("table_name", F.col("year").alias("_year"), F.col("month").alias("_month"))
+    fresh = asked.join(done, ["table_name", "_year", "_month"], "left_anti").drop("_year", "_month", "page_year", "page_month")
     return fresh.join(local_files.select(F.col("file_name").alias("local_name")).distinct(), "local_name", "left_anti")
 
 
@@ -178,14 +195,10 @@ FEED_SCHEMA = "name string, url string, tables array<string>, include_patterns a
 def feeds_frame(spark: SparkSession, feeds: Sequence[dict] | None, root_url: str | None,
                 tables: Sequence[str] = catalog.DEFAULT_WANTED_TABLES) -> DataFrame:
     """Feed configuration as a DataFrame; F14: no feeds but a root URL -> one feed with all tables."""
-    rows = [
-        (f.get("name", "feed"), f.get("url"), [str(t).upper() for t in f.get("tables", [])],
-         [str(p).upper() for p in f.get("include_patterns", [])])
-        for f in (feeds or [])
-        if f.get("url")
-    ]
+    upper = lambda names: [str(x).upper() for x in names]
+    rows = [(f.get("name", "feed"), f["url"], upper(f.get("tables", ())), upper(f.get("include_patterns", ()))) for f in feeds or () if f.get("url")]
     if not rows and root_url:
-        rows = [("current_root", root_url, [t.upper() for t in tables], [])]
+        return spark.createDataFrame([("root", root_url, [t.upper() for t in tables], [])], FEED_SCHEMA)
     return spark.createDataFrame(rows, FEED_SCHEMA)
 
 
@@ -211,17 +224,23 @@ def plan_downloads(
     root_url: str | None = None,
     start_year: int = catalog.DEFAULT_START_YEAR,
     end_year: int = catalog.DEFAULT_END_YEAR,
-    months: Sequence[int] = catalog.DEFAULT_MONTHS,
+    months: Sequence[int] | Column = catalog.DEFAULT_MONTHS,
+    base_url: str | None = None,
+    current_year: int | None = None,
+    grid_source: DataFrame | None = None,
 ) -> DataFrame:
     """The download manifest (url, file_name, ...) for one source.
 
-    ``pages`` are the fetched listing pages (page_id, url, html): month pages for ``mmsdm`` (their
-    urls come from ``period_grid`` minus complete months), feed pages for ``archive``/``current``.
+    ``pages`` are the fetched listing pages (page_id, url, html): month pages for ``mmsdm``, feed pages for
+    ``archive``/``current``. With ``base_url`` only the month pages that ``month_pages`` still wants are read.
     """
     src = check_source(source)
     local = local_files.select(F.col("file_name").alias("local_name")).distinct()
     if src == "mmsdm":
-        # F5 -> F8 -> F11 (the month grid and F9 decide which pages were fetched)
+        # F12 -> F13 -> F9 -> S6 -> F5 -> F8 -> F11
+        if base_url is not None:
+            wanted = month_pages(spark, tables, ledger, local_files, base_url, start_year, end_year, months, current_year, grid_source)
+            pages = pages.join(wanted.select("url"), "url", "left_semi")
         return link_manifest(pages, tables, ledger, local_files)
     fr = feeds_frame(spark, feeds, root_url if src == "current" else None, tables)
     links = feed_links(pages, fr).withColumn("local_name", F.substring_index("href", "/", -1))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from voltline import catalog
 from voltline.functions.names import in_period, period_first8, period_strict, route_table
 from voltline.operators.infer import apply_types, infer_types
 from voltline.operators.ledger import ledger_mark, ledger_skip, read_ledger
-from voltline.operators.load import REPORT_SCHEMA, LoadReport, load_batch, table_schema
-from voltline.operators.report import STATUS_OK, ParsedReport, parse_report
+from voltline.operators.load import REPORT_SCHEMA, LoadReport, load_batch, table_schema, write_rejects
+from voltline.operators.report import STATUS_EMPTY, STATUS_OK, ParsedReport, parse_report
 from voltline.session import materialize
 from voltline.sources.lines import list_files, read_report_lines
 
@@ -103,7 +104,15 @@ def load_lines(
     """
     opts = opts or LoadOptions()
     parsed = parse_report(lines, sections=opts.sections)
-    status = materialize(parsed.file_status().join(routes.select("source_file", "table_name", "year", "month"), "source_file", "left"), "file-status")
+    # one status row per file that was asked for: a file without a tagged line has no lines in the parse
+    named = routes.select("source_file", F.substring_index("source_file", "/", -1).alias("_name"), "table_name", "year", "month")
+    found = parsed.file_status().join(named, "source_file", "full")
+    status = materialize(
+        found.withColumn("file_name", F.coalesce("file_name", "_name")).withColumn("status", F.coalesce("status", F.lit(STATUS_EMPTY)))
+        .fillna(0, ["header_lines", "data_lines", "rows"]).drop("_name"),
+        "file-status",
+    )
+    write_rejects(warehouse, parsed.orphan_lines().join(routes.select("source_file", F.upper("table_name").alias("table_name")), "source_file", "left"))
     reports: list[LoadReport] = []
     declared = declared or {}
     for table, frames in tables_from_parsed(parsed, routes).items():
@@ -113,11 +122,14 @@ def load_lines(
         if table_schema(spark, path) is None and model.schema is None:
             data_cols = [c for c in batch.columns if not c.startswith("_")]
             batch = apply_types(batch, infer_types(batch, data_cols))
-        reports.append(load_batch(spark, batch, path, model, extra=opts.extra, strict=opts.strict))
+        reports.append(load_batch(spark, batch, path, model, extra=opts.extra, strict=opts.strict, warehouse=warehouse))
     if ledger_path:
-        loaded = status.filter(F.col("status") == STATUS_OK).select(
-            "table_name", "year", "month", "source_file", F.col("rows").alias("rows_loaded")
-        )
+        loaded = status.filter(F.col("status") == STATUS_OK).select("table_name", "year", "month", "source_file")
+        counts = [r.loaded_by_file for r in reports if r.loaded_by_file is not None]
+        by_file = reduce(DataFrame.unionByName, counts) if counts else spark.createDataFrame([], "source_file string, rows_loaded bigint")
+        loaded = loaded.join(by_file, "source_file", "left").withColumn("rows_loaded", F.coalesce("rows_loaded", F.lit(0).cast("bigint")))
+        if "size" in routes.columns:
+            loaded = loaded.join(routes.select("source_file", "size", "modified"), "source_file", "left")
         ledger_mark(spark, ledger_path, loaded)
     return status, reports
 

@@ -208,7 +208,9 @@ SQL.update({
                       'https://example.test/MMSDM/' || year(o.o_orderdate) || '/MMSDM_' || year(o.o_orderdate) || '_'
                       || lpad(month(o.o_orderdate)::VARCHAR, 2, '0') || '/MMSDM_Historical_Data_SQLLoader/DATA/' AS page_url
                FROM named n JOIN orders o USING (o_orderkey)),
-        m AS (SELECT page_id, page_url || href AS url, upper(url_decode(href)) AS file_name, href FROM pg),
+        m AS (SELECT page_id, page_url || href AS url, upper(url_decode(href)) AS file_name, href,
+                     CAST(regexp_extract(page_url, 'MMSDM_([0-9]+)_([0-9]+)/', 1) AS INTEGER) AS page_year,
+                     CAST(regexp_extract(page_url, 'MMSDM_([0-9]+)_([0-9]+)/', 2) AS INTEGER) AS page_month FROM pg),
         t AS (SELECT *, lower(list_filter({_WANTED}, lambda x: contains(file_name, 'PUBLIC_DVD_' || x || '_')
                    OR contains(file_name, 'PUBLIC_ARCHIVE#' || x || '#') OR contains(file_name, 'PUBLIC_ARCHIVE%23' || x || '%23'))[1]) AS table_name,
                    CAST(NULLIF(regexp_extract(url_decode(upper(file_name)), '{_STRICT}', 1), '') AS INTEGER) AS year,
@@ -216,7 +218,7 @@ SQL.update({
         led AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'P' AND year IS NOT NULL AND month IS NOT NULL)
         SELECT page_id, url, file_name, table_name, year, month FROM t
         WHERE table_name IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM led WHERE led.table_name = t.table_name AND led.year = t.year AND led.month = t.month)
+          AND NOT EXISTS (SELECT 1 FROM led WHERE led.table_name = t.table_name AND led.year = t.page_year AND led.month = t.page_month)
           AND NOT EXISTS (SELECT 1 FROM pg WHERE pg.o_orderstatus = 'F' AND pg.href = t.href)""",
     "load_batch": "SELECT event_id, ts AS event_time, user_id, event_type, value, props FROM events",
     "load_metrics": (

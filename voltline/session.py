@@ -6,6 +6,7 @@ it. Only when that setting is absent (local tests) do we point it at a fresh tem
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,8 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.split("[")[0] == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="voltline-ckpt-"))
+    else:  # executors would each write to their own disk
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -52,7 +55,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def open_filesystem(path: str):
-    """(pyarrow filesystem, path inside it) for a local path, a ``file:`` URI or any URI pyarrow knows."""
+    """(pyarrow filesystem, path inside it), for the writers that run in tasks: a local path or any URI pyarrow knows."""
     from pyarrow import fs as pafs
 
     if path.startswith("file:"):
@@ -82,12 +85,16 @@ def materialize(df, purpose: str = "stage", with_count: bool = False):
     return (out, obs.get["n"]) if with_count else out
 
 
-def path_exists(path: str) -> bool:
-    """True when a file or folder exists at ``path`` (local path or any URI pyarrow knows)."""
-    from pyarrow import fs as pafs
+def path_exists(path: str, spark: SparkSession | None = None) -> bool:
+    """True when a file or folder exists at ``path``, in any file system that the session's Hadoop knows."""
+    spark = spark or SparkSession.getActiveSession()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
 
-    filesystem, inner = open_filesystem(path)
-    return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
+def glob_escaped(path: str) -> str:
+    """A path that the reader takes as it stands, whatever glob characters its names hold."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 _SHIPPED: set[str] = set()

@@ -1,8 +1,8 @@
 """Zip archives -> member rows -> lines frames.
 
 Archives are read with the ``binaryFile`` source (one row per archive) and expanded on the
-executors by one ``mapInPandas``: nested zips are opened in memory, recursively, up to
-``max_depth``. A damaged archive or member becomes a row with ``error`` set instead of failing
+executors by one ``mapInPandas``: nested zips are opened in memory, to any depth, and members are
+handed on one by one. A damaged archive or member becomes a row with ``error`` set instead of failing
 the job or looping (V4). Members keep their full nesting path, so identical member names in
 different archives never overwrite each other.
 """
@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 
 from voltline.session import ship_package
 
-from voltline.functions.names import base_name, percent_decode
+from voltline.functions.names import base_name
 from voltline.functions.text import drop_invalid_utf8
+from voltline.sources.lines import raw_path
 
 MEMBER_SCHEMA = "archive string, member string, depth int, content binary, error string"
 ZIP_GLOB = "*.[zZ][iI][pP]"
+#: Bytes of members that a task holds before it hands them on.
+_EXPAND_BYTES = 16 << 20
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = ZIP_GLOB, recursive: bool = True) -> DataFrame:
@@ -32,50 +35,72 @@ def read_archives(spark: SparkSession, path: str, glob: str = ZIP_GLOB, recursiv
         .option("pathGlobFilter", glob)
         .load(path)
     )
-    src = percent_decode(F.regexp_replace("path", r"^file:(//)?", ""))
+    src = raw_path("path")
     return df.select(src.alias("archive"), base_name(src).alias("file_name"), "content")
 
 
-def _members(archive: str, data: bytes, prefix: str, depth: int, max_depth: int):
+def _members(archive: str, data: bytes):
+    """Non-zip members of an archive and of the zips inside it; the open zips stand on a stack, so any depth works."""
     try:
-        zf = zipfile.ZipFile(io.BytesIO(data))
-        infos = [i for i in zf.infolist() if not i.is_dir()]
-    except Exception as exc:  # not a zip
-        yield (archive, prefix.rstrip("/") or archive, depth, None, f"bad archive: {exc}")
+        stack = [_opened(data, "")]
+    except Exception as exc:
+        yield (archive, archive, 1, None, f"bad archive: {exc}")
         return
-    for info in infos:
+    while stack:
+        zf, prefix, infos = stack[-1]
+        info = next(infos, None)
+        if info is None:
+            stack.pop()
+            continue
         name = prefix + info.filename
         try:
             payload = zf.read(info)
         except Exception as exc:
-            yield (archive, name, depth, None, f"bad member: {exc}")
+            yield (archive, name, len(stack), None, f"bad member: {exc}")
+            continue
+        if not info.filename.lower().endswith(".zip"):
+            yield (archive, name, len(stack), payload, None)
             continue
-        if info.filename.lower().endswith(".zip"):
-            if depth >= max_depth:
-                yield (archive, name, depth, None, "nesting too deep")
-            else:
-                yield from _members(archive, payload, name + "!/", depth + 1, max_depth)
-        else:
-            yield (archive, name, depth, payload, None)
+        try:
+            stack.append(_opened(payload, name + "!/"))
+        except Exception as exc:
+            yield (archive, name, len(stack) + 1, None, f"bad archive: {exc}")
 
 
-def expand_archives(archives: DataFrame, max_depth: int = 16) -> DataFrame:
+def _opened(data: bytes, prefix: str):
+    zf = zipfile.ZipFile(io.BytesIO(data))
+    return zf, prefix, iter([i for i in zf.infolist() if not i.is_dir()])
+
+
+def expand_archives(archives: DataFrame) -> DataFrame:
     """S3 + S4: one row per non-zip member (nested zips expanded): archive, member, depth, content, error."""
 
     def _expand(batches):
         import pandas as pd
 
+        columns = ["archive", "member", "depth", "content", "error"]
         for pdf in batches:
-            rows = []
             for archive, content in zip(pdf["archive"], pdf["content"]):
-                rows.extend(_members(archive, bytes(content), "", 1, max_depth))
-            if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "depth", "content", "error"])
+                rows, size = [], 0
+                for row in _members(archive, bytes(content)):
+                    rows.append(row)
+                    size += len(row[3] or b"")
+                    if size > _EXPAND_BYTES:  # members leave the task while the archive is still being read
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns)
 
     ship_package(archives.sparkSession)
     return archives.select("archive", "content").mapInPandas(_expand, MEMBER_SCHEMA)
 
 
+def failed_members(members: DataFrame) -> DataFrame:
+    """(source_file, file_name, reason) of the archives and members that could not be opened."""
+    bad = members.filter(F.col("error").isNotNull())
+    return bad.select(F.concat("archive", F.lit("!/"), "member").alias("source_file"), base_name("member").alias("file_name"), F.col("error").alias("reason"))
+
+
 def member_lines(members: DataFrame, glob_suffix: str | None = ".csv") -> DataFrame:
     """Members -> lines frame (universal newlines, invalid bytes dropped later by the parser).
 

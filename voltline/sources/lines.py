@@ -18,10 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.functions.names import base_name, percent_decode
+from voltline.session import glob_escaped
 
 LINES_COLUMNS = ["source_file", "file_name", "block_start", "line_id", "value"]
 
 
+def raw_path(column: str, encoded: bool = False) -> Column:
+    """The on-disk path text. The binary source's ``path`` is raw; ``_metadata.file_path`` is percent-encoded once."""
+    path = F.regexp_replace(F.col(column), r"^file:(//)?", "")
+    return percent_decode(path) if encoded else path
+
+
 def list_files(spark: SparkSession, path: str, glob: str, recursive: bool = True) -> DataFrame:
     """Distributed listing: (source_file, file_name, size, modified). File contents are not read."""
     df = (
@@ -31,7 +38,7 @@ def list_files(spark: SparkSession, path: str, glob: str, recursive: bool = True
         .load(path)
         .select("path", "length", "modificationTime")
     )
-    src = percent_decode(F.regexp_replace("path", r"^file:(//)?", ""))
+    src = raw_path("path")
     return df.select(
         src.alias("source_file"),
         base_name(src).alias("file_name"),
@@ -47,14 +54,14 @@ def read_report_lines(
     recursive: bool = True,
     file_filter: Column | None = None,
 ) -> DataFrame:
-    """Read report files as a lines frame.
+    """Read report files as a lines frame; a list of paths is taken literally, a single path may be a glob.
 
     ``file_filter`` is an expression over ``file_name`` (e.g. a route or period test); it is applied
     to the file metadata before ids are attached, so Spark prunes whole files at listing time.
     """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", glob)
-    raw = reader.text(path if isinstance(path, list) else [path])
-    src = percent_decode(F.regexp_replace(F.col("_metadata.file_path"), r"^file:(//)?", ""))
+    raw = reader.text([glob_escaped(p) for p in path] if isinstance(path, list) else [path])
+    src = raw_path("_metadata.file_path", encoded=True)
     df = raw.select(
         src.alias("source_file"),
         base_name(src).alias("file_name"),

@@ -2,8 +2,9 @@
 
 Comments, scripts and styles are removed first (an anchor inside them is not a link). The URL join
 follows RFC 3986 reference resolution for the cases listing pages use: absolute, scheme-relative,
-root-relative, query-only, fragment-only, empty and path-relative references (dot segments of a
-path-relative reference are not collapsed).
+root-relative, query-only, fragment-only, empty and path-relative references; dot segments are
+collapsed. Attributes are read by their exact names, with or without quotes, and character references
+in a link are resolved.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 from voltline.functions.names import percent_decode
 
 _STRIP = (r"(?s)<!--.*?-->", r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>")
-_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# An anchor's attributes up to the one named href, and its value with its quotes if any.
+_HREF = r"""(?i)<a(?=[\s/])(?:[\s/]+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Character references that links hold in practice; the ampersand comes last.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&#x26;": "&", "&amp;": "&"}
 
 
 def _col(c: Column | str) -> Column:
@@ -27,6 +31,31 @@ def strip_markup_noise(html: Column | str) -> Column:
     return F.regexp_replace(_col(html), combined, "")
 
 
+def _plain_value(raw: Column) -> Column:
+    """An attribute's value without its quotes, character references resolved."""
+    quoted = raw.startswith('"') | raw.startswith("'")
+    value = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+    out = value
+    for entity, char in _ENTITIES.items():
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(value.contains("&"), out).otherwise(value)
+
+
+def collapse_dots(url: Column) -> Column:
+    """``url`` without ``.`` and ``..`` segments in its path."""
+    split = r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)?([^?#]*)(.*)$"
+    path = F.regexp_extract(url, split, 2)
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))),
+    )
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, tail).otherwise(""))
+    clean = F.concat(F.regexp_extract(url, split, 1), joined, F.regexp_extract(url, split, 3))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(url)
+
+
 def resolve_url(base: Column | str, href: Column | str) -> Column:
     """Absolute URL of ``href`` seen from page ``base``."""
     b, h = _col(base), F.trim(_col(href))
@@ -39,22 +68,23 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     return (
         F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
+        .when(h.startswith("/"), collapse_dots(F.concat(origin, h)))
         .when(h.startswith("?"), F.concat(no_query, h))
         .when(h.startswith("#"), F.concat(no_frag, h))
         .when(h == "", b)
-        .otherwise(F.concat(base_dir, F.regexp_replace(h, r"^(\./)+", "")))
+        .otherwise(collapse_dots(F.concat(base_dir, h)))
     )
 
 
-def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", suffix: str | None = ".zip") -> DataFrame:
-    """One row per anchor: page_id, position (1-based, document order), href, url, file_name.
+def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", suffix: str | None = ".zip", with_page: bool = False) -> DataFrame:
+    """One row per anchor: page_id, position (1-based, document order), href, url, file_name (``with_page``: page_url too).
 
     ``suffix`` keeps only hrefs ending with it (any case); ``None`` keeps all. ``file_name`` is the
     percent-decoded last path segment, upper-cased.
     """
     hrefs = F.regexp_extract_all(strip_markup_noise(html), F.lit(_HREF), 1)
     out = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("page_url"), F.posexplode(hrefs).alias("pos", "href"))
+    out = out.withColumn("href", _plain_value(F.col("href")))
     if suffix:
         out = out.filter(F.lower("href").endswith(suffix.lower()))
     return out.select(
@@ -63,4 +93,5 @@ def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         "href",
         resolve_url("page_url", "href").alias("url"),
         F.upper(F.substring_index(percent_decode("href"), "/", -1)).alias("file_name"),
+        *(["page_url"] if with_page else []),
     )

@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltline import catalog
-from voltline.functions.names import base_name, percent_decode
+from voltline.functions.names import base_name
 from voltline.operators.ledger import read_ledger
+from voltline.operators.load import write_rejects
 from voltline.plans.load import LoadOptions, load_lines, plan_candidates
 from voltline.session import materialize
-from voltline.sources.archives import expand_archives, member_lines
+from voltline.sources.archives import expand_archives, failed_members, member_lines
+from voltline.sources.lines import raw_path
 
 
 def _batch_lines(batch: DataFrame) -> DataFrame:
     """Lines frame of one micro-batch of the text source (ids taken on the batch scan)."""
-    src = percent_decode(F.regexp_replace(F.col("_file_path"), r"^file:(//)?", ""))
+    src = raw_path("_file_path", encoded=True)
     return batch.select(
         src.alias("source_file"),
         base_name(src).alias("file_name"),
@@ -71,8 +73,10 @@ def start_stream_load(
 
     def _load(batch: DataFrame, epoch_id: int) -> None:
         if archives:
-            arch = batch.select(percent_decode(F.regexp_replace("path", r"^file:(//)?", "")).alias("archive"), "content")
-            lines = member_lines(expand_archives(arch))
+            arch = batch.select(raw_path("path").alias("archive"), "content")
+            members = materialize(expand_archives(arch), "members")
+            write_rejects(warehouse, failed_members(members))
+            lines = member_lines(members)
         else:
             lines = _batch_lines(batch)
         files = lines.select("source_file", "file_name").distinct()

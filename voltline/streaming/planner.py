@@ -16,7 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from voltline import catalog
 from voltline.operators.ledger import read_ledger
 from voltline.plans.acquire import plan_downloads
-from voltline.session import path_exists
+from voltline.functions.names import base_name
+from voltline.session import materialize, path_exists
+from voltline.sources.lines import raw_path
 
 MANIFEST_KEY = "url"
 
@@ -32,29 +34,34 @@ def start_manifest_stream(
     feeds: Sequence[dict] | None = None,
     root_url: str | None = None,
     tables: Sequence[str] = catalog.DEFAULT_WANTED_TABLES,
+    local_files: DataFrame | None = None,
+    start_year: int = catalog.DEFAULT_START_YEAR,
+    end_year: int = catalog.DEFAULT_END_YEAR,
+    months: Sequence[int] = catalog.DEFAULT_MONTHS,
     available_now: bool = True,
     interval_seconds: int = catalog.CURRENT_FEED_POLL_SECONDS,
 ) -> StreamingQuery:
     """Plan downloads from each batch of fetched pages.
 
-    ``page_urls`` maps a page file name (``file_name``) to the URL it was fetched from (``url``); it is
-    configuration-sized. Manifest rows already present (by url) are not appended again.
+    ``page_urls`` maps a page file name (``file_name``, as on disk) to the URL it was fetched from (``url``). A page
+    without one is listed in ``<manifest_path>_unmapped``. Links in ``local_files`` (``file_name``) are not planned,
+    nor manifest rows already present (by url); the window holds for the archive source.
     """
     pages = (
         spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", "*.htm*")
         .load(pages_dir)
-        .select(F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("file_name"), F.col("value").alias("html"))
+        .select(base_name(raw_path("_metadata.file_path", encoded=True)).alias("file_name"), F.col("value").alias("html"))
     )
 
     def _plan(batch: DataFrame, epoch_id: int) -> None:
-        fetched = batch.join(F.broadcast(page_urls), "file_name").select(
-            F.xxhash64("file_name").alias("page_id"), "url", "html"
-        )
-        local = spark.createDataFrame([], "file_name string")
-        manifest = plan_downloads(spark, source, fetched, read_ledger(spark, ledger_path), local,
-                                  tables=tables, feeds=feeds, root_url=root_url)
+        found = materialize(batch.join(page_urls.select("file_name", "url"), "file_name", "left"), "fetched-pages")
+        found.filter(F.col("url").isNull()).select("file_name").withColumn("planned_batch", F.lit(epoch_id)).write.mode("append").parquet(f"{manifest_path}_unmapped")
+        fetched = found.filter(F.col("url").isNotNull()).select(F.col("file_name").alias("page_id"), "url", "html")
+        local = local_files if local_files is not None else spark.createDataFrame([], "file_name string")
+        manifest = plan_downloads(spark, source, fetched, read_ledger(spark, ledger_path), local, tables=tables, feeds=feeds,
+                                  root_url=root_url, start_year=start_year, end_year=end_year, months=months)
         manifest = manifest.select("url", "file_name").distinct()
-        if path_exists(manifest_path):
+        if path_exists(manifest_path, spark):
             manifest = manifest.join(spark.read.parquet(manifest_path).select(MANIFEST_KEY), MANIFEST_KEY, "left_anti")
         manifest.withColumn("planned_batch", F.lit(epoch_id)).write.mode("append").parquet(manifest_path)
 
