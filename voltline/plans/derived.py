@@ -433,6 +433,26 @@ def q_link_manifest(spark, sf_dir):
     return out.select("page_id", "url", "file_name", "table_name", "year", "month")
 
 
+FEW_TABLES = ("DISPATCHPRICE", "TRADINGPRICE")
+
+
+def q_plan_mmsdm(spark, sf_dir):
+    """G3 whole: grid over the orders' months, complete months left out, their pages' links matched, skipped, planned."""
+    from voltline.plans.acquire import plan_downloads
+
+    pages = materialize(_listing_pages(spark, sf_dir), "listing-pages")
+    local = pages.filter(F.col("o_orderstatus") == "P").select(F.col("href").alias("file_name"))
+    o = table(spark, sf_dir, "orders")
+    bounds = o.agg(
+        F.min(F.year("o_orderdate")).alias("s"), F.max(F.year("o_orderdate")).alias("e"), F.collect_set(F.month("o_orderdate")).alias("ms"),
+    )
+    out = plan_downloads(
+        spark, "mmsdm", pages.select("page_id", "url", "html"), _ledger_from(_named_periods(spark, sf_dir), "P"), local, tables=FEW_TABLES,
+        start_year=F.col("s"), end_year=F.col("e"), months=F.col("ms"), base_url=BASE_URL, current_year=2026, grid_source=bounds,
+    )
+    return out.select("page_id", "url", "file_name", "table_name")
+
+
 # --- load, stream, archives ---------------------------------------------------------------------
 
 def _events_lines(spark, sf_dir, copy: str = "A"):
@@ -492,6 +512,59 @@ def q_load_first_file(spark, sf_dir):
                                  "column_name string, position int, data_type string")
 
 
+def _damaged_load(spark, sf_dir):
+    """Even events loaded first; then all as text, some with a value that is no number, no time or no key."""
+    from voltline.catalog import TableModel
+    from voltline.operators.load import load_batch
+
+    warehouse = scratch_dir(spark, "damaged")
+    model = TableModel("EVENTS", ("event_id",))
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "value", F.concat(F.lit("f"), F.col("event_id") % 10).alias("_source_file"))
+    load_batch(spark, e.filter(F.col("event_id") % 2 == 0), f"{warehouse}/EVENTS", model)
+    text = e.select(
+        F.when(F.col("event_id") % 7 != 0, F.col("event_id").cast("string")).alias("event_id"),
+        F.when(F.col("event_id") % 3 == 0, "junk").otherwise(F.col("event_time").cast("string")).alias("event_time"),
+        F.when(F.col("event_id") % 5 == 0, "abc").otherwise(F.col("value").cast("string")).alias("value"), "_source_file",
+    )
+    return warehouse, load_batch(spark, text, f"{warehouse}/EVENTS", model)
+
+
+def q_load_rejects(spark, sf_dir):
+    """Rows of a damaged load that could not be loaded, by file and reason."""
+    from voltline.operators.load import read_rejects
+
+    warehouse, _ = _damaged_load(spark, sf_dir)
+    return read_rejects(spark, warehouse).groupBy("table_name", "source_file", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_load_balance(spark, sf_dir):
+    """D3: every row of a damaged load is loaded, present, a duplicate or rejected."""
+    _, r = _damaged_load(spark, sf_dir)
+    return spark.createDataFrame([(r.rows_in, r.rejected, r.dup_in_batch, r.already_present, r.rows_loaded)],
+                                 "rows_in bigint, rejected bigint, dup_in_batch bigint, already_present bigint, rows_loaded bigint")
+
+
+def q_load_second_batch_dates(spark, sf_dir):
+    """Text that is no time is NULL in a later load too."""
+    warehouse, _ = _damaged_load(spark, sf_dir)
+    return spark.read.parquet(f"{warehouse}/EVENTS").drop("_source_file")
+
+
+def q_load_inbox(spark, sf_dir):
+    """G7 + S1: events in files of awkward names (%23, #, +, blank, brackets), loaded from the folder into one table."""
+    from voltline.plans.load import LoadOptions, load_inbox
+
+    root = scratch_dir(spark, "inbox")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "value")
+    names = F.array(*[F.lit(n) for n in ("a%23b%231.csv", "a#b#2.csv", "c+d 3.csv", "report[4].csv", "report4.csv")])
+    fname = F.element_at(names, (F.col("event_id") % 5 + 1).cast("int"))
+    lines = staged(render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS"))
+    write_report_files(lines, f"{root}/in").count()
+    load_inbox(spark, f"{root}/in", f"{root}/wh", f"{root}/ledger", LoadOptions(start_year=1900, end_year=2100))
+    rows = spark.read.parquet(f"{root}/wh/OTHER_DATA")
+    return rows.select("event_id", "event_time", "value", F.substring_index("_source_file", "/", -1).alias("file_name"))
+
+
 def q_stream_load(spark, sf_dir):
     """Events files land in an inbox in two drops; an availableNow stream loads each drop."""
     from voltline.plans.load import LoadOptions

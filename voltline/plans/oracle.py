@@ -239,6 +239,45 @@ SQL.update({
     "sql_setop": "SELECT * FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT * FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')",
 })
 
+_FEW = "['DISPATCHPRICE', 'TRADINGPRICE']"
+SQL["plan_mmsdm"] = f"""
+    WITH {NAMED_PERIODS}, {GRID},
+    wanted AS (SELECT unnest({_FEW}) AS t),
+    pg AS (SELECT n.o_orderkey AS page_id, n.o_orderstatus, regexp_replace(n.file_name, '(?i)\\.csv$', '.zip') AS href, year(o.o_orderdate) AS py, month(o.o_orderdate) AS pm,
+                  'https://example.test/MMSDM/' || year(o.o_orderdate) || '/MMSDM_' || year(o.o_orderdate) || '_'
+                  || lpad(month(o.o_orderdate)::VARCHAR, 2, '0') || '/MMSDM_Historical_Data_SQLLoader/DATA/' AS page_url
+           FROM named n JOIN orders o USING (o_orderkey)),
+    led AS (SELECT DISTINCT table_name, year, month FROM np WHERE o_orderstatus = 'P' AND year IS NOT NULL AND month IS NOT NULL),
+    here AS (SELECT DISTINCT upper(href) AS n FROM pg WHERE o_orderstatus = 'P'),
+    cov AS (SELECT DISTINCT lower(w.t) AS table_name, g.year, g.month FROM here l, wanted w, grid g
+            WHERE contains(l.n, g.year || lpad(g.month::VARCHAR, 2, '0'))
+              AND (starts_with(l.n, 'PUBLIC_DVD_' || w.t || '_') OR starts_with(l.n, 'PUBLIC_ARCHIVE%23' || w.t || '%23') OR starts_with(l.n, 'PUBLIC_ARCHIVE#' || w.t || '#'))),
+    complete AS (SELECT year, month FROM (SELECT * FROM led UNION SELECT * FROM cov) WHERE table_name IN (SELECT lower(t) FROM wanted)
+                 GROUP BY year, month HAVING count(DISTINCT table_name) = 2),
+    m AS (SELECT page_id, page_url || href AS url, upper(url_decode(href)) AS file_name, href, py, pm FROM pg
+          WHERE EXISTS (SELECT 1 FROM grid g WHERE g.year = py AND g.month = pm) AND NOT EXISTS (SELECT 1 FROM complete c WHERE c.year = py AND c.month = pm)),
+    t AS (SELECT *, CASE WHEN contains(file_name, 'PUBLIC_DVD_DISPATCHPRICE_') OR contains(file_name, 'PUBLIC_ARCHIVE#DISPATCHPRICE#') THEN 'dispatchprice'
+                         WHEN contains(file_name, 'PUBLIC_DVD_TRADINGPRICE_') OR contains(file_name, 'PUBLIC_ARCHIVE#TRADINGPRICE#') THEN 'tradingprice' END AS table_name FROM m)
+    SELECT page_id, url, file_name, table_name FROM t
+    WHERE table_name IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM led WHERE led.table_name = t.table_name AND led.year = t.py AND led.month = t.pm)
+      AND NOT EXISTS (SELECT 1 FROM pg WHERE pg.o_orderstatus = 'P' AND pg.href = t.href)"""
+SQL["load_rejects"] = (
+    "SELECT 'EVENTS' AS table_name, 'f' || (event_id % 10) AS source_file, CASE WHEN event_id % 5 = 0 THEN 'unconvertible: value' ELSE 'null key: event_id' END AS reason, "
+    "count(*) AS rows FROM events WHERE event_id % 5 = 0 OR event_id % 7 = 0 GROUP BY ALL"
+)
+_SOUND = "event_id % 5 <> 0 AND event_id % 7 <> 0"
+SQL["load_balance"] = (
+    f"SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({_SOUND})) AS rejected, 0::BIGINT AS dup_in_batch, "
+    f"count(*) FILTER (WHERE {_SOUND} AND event_id % 2 = 0) AS already_present, count(*) FILTER (WHERE {_SOUND} AND event_id % 2 <> 0) AS rows_loaded FROM events"
+)
+SQL["load_second_batch_dates"] = (
+    f"SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN ts END AS event_time, value FROM events WHERE event_id % 2 = 0 OR ({_SOUND})"
+)
+SQL["load_inbox"] = (
+    "SELECT event_id, ts AS event_time, value, ['a%23b%231.csv', 'a#b#2.csv', 'c+d 3.csv', 'report[4].csv', 'report4.csv'][event_id % 5 + 1] AS file_name FROM events"
+)
+
 _TYPE_MAP = (
     "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
     "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' "
