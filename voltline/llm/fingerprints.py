@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def band_rows(docs: DataFrame, id_col: str, text_col: str, cfg: MinHashConfig) -> DataFrame:
-    """(id, tkey, n, k1, k2, keys) of each row: size and key of its shingle set, and a key for each signature band."""
+    """(id, tkey, n, k1, k2, parity, keys) of each row: size and key of its shingle set, and a key for each signature band."""
     sim = cfg.sets
 
     def run(texts: list[str]) -> dict[str, list]:
@@ -86,12 +86,12 @@ def band_rows(docs: DataFrame, id_col: str, text_col: str, cfg: MinHashConfig) -
         key = np.broadcast_to(np.arange(rows.shape[1], dtype=np.uint64), rows.shape[:2])
         for j in range(cfg.band_rows):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, j])
-        return {"n": n, "k1": s.k1, "k2": s.k2, "keys": [k if m else [] for k, m in zip(key.view(np.int64), n.tolist())]}
+        return {"n": n, "k1": s.k1, "k2": s.k2, "parity": s.parity(), "keys": [k if m else [] for k, m in zip(key.view(np.int64), n.tolist())]}
 
     clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     who = docs.select(F.struct(F.col(id_col).alias("id"), text_key(clean).alias("tkey")).alias("_who"), clean.alias("_text"))
-    got = map_texts(who, "_who", "_text", run, {"n": "long", "k1": "long", "k2": "long", "keys": "array<long>"})
-    return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "keys")
+    got = map_texts(who, "_who", "_text", run, {"n": "long", "k1": "long", "k2": "long", "parity": "binary", "keys": "array<long>"})
+    return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "parity", "keys")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: MinHashConfig = MinHashConfig()) -> DataFrame:

@@ -1,17 +1,22 @@
 """Links between sets of word shingles that share index keys, without comparing all pairs of a key's list.
 
-Input: one row per distinct set (class) with its size and index keys. Three steps:
+Input: one row per distinct set (class) with its size, index keys and a parity bitmap. Lists of one entry are
+dropped in the first pass; all later steps see the lists of two and more.
 
 1. Each key's list, ordered by size, proposes its first set of similar size as head to the others; a set takes the
    head that most of its keys propose, so at most one comparison per set. The comparison keeps the symmetric
    difference to the head.
-2. Lists are cut into blocks with bounds of size, remaining positions and component. Two blocks are joined unless
+2. In a few rounds each list, in a random order of its own, proposes neighbours of different components; their
+   links join components. Proposals are as many as list entries.
+3. Lists are cut into blocks with bounds of size, remaining positions and component. Two blocks are joined unless
    the bounds exclude every pair: sizes too different, too few positions left for the overlap, or all of one
-   component already. What is left are pairs of different components.
-3. A pair under one head is decided from the two differences alone: the symmetric difference of two sets is that
-   of their differences to a third. Other pairs are compared by their texts.
+   component already. Pairs of different components come out unless size, position or bitmap exclude them.
 
-So a group of many similar sets costs one comparison each and few blocks, and no link between different components
+A pair under one head is decided from the two differences alone: the symmetric difference of two sets is that of
+their differences to a third. Of other pairs, those whose bitmaps differ in more bits than a link's symmetric
+difference allows are no links (each differing bit needs an element of its own); the rest are compared by texts.
+
+So a group of many similar sets costs a few comparisons each and few blocks, and no link between different components
 is lost: a pair is left out only if it cannot reach the similarity or is connected by links already found.
 Lists are range-partitioned by (key, size, set), so a hot key spreads over tasks.
 """
@@ -22,9 +27,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltline.llm.components import components
 from voltline.llm.textarrays import mix, shingles, words_of
@@ -34,6 +41,10 @@ from voltline.session import materialize, ship_package
 BROADCAST_ROWS = 500_000
 #: Entries of a block of a list.
 BLOCK = 256
+#: Rounds of neighbour proposals before all remaining pairs are looked for.
+ROUNDS = 2
+#: Bits of a class's parity bitmap, and of its folded form in the blocks.
+PARITY, FOLDED = 1024, 256
 
 
 @dataclass(frozen=True)
@@ -68,6 +79,14 @@ class Sets:
     k1: np.ndarray
     k2: np.ndarray
 
+    def parity(self) -> list[bytes]:
+        """Bitmap of each set: bit i says whether an odd number of its elements hash to i."""
+        n = len(self.off) - 1
+        bits = np.zeros((n, PARITY), np.uint8)
+        flat = np.bincount(self.doc * PARITY + (self.hash >> np.uint64(11) & np.uint64(PARITY - 1)).astype(np.int64), minlength=n * PARITY) if len(self.doc) else bits
+        raw = np.packbits((flat & 1).astype(np.uint8).reshape(n, PARITY), axis=1).tobytes()
+        return [raw[i : i + PARITY // 8] for i in range(0, len(raw), PARITY // 8)]
+
 
 def sets_of(texts: list[str], sim: Similarity) -> Sets:
     doc, h = shingles(words_of(texts, sim.lower), sim.shingle)
@@ -131,103 +150,134 @@ def _links(d, total, sim: Similarity):
 # --- index lists -------------------------------------------------------------------------------
 
 
-def _sorted_lists(entries: DataFrame) -> DataFrame:
-    order = ["key", "n", "pos", "sid"]
+def _sorted_lists(entries: DataFrame, *order: str) -> DataFrame:
     return entries.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _proposed_heads(entries: DataFrame, sim: Similarity) -> DataFrame:
-    """(sid, head): the head that most keys of the set propose."""
+def _live_lists(entries: DataFrame, sim: Similarity) -> DataFrame:
+    """(key, n, pos, sid, head) of the lists of two and more entries, and of those that may go on in another task.
+
+    ``head``: the first set of the list of similar size, else the set before; null for the first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = head = head_n = prev = prev_n = None
+        held = np.empty((0, 4), np.int64)  # the last list so far: entries not yet let go
+        head = None  # (sid, n) of the held list's first entry, when it was let go already
+        first = True  # the task's first list, which may have begun in another task
+
+        def let_go(rows: np.ndarray, edge_from: int, carried) -> pa.RecordBatch | None:
+            """Rows of whole lists; ``edge_from``: index from which on lists are kept even if alone."""
+            key, n, _, sid = rows.T
+            new = np.concatenate([[carried is None], key[1:] != key[:-1]])
+            start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+            at = np.maximum(start, 0)
+            h, hn = np.where(start < 0, carried[0] if carried else 0, sid[at]), np.where(start < 0, carried[1] if carried else 0, n[at])
+            far = hn * sim.den < sim.num * n
+            before, before_n = np.concatenate([sid[:1], sid[:-1]]), np.concatenate([n[:1], n[:-1]])
+            h, hn = np.where(far, before, h), np.where(far, before_n, hn)
+            none = new | (hn * sim.den < sim.num * n) | (h == sid)
+            size = np.bincount(np.cumsum(new) - new[0])[np.cumsum(new) - new[0]] if len(key) else np.empty(0)
+            keep = (size > 1) | (np.arange(len(key)) >= edge_from) | (start < 0)
+            if not keep.any():
+                return None
+            cols = [pa.array(c[keep], pa.int64()) for c in (key, n, rows[:, 2], sid)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array(h[keep], pa.int64(), mask=none[keep])], names=["key", "n", "pos", "sid", "head"])
+
         for batch in batches:
-            k, n, s = (batch.column(i).to_numpy() for i in (0, 1, 3))
-            if not len(k):
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], 1)])
+            if not len(rows):
                 continue
-            first = np.concatenate([[k[0] != key], k[1:] != k[:-1]])
-            start = np.maximum.accumulate(np.where(first, np.arange(len(k)), -1))
-            at = np.maximum(start, 0)
-            carried = start < 0  # the list began in the batch before
-            h = np.where(carried, head if head is not None else 0, s[at])
-            hn = np.where(carried, head_n if head_n is not None else 0, n[at])
-            p = np.concatenate([[prev if prev is not None else 0], s[:-1]])
-            pn = np.concatenate([[prev_n if prev_n is not None else 0], n[:-1]])
-            far = hn * sim.den < sim.num * n  # too small a head: the set before it in the list
-            h, hn = np.where(far, p, h), np.where(far, pn, hn)
-            ok = ~first & (hn * sim.den >= sim.num * n) & (h != s)
-            yield pa.RecordBatch.from_arrays([pa.array(s[ok], pa.int64()), pa.array(h[ok], pa.int64())], names=["sid", "head"])
-            key, prev, prev_n = k[-1], s[-1], n[-1]
-            if not carried[-1]:
-                head, head_n = s[at[-1]], n[at[-1]]
-
-    votes = _sorted_lists(entries).mapInArrow(run, "sid long, head long").groupBy("sid", "head").agg(F.count(F.lit(1)).alias("v"))
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))  # the last list may go on
+            done, held = rows[:last], rows[last:]
+            if len(done):
+                stop = int(np.searchsorted(done[:, 0], done[0, 0], "right")) if first else 0
+                for part, edge in ((done[:stop], 0), (done[stop:], len(done))):
+                    if len(part) and (out := let_go(part, edge, head)) is not None:
+                        yield out
+                    if len(part):
+                        head = None
+                first = False
+            if len(held) > BLOCK * 64:  # a long list is let go as it comes
+                yield let_go(held, 0, head)
+                head = head or (int(held[0, 3]), int(held[0, 1]))
+                held = held[:0]
+        if len(held):
+            yield let_go(held, 0, head)
+
+    return _sorted_lists(entries, "key", "n", "pos", "sid").mapInArrow(run, "key long, n long, pos long, sid long, head long")
+
+
+def _heads(live: DataFrame, width: Column) -> DataFrame:
+    """(sid, head): the head that most of a set's keys propose, at least an eighth of its ``width`` keys."""
+    votes = live.where("head is not null").groupBy("sid", "head").agg(F.count(F.lit(1)).alias("v"), F.first("n").alias("n")).where(F.col("v") * 8 >= width)
     return votes.groupBy("sid").agg(F.max(F.struct("v", (-F.col("head")).alias("h"))).alias("m")).select("sid", (-F.col("m.h")).alias("head"))
 
 
-_BLOCK_SCHEMA = "key long, part long, sids array<long>, ns array<long>, rests array<long>, comps array<long>, n_lo long, n_hi long, rest_hi long, c_lo long, c_hi long"
+def _neighbours(lists: DataFrame, turn: int, sim: Similarity) -> DataFrame:
+    """Distinct (a, b) of different components that stand next to each other in a random order of a list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.empty((0, 5), np.int64)
+        for batch in batches:
+            rows = np.concatenate([last, np.stack([c.to_numpy() for c in batch.columns], 1)])
+            last = rows[-1:]
+            x, y = rows[:-1], rows[1:]
+            small, large = np.minimum(x[:, 2], y[:, 2]), np.maximum(x[:, 2], y[:, 2])
+            ok = (x[:, 0] == y[:, 0]) & (x[:, 4] != y[:, 4]) & (small * sim.den >= large * sim.num)
+            pair = np.unique(np.sort(np.stack([x[ok, 3], y[ok, 3]], 1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], names=["a", "b"])
+
+    mixed = lists.select("key", F.xxhash64(F.lit(turn), "sid").alias("at"), "n", "sid", "comp")
+    return _sorted_lists(mixed, "key", "at").mapInArrow(run, "a long, b long").distinct()
+
+
+_BLOCK_SCHEMA = "key long, part long, sids array<long>, ns array<long>, rests array<long>, comps array<long>, bits binary, n_lo long, n_hi long, rest_hi long, c_lo long, c_hi long"
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
-    """Blocks of the lists that hold more than one component, or may go on in another task."""
+    """Blocks of the lists (key, n, pos, sid, comp, bits) of more than one component, or that may go on in another task."""
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] * 4 + [pa.binary()] + [pa.int64()] * 5
+    names = [c.split()[0] for c in _BLOCK_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a held run: one key's entries so far
-        held: list[np.ndarray] = []
-        first_key = True
+        held, held_bits = np.empty((0, 5), np.int64), np.empty((0, FOLDED // 8), np.uint8)
+        whole = True  # keep the next list whatever its components: it may spread over tasks
 
-        def cut(rows: np.ndarray, at: int) -> tuple:
-            n, rest, c = rows[:, 1], rows[:, 1] - rows[:, 2] - 1, rows[:, 4]
-            return (rows[0, 0], at, rows[:, 3], n, rest, c, n.min(), n.max(), rest.max(), c.min(), c.max())
+        def blocks_of(rows: np.ndarray, bits: np.ndarray) -> list[tuple]:
+            out = []
+            for i in range(0, len(rows), BLOCK):
+                r = rows[i : i + BLOCK]
+                n, rest, c = r[:, 1], r[:, 1] - r[:, 2] - 1, r[:, 4]
+                out.append((r[0, 0], i, r[:, 3], n, rest, c, bits[i : i + BLOCK].tobytes(), n.min(), n.max(), rest.max(), c.min(), c.max()))
+            return out
 
         def batch_of(out: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] * 4 + [pa.int64()] * 5
-            names = [c.split()[0] for c in _BLOCK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=names)
 
-        def flush(rows: np.ndarray, edge: bool) -> list[tuple]:
-            if not edge and (len(rows) < 2 or rows[:, 4].min() == rows[:, 4].max()):
-                return []
-            return [cut(rows[i : i + BLOCK], i) for i in range(0, len(rows), BLOCK)]
-
         for batch in batches:
-            rows = np.stack([c.to_numpy() for c in batch.columns], 1)
-            if not len(rows):
+            if not batch.num_rows:
                 continue
-            if held and held[-1][-1, 0] == rows[0, 0]:
-                rows = np.concatenate([*held, rows])
-            elif held:
-                rows = np.concatenate([*held, rows])
-            cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns[:5]], 1)])
+            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, FOLDED // 8)
+            bits = np.concatenate([held_bits, new])
+            cuts = np.concatenate([[0], np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1])
             out: list[tuple] = []
-            last = 0
-            if len(cuts):
-                starts, ends = np.concatenate([[0], cuts[:-1]]), cuts
-                if first_key:
-                    out += flush(rows[: cuts[0]], True)
-                    starts, ends, first_key = starts[1:], ends[1:], False
-                if len(starts):
-                    lo = np.minimum.reduceat(rows[: ends[-1], 4], starts)
-                    hi = np.maximum.reduceat(rows[: ends[-1], 4], starts)
-                    for i in np.flatnonzero(lo != hi).tolist():
-                        out += flush(rows[starts[i] : ends[i]], False)
-                last = int(cuts[-1])
-            held = [rows[last:]]
-            # a long run is let go block by block; a list that spreads over tasks is always kept whole
-            whole = (len(held[0]) // (BLOCK * 64)) * BLOCK * 64
-            if whole:
-                out += [cut(held[0][i : i + BLOCK], i) for i in range(0, whole, BLOCK)]
-                held, first_key = [held[0][whole:]], True
-                if not len(held[0]):
-                    held = []
-            if out:
-                yield batch_of(out)
-        if held and len(held[0]):
-            out = flush(held[0], True)
+            if len(cuts) > 1:
+                lo, hi = np.minimum.reduceat(rows[:, 4], cuts)[:-1], np.maximum.reduceat(rows[:, 4], cuts)[:-1]
+                for i in range(len(cuts) - 1):
+                    if lo[i] != hi[i] or (whole and i == 0):
+                        out += blocks_of(rows[cuts[i] : cuts[i + 1]], bits[cuts[i] : cuts[i + 1]])
+                whole = False
+            held, held_bits = rows[cuts[-1] :], bits[cuts[-1] :]
+            if len(held) > BLOCK * 64:  # a long list is let go as it comes
+                out += blocks_of(held, held_bits)
+                held, held_bits, whole = held[:0], held_bits[:0], True
             if out:
                 yield batch_of(out)
+        if len(held):
+            yield batch_of(blocks_of(held, held_bits))
 
-    return _sorted_lists(entries.select("key", "n", "pos", "sid", "comp")).mapInArrow(run, _BLOCK_SCHEMA)
+    return _sorted_lists(entries.select("key", "n", "pos", "sid", "comp", "bits"), "key", "n", "pos", "sid").mapInArrow(run, _BLOCK_SCHEMA)
 
 
 def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFrame:
@@ -241,12 +291,12 @@ def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFr
     cond = (F.col("l.key") == F.col("r.key")) & order & near & mixed
     if positional:
         cond &= (1 + F.least("l.rest_hi", "r.rest_hi")) * F.lit(sim.num + sim.den) >= (F.col("l.n_lo") + F.col("r.n_lo")) * sim.num
-    pairs = l.join(r, cond).select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "lr" for c in ("id", "sids", "ns", "rests", "comps")))
+    pairs = l.join(r, cond).select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "lr" for c in ("sids", "ns", "rests", "comps", "bits")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            col = dict(zip(batch.schema.names, batch.columns))
             for i in range(batch.num_rows):
                 sl, nl, rl, cl, sr, nr, rr, cr = (np.asarray(col[f"{s}_{c}"][i].values) for s in "lr" for c in ("sids", "ns", "rests", "comps"))
                 small, large = np.minimum(nl[:, None], nr), np.maximum(nl[:, None], nr)
@@ -254,8 +304,11 @@ def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFr
                 if positional:
                     ok &= (1 + np.minimum(rl[:, None], rr)) * (sim.num + sim.den) >= (small + large) * sim.num
                 x, y = np.nonzero(ok)
-                a.append(np.minimum(sl[x], sr[y]))
-                b.append(np.maximum(sl[x], sr[y]))
+                bl, br = (np.frombuffer(col[f"{s}_bits"][i].as_py(), np.uint64).reshape(-1, FOLDED // 64) for s in "lr")
+                apart = np.bitwise_count(bl[x] ^ br[y]).sum(1, dtype=np.int64)
+                near = apart * (sim.den + sim.num) <= (nl[x] + nr[y]) * (sim.den - sim.num)
+                a.append(np.minimum(sl[x], sr[y])[near])
+                b.append(np.maximum(sl[x], sr[y])[near])
             if a:
                 pair = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], names=["a", "b"])
@@ -269,7 +322,7 @@ def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFr
 def classes_of(rows: DataFrame, id_col: str) -> DataFrame:
     """One written row per distinct non-empty set: a number, the least id, and what its members share."""
     one = rows.where("n > 0").groupBy("k1", "k2").agg(
-        F.min(id_col).alias("rep"), F.first("n").alias("n"), F.min("tkey").alias("tkey"), F.first("keys").alias("keys")
+        F.min(id_col).alias("rep"), F.first("n").alias("n"), F.min("tkey").alias("tkey"), F.first("parity").alias("parity"), F.first("keys").alias("keys")
     )
     return materialize(one.withColumn("sid", F.monotonically_increasing_id()), "classes")
 
@@ -286,41 +339,77 @@ def named(rows: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
 # --- the whole ---------------------------------------------------------------------------------
 
 
+def _bitmaps_near(sim: Similarity):
+    """Whether two bitmaps allow a link; sizes na and nb."""
+
+    @F.pandas_udf("boolean")
+    def near(x: pd.Series, y: pd.Series, total: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(map(bytes, v)), np.uint64).reshape(-1, PARITY // 64) for v in (x, y))
+        apart = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+        return pd.Series(apart * (sim.den + sim.num) <= total.to_numpy() * (sim.den - sim.num))
+
+    return near
+
+
+@F.pandas_udf(T.BinaryType())
+def _folded(parity: pd.Series) -> pd.Series:
+    """Bitmaps of ``FOLDED`` bits; a folded bit is the parity of the bits it stands for."""
+    rows = np.frombuffer(b"".join(map(bytes, parity)), np.uint8).reshape(-1, PARITY // FOLDED, FOLDED // 8)
+    return pd.Series([r.tobytes() for r in np.bitwise_xor.reduce(rows, axis=1)])
+
+
+class _Answers:
+    """What is known of the classes when pairs are decided: heads, differences to them, sizes, bitmaps."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, text_col: str, sim: Similarity, star: DataFrame):
+        self.classes, self.docs, self.text_col, self.sim = classes, docs, text_col, sim
+        own = star.where("delta is not null").select(F.col("a").alias("sid"), F.col("b").alias("head"), "delta")
+        as_head = star.where("delta is not null").select(F.col("b").alias("sid")).distinct().join(own.select("sid"), "sid", "left_anti")
+        heads = own.unionByName(as_head.select("sid", F.col("sid").alias("head"), F.array().cast("array<long>").alias("delta")))
+        sizes = classes.select("sid", F.col("n").cast("long").alias("n"), "parity")
+        self.known = sizes.join(heads, "sid", "left")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The (a, b) of ``pairs`` that link."""
+        sim, k = self.sim, self.known
+        left = pairs.join(k.select(*(F.col(c).alias(f"{c}_a") for c in k.columns)), F.col("a") == F.col("sid_a"))
+        both = left.join(k.select(*(F.col(c).alias(f"{c}_b") for c in k.columns)), F.col("b") == F.col("sid_b"))
+        total = F.col("n_a") + F.col("n_b")
+        one_head = F.coalesce(F.col("head_a") == F.col("head_b"), F.lit(False))
+        d = (F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))).cast("long")
+        near = both.where(_bitmaps_near(sim)("parity_a", "parity_b", total))
+        seen = materialize(near.select("a", "b", F.when(one_head, _links(d, total, sim)).alias("link")), "decided")
+        left_open = seen.where("link is null").select("a", "b")
+        ids = left_open.select(F.col("a").alias("sid")).unionByName(left_open.select(F.col("b").alias("sid"))).distinct()
+        texts = _texts(self.docs, self.text_col, self.classes.join(ids, "sid", "left_semi").select("sid", "tkey"), sim)
+        slow = _compared(left_open, texts, sim).where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b")
+        return materialize(seen.where("link").select("a", "b").unionByName(slow), "links")
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (sid, comp) after ``links`` have joined components."""
+    across = links.join(comp.select(F.col("sid").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("sid").alias("b"), F.col("comp").alias("cb")), "b")
+    joined = components(across.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    new = comp.join(joined.select(F.col("node").alias("comp"), "component"), "comp", "left")
+    return materialize(new.select("sid", F.coalesce("component", "comp").alias("comp")), "comps")
+
+
 def with_components(classes: DataFrame, docs: DataFrame, text_col: str, sim: Similarity, positional: bool) -> DataFrame:
-    """``classes`` (sid, k1, k2, n, tkey, keys) with ``component``: the least sid that links reach."""
-    spark = classes.sparkSession
-    ship_package(spark)
+    """``classes`` (sid, k1, k2, n, tkey, parity, keys) with ``component``: the least sid that links reach."""
+    ship_package(classes.sparkSession)
     able = classes.where(F.col("n") >= sim.least_size)
     entries = able.select(F.posexplode("keys").alias("pos", "key"), F.col("n").cast("long").alias("n"), "sid").select("key", "n", F.col("pos").cast("long").alias("pos"), "sid")
-    heads = materialize(_proposed_heads(entries, sim), "heads")
+    live = materialize(_live_lists(entries, sim), "live")
+    width = F.col("n") - F.ceil(F.col("n") * sim.num / sim.den) + 1 if positional else F.lit(8)
+    heads = materialize(_heads(live, width), "heads")
     ids = heads.select("sid").unionByName(heads.select(F.col("head").alias("sid"))).distinct()
     texts = _texts(docs, text_col, classes.join(ids, "sid", "left_semi").select("sid", "tkey"), sim)
     star = materialize(_compared(heads.select(F.col("sid").alias("a"), F.col("head").alias("b")), texts, sim), "stars")
-    linked = components(star.where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b"))
-    grouped = materialize(
-        able.select("sid", "n", "keys").join(linked.withColumnRenamed("node", "sid"), "sid", "left")
-        .select("sid", F.col("n").cast("long").alias("n"), "keys", F.coalesce("component", "sid").alias("comp")), "grouped",
-    )
-    lists = grouped.select("sid", "n", "comp", F.posexplode("keys").alias("pos", "key")).select("key", "n", F.col("pos").cast("long").alias("pos"), "sid", "comp")
-    pairs = materialize(_block_pairs(_blocks(lists), sim, positional), "pairs")
-    # each set's head (its own when it heads others) and difference to it
-    own = star.where("delta is not null").select(F.col("a").alias("sid"), F.col("b").alias("head"), F.col("na").alias("n"), "delta")
-    as_head = star.where("delta is not null").select(F.col("b").alias("sid"), F.col("nb").alias("n")).distinct()
-    as_head = as_head.join(own.select("sid"), "sid", "left_anti").select("sid", F.col("sid").alias("head"), "n", F.array().cast("array<long>").alias("delta"))
-    known = own.unionByName(as_head)
-    left = pairs.join(known.select(*(F.col(c).alias(f"{c}_a") for c in known.columns)), F.col("a") == F.col("sid_a"), "left")
-    both = left.join(known.select(*(F.col(c).alias(f"{c}_b") for c in known.columns)), F.col("b") == F.col("sid_b"), "left")
-    both = materialize(both.select("a", "b", "n_a", "n_b", "delta_a", "delta_b", F.coalesce(F.col("head_a") == F.col("head_b"), F.lit(False)).alias("one_head")), "decided")
-    shared = F.size(F.array_intersect("delta_a", "delta_b"))
-    d = (F.size("delta_a") + F.size("delta_b") - 2 * shared).cast("long")
-    quick = both.where("one_head").where(_links(d, F.col("n_a") + F.col("n_b"), sim)).select("a", "b")
-    open_pairs = both.where("not one_head").select("a", "b")
-    ids = open_pairs.select(F.col("a").alias("sid")).unionByName(open_pairs.select(F.col("b").alias("sid"))).distinct()
-    more = _texts(docs, text_col, classes.join(ids, "sid", "left_semi").select("sid", "tkey"), sim)
-    slow = _compared(open_pairs, more, sim).where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b")
-    # links between the components so far
-    comp = grouped.select("sid", "comp")
-    across = quick.unionByName(slow).join(comp.select(F.col("sid").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("sid").alias("b"), F.col("comp").alias("cb")), "b")
-    merged = components(across.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    final = comp.join(merged.select(F.col("node").alias("comp"), F.col("component")), "comp", "left").select("sid", F.coalesce("component", "comp").alias("component"))
-    return classes.join(final, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    answers = _Answers(classes.select("sid", "n", "tkey", "parity"), docs, text_col, sim, star)
+    comp = materialize(live.select("sid").distinct().withColumn("comp", F.col("sid")), "comps")
+    comp = _merged(comp, star.where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b"))
+    for turn in range(ROUNDS):
+        comp = _merged(comp, answers.links(_neighbours(live.join(comp, "sid"), turn, sim)))
+    lists = live.join(comp, "sid").join(classes.select("sid", _folded("parity").alias("bits")), "sid")
+    comp = _merged(comp, answers.links(_block_pairs(_blocks(lists), sim, positional)))
+    return classes.join(comp, "sid", "left").withColumn("component", F.coalesce("comp", "sid")).drop("comp")

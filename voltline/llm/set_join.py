@@ -55,7 +55,7 @@ def shingle_counts(docs: DataFrame, text_col: str, sim: Similarity) -> np.ndarra
 
 
 def set_rows(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
-    """(id, n, k1, k2, tkey, keys) of each row: size and key of its set, and its prefix, rarest first."""
+    """(id, n, k1, k2, tkey, parity, keys) of each row: size and key of its set, and its prefix, rarest first."""
     spark = docs.sparkSession
     counts = shingle_counts(docs, text_col, sim)
     rank = spark.sparkContext.broadcast(np.minimum(counts, (1 << 20) - 1).astype(np.uint32))  # SKETCH x 4 bytes
@@ -66,12 +66,12 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> Da
         key = rank.value[(s.hash >> np.uint64(45)).astype(np.int64)].astype(np.uint64) << np.uint64(43) | s.hash >> np.uint64(21)
         key = key[np.lexsort((key, s.doc))].astype(np.int64)
         take = np.where(n >= sim.least_size, sim.prefix(n), 0)
-        return {"n": n, "k1": s.k1, "k2": s.k2, "keys": [key[a : a + k] for a, k in zip(s.off[:-1].tolist(), take.tolist())]}
+        return {"n": n, "k1": s.k1, "k2": s.k2, "parity": s.parity(), "keys": [key[a : a + k] for a, k in zip(s.off[:-1].tolist(), take.tolist())]}
 
     clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = docs.select(F.struct(F.col(id_col).alias("id"), text_key(clean).alias("tkey")).alias("_who"), clean.alias("_text"))
-    got = map_texts(named, "_who", "_text", run, {"n": "long", "k1": "long", "k2": "long", "keys": "array<long>"})
-    return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "keys")
+    got = map_texts(named, "_who", "_text", run, {"n": "long", "k1": "long", "k2": "long", "parity": "binary", "keys": "array<long>"})
+    return got.select(F.col("_who.id").alias(id_col), F.col("_who.tkey").alias("tkey"), "n", "k1", "k2", "parity", "keys")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim: Similarity = Similarity()) -> DataFrame:
