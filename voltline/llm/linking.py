@@ -154,10 +154,12 @@ def _sorted_lists(entries: DataFrame, *order: str) -> DataFrame:
     return entries.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _live_lists(entries: DataFrame, sim: Similarity) -> DataFrame:
-    """(key, n, pos, sid, head) of the lists of two and more entries, and of those that may go on in another task.
+def _live_lists(entries: DataFrame, sim: Similarity, positional: bool) -> DataFrame:
+    """(key, n, pos, sid, head) of the entries that may link to another one of their list.
 
-    ``head``: the first set of the list of similar size, else the set before; null for the first.
+    In size order an entry whose neighbours are too small and too large links to none; a list of two has one pair,
+    whose positions tell too. Lists that may go on in another task are kept whole. ``head``: the first set of the
+    list of similar size, else the set before; null for the first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +179,12 @@ def _live_lists(entries: DataFrame, sim: Similarity) -> DataFrame:
             h, hn = np.where(far, before, h), np.where(far, before_n, hn)
             none = new | (hn * sim.den < sim.num * n) | (h == sid)
             size = np.bincount(np.cumsum(new) - new[0])[np.cumsum(new) - new[0]] if len(key) else np.empty(0)
-            keep = (size > 1) | (np.arange(len(key)) >= edge_from) | (start < 0)
+            pair = ~new[1:] & (n[:-1] * sim.den >= sim.num * n[1:])
+            if positional:
+                rest = np.minimum(n[:-1] - rows[:-1, 2], n[1:] - rows[1:, 2])
+                pair &= (size[1:] > 2) | (rest * (sim.num + sim.den) >= (n[:-1] + n[1:]) * sim.num)
+            near = np.append(pair, False) | np.append(False, pair)
+            keep = near | (np.arange(len(key)) >= edge_from) | (start < 0)
             if not keep.any():
                 return None
             cols = [pa.array(c[keep], pa.int64()) for c in (key, n, rows[:, 2], sid)]
@@ -372,6 +379,9 @@ class _Answers:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) of ``pairs`` that link."""
         sim, k = self.sim, self.known
+        pairs, n = materialize(pairs, "pairs", with_count=True)
+        if not n:
+            return pairs
         left = pairs.join(k.select(*(F.col(c).alias(f"{c}_a") for c in k.columns)), F.col("a") == F.col("sid_a"))
         both = left.join(k.select(*(F.col(c).alias(f"{c}_b") for c in k.columns)), F.col("b") == F.col("sid_b"))
         total = F.col("n_a") + F.col("n_b")
@@ -389,6 +399,8 @@ class _Answers:
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
     """``comp`` (sid, comp) after ``links`` have joined components."""
     across = links.join(comp.select(F.col("sid").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("sid").alias("b"), F.col("comp").alias("cb")), "b")
+    if links.isEmpty():
+        return comp
     joined = components(across.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     new = comp.join(joined.select(F.col("node").alias("comp"), "component"), "comp", "left")
     return materialize(new.select("sid", F.coalesce("component", "comp").alias("comp")), "comps")
@@ -399,7 +411,9 @@ def with_components(classes: DataFrame, docs: DataFrame, text_col: str, sim: Sim
     ship_package(classes.sparkSession)
     able = classes.where(F.col("n") >= sim.least_size)
     entries = able.select(F.posexplode("keys").alias("pos", "key"), F.col("n").cast("long").alias("n"), "sid").select("key", "n", F.col("pos").cast("long").alias("pos"), "sid")
-    live = materialize(_live_lists(entries, sim), "live")
+    live, n = materialize(_live_lists(entries, sim, positional), "live", with_count=True)
+    if not n:
+        return classes.withColumn("component", F.col("sid"))
     width = F.col("n") - F.ceil(F.col("n") * sim.num / sim.den) + 1 if positional else F.lit(8)
     heads = materialize(_heads(live, width), "heads")
     ids = heads.select("sid").unionByName(heads.select(F.col("head").alias("sid"))).distinct()
