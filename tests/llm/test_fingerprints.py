@@ -66,3 +66,16 @@ def test_near_copies_match_brute_force(spark, odd_docs, no_docs):
     by = {r.doc_id: r for r in P.near_copies(odd_docs).collect() if r.doc_id not in (4, None)}
     assert by[7].component_id == 0 and by[1].component_id == 1 and by[1].n_shingles == 0
     assert P.near_copies(no_docs).count() == 0
+
+
+def test_query_returns_near_copies_of_the_whole_table(spark, odd_docs, no_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = P.op10_minhash_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute({r.doc_id: r.text for r in docs.collect()}, CFG.sets)
+    assert {tuple(r[:7]) for r in rows} == {tuple(r) for r in P.edit_likeness(docs).collect()}
+    odd = P.likeness_and_copies(odd_docs).collect()
+    assert len(odd) == odd_docs.count() and P.likeness_and_copies(no_docs).count() == 0
+    # rows of one id keep their own groups; a null id names only a group of null ids
+    assert sorted((r.n_chars, r.n_shingles, r.component_id) for r in odd if r.doc_id == 4) == [(1, 1, 4), (1, 1, 4), (30, 2, 4)]
+    assert {r.doc_id: r.component_id for r in odd if r.doc_id in (0, 7)} == {0: 0, 7: 0}
+    assert all(r.component_id is None for r in odd if r.doc_id is None)

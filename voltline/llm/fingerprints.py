@@ -112,20 +112,26 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
+GROUP = {"n_shingles": "long", "component_id": "long"}
 EDIT = {"n_chars": "long", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"}
 
 
-def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: MinHashConfig = MinHashConfig()) -> DataFrame:
+def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: MinHashConfig = MinHashConfig(), groups: DataFrame | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text (second half replaced from the next document), and likenesses.
 
     Documents follow each other by id, then text; null ids come first and the first document follows the last. The
     rows are dealt into id ranges by bounds from quantiles of all ids; only the first id's rows of a range are sent
     to the range before too, so a text moves once. Each range is read in order, a block at a time. An empty table
     gives no rows; a single document follows itself.
+
+    ``groups`` (_who, n_shingles, component_id), keyed by id and text as in ``likeness_and_copies``, is dealt along
+    with the documents and its columns follow; the keys of one id are held while its rows are read.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    src = docs.select(F.col(id_col).cast("long").alias("_id"), clean.alias("_text"), text_key(clean).alias("_tkey"))
+    fields = EDIT if groups is None else EDIT | GROUP
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = np.unique(np.array(src.approxQuantile("_id", [i / parts for i in range(1, parts)], 0.2 / parts) or [], dtype=float))
 
@@ -149,9 +155,15 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = src.withColumn("_range", range_of("_id")).withColumn("_halo", halo_of("_id"))
     copies = F.when(F.col("_halo") >= 0, F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("h")), F.struct(F.col("_halo").alias("r"), F.lit(True).alias("h"))))
     copies = copies.otherwise(F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("h"))))
-    dealt = own.select("_id", "_text", F.explode(copies).alias("_at")).select(F.col("_at.r").alias("_range"), F.col("_at.h").alias("_next"), "_id", "_text")
+    dealt = own.select("_id", "_text", "_tkey", F.explode(copies).alias("_at")).select(F.col("_at.r").alias("_range"), F.col("_at.h").alias("_next"), "_id", "_text", "_tkey")
+    if groups is not None:  # rows without a text: they sort before the documents of their id
+        facts = groups.select(F.col("_who.id").alias("_id"), F.col("_who.text").alias("_tkey"), F.col("n_shingles").alias("_n"), F.col("component_id.id").alias("_least"))
+        facts = facts.select(range_of("_id").alias("_range"), F.lit(False).alias("_next"), "_id", F.lit(None).cast("string").alias("_text"), "_tkey", "_n", "_least")
+        dealt = dealt.unionByName(facts, allowMissingColumns=True)
     sorted_rows = dealt.repartition(parts, "_range").sortWithinPartitions("_range", "_next", F.col("_id").asc_nulls_first(), "_text")
 
+    groups_too = groups is not None
+
     def emit(chain: list[tuple], after: str | None) -> pa.RecordBatch:
         """Rows of consecutive documents of one range; the document after the last, if it is not in the chain."""
         texts = [c[1] for c in chain]
@@ -164,13 +176,22 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]), pa.array(_hex(short[:n])), pa.array(_hex(short[n + 1 :])),
             pa.array((short[:n] == short[n + 1 :]).mean(1)), pa.array((short[:n] == short[1 : n + 1]).mean(1)),
         ]
-        return pa.RecordBatch.from_arrays(cols, names=[id_col, *EDIT])
+        if groups_too:
+            cols += [pa.array([c[j] for c in chain], pa.int64()) for j in (2, 3)]
+        return pa.RecordBatch.from_arrays(cols, names=[id_col, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain: list[tuple] = []
         size, at, done = 0, None, False  # done: the range's follower has come
+        known: dict[int, tuple] = {}  # text key -> group of the rows of one id
+        whose: tuple = ()
         for batch in batches:
-            for r, halo, i, t in zip(*(c.to_pylist() for c in batch.columns)):
+            for r, halo, i, t, key, *group in zip(*(c.to_pylist() for c in batch.columns)):
+                if t is None:
+                    if whose != (i,):
+                        known, whose = {}, (i,)
+                    known[key] = tuple(group)
+                    continue
                 if r != at:
                     if chain:  # a range without a follower row cannot be: every range's first rows go to one before
                         yield emit(chain, chain[0][1])
@@ -183,13 +204,24 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 if chain and size > BLOCK_CHARS:
                     yield emit(chain, t)
                     chain, size = [], 0
-                chain.append((i, t))
+                chain.append((i, t, *known[key]) if groups_too else (i, t))
                 size += len(t)
         if chain:
             yield emit(chain, chain[0][1])
 
-    return sorted_rows.mapInArrow(run, f"`{id_col}` long, " + ", ".join(f"{k} {v}" for k, v in EDIT.items()))
+    return sorted_rows.mapInArrow(run, f"`{id_col}` long, " + ", ".join(f"{k} {v}" for k, v in fields.items()))
+
+
+def likeness_and_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: MinHashConfig = MinHashConfig()) -> DataFrame:
+    """``edit_likeness`` of each row with n_shingles and component_id of ``near_copies``.
+
+    Groups meet the rows by id and text, so rows that repeat an id keep their own group; null ids name a group only
+    where all its ids are null."""
+    clean = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    who = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), text_key(clean).alias("text"))
+    groups = near_copies(docs.select(who.alias("_who"), F.col(text_col)), "_who", text_col, cfg)
+    return edit_likeness(docs, id_col, text_col, cfg, groups)
 
 
 def op10_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_likeness(table(spark, sf_dir, "documents"))
+    return likeness_and_copies(table(spark, sf_dir, "documents"))
