@@ -79,3 +79,13 @@ def test_operator_on_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(r.n_email == 0 for r in rows)
     assert {r.base_sha256 for r in rows} == {hashlib.sha256(b"").hexdigest()}
     assert P.personal_spans(no_docs, P.train(no_docs)).count() == 0
+
+
+def test_evidence_reaches_all_occurrences_of_a_token():
+    f = P.Field(np.zeros((P.BUCKETS, P.N_LABELS)), np.zeros((P.N_LABELS, P.N_LABELS)), 20.0, P.FieldConfig())
+    f.unary[P._bucket("cue", "phone"), 1 + P.ORDER["phone"]] = 12.0
+    for at in (0, 30, 59):
+        text = "\n".join(f"{'phone' if i == at else 'word'} 5550199 end" for i in range(60))
+        nodes = P.nodes_of(text)
+        p = f.marginals(nodes.feature, nodes.chain, nodes.skip)
+        assert len(p) == 60 and (p[:, 1 + P.ORDER["phone"]] > 0.9).all(), at

@@ -2,8 +2,8 @@
 
 The field's nodes are the tokens with a digit or an ``@`` (a token without either can only be outside: its potential
 for every kind is 0, so it parts the chain). Neighbouring nodes share a transition potential; distant tokens that are
-equal or similar (same letters and digits, or the same mailbox name) are linked in order of occurrence and share an
-agreement potential. Loopy message passing runs over all texts of a block at once, so a repeated token takes one
+equal or similar (same letters and digits, or the same mailbox name) are all linked to their first occurrence and share
+an agreement potential, so evidence of any of them is two steps from every other. Loopy message passing runs over all texts of a block at once, so a repeated token takes one
 label through its document. Weights are fitted by pseudo-likelihood on a bounded sample of documents: tokens under a
 fixed pattern take its kind, tokens whose match only failed its check (Luhn, part or digit count) stay unlabelled,
 all others are outside. The work is per text: no shuffle; the weights are a fixed-size table.
@@ -92,7 +92,7 @@ class Nodes:
     end: np.ndarray
     feature: np.ndarray  # nodes x N_FEATURES buckets
     chain: np.ndarray  # edges x 2: next to each other
-    skip: np.ndarray  # edges x 2: equal or similar, one occurrence to the next
+    skip: np.ndarray  # edges x 2: equal or similar, the first occurrence to each other one
 
 
 N_FEATURES = 6
@@ -135,9 +135,9 @@ def nodes_of(text: str) -> Nodes:
         if near:
             chain.append((i - 1, i))
         key = re.sub(r"[\W_]+", "", token.split("@")[0]).lower() or token
-        if key in seen and (seen[key], i) not in chain[-1:]:
-            skip.append((seen[key], i))
-        seen[key] = i
+        first = seen.setdefault(key, i)
+        if first != i and (first, i) not in chain[-1:]:
+            skip.append((first, i))
     pairs = lambda p: np.array(p, np.int64).reshape(-1, 2)
     return Nodes(pairs(spans)[:, 0], pairs(spans)[:, 1], np.array(feats, np.int64).reshape(-1, N_FEATURES), pairs(chain), pairs(skip))
 
