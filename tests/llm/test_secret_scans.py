@@ -60,3 +60,29 @@ def test_mask_and_odd_rows(odd_docs, no_docs):
 def test_many_operators_take_linear_time():
     t = "=" * 50_000 + ":" * 50_000 + 'a="b"' * 10_000
     assert S.scan(t)[1] == []
+
+
+def test_constants_of_many_pieces_and_lines_are_whole():
+    pieces = [f"Zx{i}!qP" for i in range(100)]
+    many = "K = " + " + ".join(f'"{p}"' for p in pieces) + "\n"
+    assert literals(many + "db_password = K\n") == pieces
+    assert literals(many + "L = K\nclient_secret = L + K") == pieces
+    steps = "a0 = \"Zx81!qPv#77w\"\n" + "".join(f'a{i} = a{i - 1} + "p{i}"\n' for i in range(1, 3000))
+    assert len(literals(steps + "passphrase = a2999")) == 3000
+    doubled = "b0 = \"Zx81!qPv#77w\"\n" + "".join(f"b{i} = b{i - 1} + b{i - 1}\n" for i in range(1, 60))
+    assert literals(doubled + "passphrase = b59") == ["Zx81!qPv#77w"]
+    for gap in ("\n", "\r\n    ", " \n\t"):
+        assert literals(f'db_pwd = "Zx81!" +{gap}"qPv#77w"') == ["Zx81!", "qPv#77w"]
+
+
+def test_scores_of_joined_values_are_those_of_their_text():
+    rng = random.Random(6)
+    bits = ["exam", "ple", "<", ">", "$", "{", "%(", "nu", "ll", "xx", "**", "*", "Zx81!", "qPv#77w", " ", "", "your", "_", "abc" * 9, "é漢", "place", "holder"]
+    for _ in range(4000):
+        words = [rng.choice(bits) for _ in range(rng.randint(1, 9))]
+        text, at, parts = "".join(words), 0, []
+        for w in words:
+            parts.append((at, at + len(w)))
+            at += len(w)
+        k = rng.randint(0, len(parts))
+        assert S.Value(text, [S.Value(text, parts[:k]), *parts[k:]]).score() == S.literal_score(text), words

@@ -37,9 +37,12 @@ NAME_CHARS = 128
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>:])=(?![=>])|:(?![:=/])")
 _NAME = re.compile(r"""["'`]?([A-Za-z_$][A-Za-z0-9_$.-]*)["'`]?(?:\x20*\?)?[\x20\t]*\Z""")
 _PIECE = re.compile(r"""[\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_$][A-Za-z0-9_$.]*)(?![^\s,;)}\]+])|([^\s"'`,;(){}\[\]]+))""")
-_PLUS = re.compile(r"[\x20\t]*\+")
+_PLUS = re.compile(r"[\x20\t]*\+[\x20\t\r\n]*")  # a value goes on in the next line after a plus
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-_PLACEHOLDER = re.compile(r"(?i)example|changeme|change_me|placeholder|your[_-]|dummy|xxxx|\*\*\*|^<.*>$|^\$\{?|^%\(|^none$|^null$|^true$|^false$")
+#: Longer than any word of ``_WORDS``: ends of two values that can hold one across their joint.
+EDGE = 16
+_WORDS = re.compile(r"(?i)example|changeme|change_me|placeholder|your[_-]|dummy|xxxx|\*\*\*")
+_WHOLE = re.compile(r"(?i)^<.*>$|^\$\{?|^%\(|^none$|^null$|^true$|^false$")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -58,12 +61,43 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """Evidence of the literal's own shape that it is a secret; placeholders and phrases count against it."""
-    if len(value) < 6 or _PLACEHOLDER.search(value):
+    if len(value) < 6 or _WORDS.search(value) or _WHOLE.search(value):
         return -2.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-    return 0.2 * (len(value) >= 8) + 0.2 * (len(value) >= 16) + 0.3 * mixed + 0.3 * (entropy > 3.0) - 0.8 * any(c.isspace() for c in value)
+    return _shape_score(Counter(value), len(value))
+
+
+def _shape_score(counts: Counter, n: int) -> float:
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    mixed = any(c.isdigit() for c in counts) and any(c.isalpha() for c in counts)
+    return 0.2 * (n >= 8) + 0.2 * (n >= 16) + 0.3 * mixed + 0.3 * (entropy > 3.0) - 0.8 * any(c.isspace() for c in counts)
+
+
+class Value:
+    """Pieces joined into one value: literals' spans and other values, shared and never copied.
+
+    What its score needs of the joined text is kept: length, counts of characters, both ends, and whether a
+    placeholder word is inside. So a value of any number of pieces costs as much as its own pieces."""
+
+    def __init__(self, text: str, parts: list):
+        self.parts, self.n, self.counts, self.head, self.tail, self.inside = parts, 0, Counter(), "", "", False
+        for p in parts:
+            if isinstance(p, Value):
+                n, counts, head, tail, inside = p.n, p.counts, p.head, p.tail, p.inside
+            else:
+                t = text[p[0] : p[1]]
+                n, counts, head, tail, inside = len(t), Counter(t), t[:EDGE], t[-EDGE:], bool(_WORDS.search(t))
+            self.inside = self.inside or inside or bool(_WORDS.search(self.tail + head))
+            self.head = (self.head + head)[:EDGE] if self.n < EDGE else self.head
+            self.tail = (self.tail + tail)[-EDGE:]
+            self.n += n
+            self.counts.update(counts)
+
+    def score(self) -> float:
+        """``literal_score`` of the joined text."""
+        ends = self.head if self.n <= EDGE else self.head + self.tail[-min(EDGE, self.n - EDGE) :]
+        return -2.0 if self.n < 6 or self.inside or _WHOLE.search(ends) else _shape_score(self.counts, self.n)
+
+
 
 
 def assignments(text: str) -> list[tuple[str, list[tuple[int, int, str | None]]]]:
@@ -90,18 +124,31 @@ def lexed_secrets(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or through other names."""
     if "=" not in text and ":" not in text:
         return []
-    held: dict[str, list[tuple[int, int]]] = {}
+    held: dict[str, Value] = {}
+    reached: set[int] = set()  # values whose literals are found already
     found: set[tuple[int, int]] = set()
+    kept: list[Value] = []
     for name, pieces in assignments(text):
-        literals: list[tuple[int, int]] = []
+        parts: list = []
         for s, e, ref in pieces:
-            literals += [(s, e)] if ref is None else held.get(ref.rsplit(".", 1)[-1], [(s, e)] if len(pieces) == 1 else [])
+            known = None if ref is None else held.get(ref.rsplit(".", 1)[-1])
+            if known is not None:
+                parts.append(known)
+            elif ref is None or len(pieces) == 1:
+                parts.append((s, e))
+        # a plain name has one value; another name's value is shared, so chains stay linear
+        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(text, parts)
         weight = name_score(name)
-        value = "".join(text[s:e] for s, e in literals[:64])
-        if weight and weight + literal_score(value) >= THRESHOLD:
-            found.update(literals)
-        # a plain name has one value; only short lists are carried on, so chains stay linear
-        held[name.rsplit(".", 1)[-1]] = literals[:64]
+        if weight and weight + value.score() >= THRESHOLD:
+            todo = [value]
+            while todo:
+                v = todo.pop()
+                if id(v) not in reached:
+                    reached.add(id(v))
+                    kept.append(v)  # its number stays its own
+                    todo += [p for p in v.parts if isinstance(p, Value)]
+                    found.update(p for p in v.parts if not isinstance(p, Value))
+        held[name.rsplit(".", 1)[-1]] = value
     return sorted(found)
 
 
