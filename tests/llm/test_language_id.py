@@ -26,3 +26,14 @@ def test_rejection_is_calibrated():
     m = L.fit([(k, b.astype(int), c.astype(float)) for (k, _), b, c in zip(texts, counted["bucket"], counted["count"])], cfg)
     p, _ = m.probabilities(["abab abba", "cdcd", "zz qq zz"])
     assert m.langs == ["xx", "yy"] and p[0].argmax() == 0 and p[1].argmax() == 1 and p[0].max() >= m.accept > p[2].max()
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, "the house and the garden are near the old river", "en") for i in range(3000)]
+    rows += [(5000 + i, "zażółć gęślą jaźń i źdźbło trawy", "pl") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    cfg = L.TrainConfig(sample_rows=60)
+    model = L.train(docs, cfg=cfg)
+    assert model.langs == ["en", "pl"]
+    got = {r.doc_id: r.lang_pred for r in L.predict(docs.where("doc_id % 1000 < 3"), model).collect()}
+    assert all(v == ("pl" if d >= 5000 else "en") for d, v in got.items()) and len(got) == 12

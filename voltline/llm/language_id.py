@@ -2,7 +2,8 @@
 
 Subwords are byte n-grams (n = 2..4) of the lower-cased letters, every other run of characters being one space.
 Training runs in numpy by stochastic gradient descent on hashed n-gram counts of a bounded sample of labelled
-rows (``TrainConfig.sample_rows``, taken by hash of the id over the whole table). A text's score needs only the
+rows (``TrainConfig.sample_rows``, taken by hash of the id over the whole table, and ``lang_rows`` of each language
+besides, so that rare ones are learned). A text's score needs only the
 product of embeddings and output weights (buckets x languages), which ships with the tasks: its size is fixed.
 """
 
@@ -15,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.common import crc_mod, map_texts, table
-from voltline.llm.sampling import bounded_sample
+from voltline.llm.sampling import bounded_sample_of_each
 
 
 @dataclass(frozen=True)
 class TrainConfig:
     sample_rows: int = 4000
+    lang_rows: int = 50  # of each language at least, or all it has
     buckets: int = 1 << 15
     dim: int = 16
     epochs: int = 4
@@ -92,6 +94,9 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], cfg: TrainConfig = Train
     out, bias = rng.normal(0, 0.1, (cfg.dim, len(langs))), np.zeros(len(langs))
     order = rng.permutation(len(rows))
     held, train = (order[: len(rows) // 5], order[len(rows) // 5 :]) if len(rows) >= 20 else (order, order)
+    alone = ~np.isin(y[held], y[train])  # a language that only held rows have is learned from them
+    held, train = held[~alone], np.concatenate([train, held[alone]])
+    held = held if len(held) else train.copy()
     total = cfg.epochs * max(1, len(train) // cfg.batch + 1)
     step = 0
     for _ in range(cfg.epochs):
@@ -145,10 +150,10 @@ def _counts(texts: list[str], buckets: int) -> dict[str, list]:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", cfg: TrainConfig = TrainConfig()) -> LanguageModel:
     """Model from the labelled rows of ``docs`` (null labels are left out)."""
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_key"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
-    sample = bounded_sample(rows, "_key", cfg.sample_rows)
+    sample, most = bounded_sample_of_each(rows, "_key", cfg.sample_rows, "_lang", cfg.lang_rows)
     buckets = cfg.buckets
     counted = map_texts(sample, "_lang", "_text", lambda t: _counts(t, buckets), {"bucket": "array<int>", "count": "array<long>"})
-    got = sorted(((r[0], np.array(r[1], np.int64), np.array(r[2], float)) for r in counted.limit(cfg.sample_rows).collect()), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    got = sorted(((r[0], np.array(r[1], np.int64), np.array(r[2], float)) for r in counted.limit(most).collect()), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
     return fit(got, cfg)
 
 

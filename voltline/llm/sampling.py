@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,3 +15,20 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     h = F.xxhash64(F.lit("sample"), F.col(key))
     last = df.select(h.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     return df.where(h <= F.lit(last)) if last is not None else df.limit(0)
+
+
+def bounded_sample_of_each(df: DataFrame, key: str, rows: int, group: str, least: int) -> tuple[DataFrame, int]:
+    """``bounded_sample`` with the ``least`` rows of smallest key hash of each group besides; and the most rows that is.
+
+    Only hashes are ranked; Spark keeps the first ``least`` of a group in each task before they move. Groups, a row
+    each, are broadcast."""
+    h = F.xxhash64(F.lit("sample"), F.col(key))
+    first = F.row_number().over(Window.partitionBy("_group").orderBy("h"))
+    ranked = df.select(F.col(group).alias("_group"), h.alias("h")).withColumn("rank", first).where(F.col("rank") <= least)
+    ends = ranked.groupBy("_group").agg(F.max("h").alias("_end")).collect()
+    if not ends:
+        return df.limit(0), 0
+    last = df.select(h.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    bounds = df.sparkSession.createDataFrame([(r[0], max(r[1], last)) for r in ends], f"_group {df.schema[group].dataType.simpleString()}, _end long")
+    chosen = df.join(F.broadcast(bounds), F.col(group) == F.col("_group")).where(h <= F.col("_end")).select(*df.columns)
+    return chosen, rows + least * len(ends)
