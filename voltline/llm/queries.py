@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from voltline.llm import url_filter
+from voltline.llm import divergence, fill_middle, url_filter
+from voltline.llm.divergence import op11_source_divergence
+from voltline.llm.fill_middle import op12_fill_in_middle
 from voltline.llm.fingerprints import op10_minhash_fingerprints
 from voltline.llm.language_id import op5_language_id
 from voltline.llm.lattice_pieces import op4_lattice_pieces
@@ -18,7 +20,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_personal_data, op2_quality_rules, op3_quality_classifier, op4_lattice_pieces, op5_language_id, op6_url_filter, op7_secret_scans,
-        op8_jaccard_join, op9_packing, op10_minhash_fingerprints,
+        op8_jaccard_join, op9_packing, op10_minhash_fingerprints, op11_source_divergence, op12_fill_in_middle,
     )
 }
-SQL = {"op6_url_filter": url_filter.oracle()}
+SQL = {"op6_url_filter": url_filter.oracle(), "op11_source_divergence": divergence.oracle(), "op12_fill_in_middle": fill_middle.oracle()}
