@@ -39,6 +39,8 @@ class AuditConfig:
 #: Bytes of a term: ASCII letters (A-Z lower-cased) and all bytes of characters beyond ASCII; others part terms.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SLICE = 1 << 20
+#: Rows of (language, tier) that go to every task; more are joined by a shuffle.
+BROADCAST_TIERS = 100_000
 
 
 def term_slices(data: bytes) -> Iterator[list[bytes]]:
@@ -134,6 +136,8 @@ def count_bitsets(kept: DataFrame, cfg: AuditConfig) -> DataFrame:
     the words; ``terms`` is the number of ids of the block."""
     rows = kept.where("length(term) > 0").withColumn("tier", F.length(F.bin("total")))
     per = rows.groupBy("lang", "tier").agg(F.ceil(F.count(F.lit(1)) / cfg.block_rows).alias("slots"))
+    per, n_tiers = materialize(per, "audit-tiers", with_count=True)  # at most 64 rows a language
+    per = F.broadcast(per) if n_tiers <= BROADCAST_TIERS else per
     rows = rows.join(per, ["lang", "tier"]).withColumn("slot", F.expr("pmod(xxhash64(term), slots)")).select("lang", "tier", "slot", "term", "source", "n", "total")
 
     def run(group: pa.Table) -> pa.Table:

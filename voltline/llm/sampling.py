@@ -32,3 +32,25 @@ def bounded_sample_of_each(df: DataFrame, key: str, rows: int, group: str, least
     bounds = df.sparkSession.createDataFrame([(r[0], max(r[1], last)) for r in ends], f"_group {df.schema[group].dataType.simpleString()}, _end long")
     chosen = df.join(F.broadcast(bounds), F.col(group) == F.col("_group")).where(h <= F.col("_end")).select(*df.columns)
     return chosen, rows + least * len(ends)
+
+
+def within_budget(sample: DataFrame, key: str, text: str, budget: int, group: str | None = None) -> DataFrame:
+    """Rows of a bounded ``sample`` in order of their key's hash until their texts hold ``budget`` characters together.
+
+    A row's own size doesn't choose it: rows are taken as they come, and the first always stays. With ``group`` each group
+    (a few labels) has an equal part of the budget. Only hashes and sizes, a row for each key, come to the driver.
+    """
+    h = F.xxhash64(F.lit("sample"), F.col(key))
+    g = F.col(group) if group else F.lit(0)
+    sizes = sample.groupBy(g.alias("g"), h.alias("h")).agg(F.sum(F.coalesce(F.char_length(text), F.lit(0))).alias("n")).orderBy("g", "h").collect()
+    groups = {r.g for r in sizes}
+    keep = F.lit(False)
+    for one in groups:
+        total, last = 0, None
+        for r in (r for r in sizes if r.g == one):
+            total += r.n
+            if last is not None and total > budget // len(groups):
+                break
+            last = r.h
+        keep = keep | (g.eqNullSafe(F.lit(one)) & (h <= F.lit(last)))
+    return sample.where(keep)
