@@ -111,3 +111,71 @@ def test_invalid_utf8_dropped(spark):
 
     df = spark.createDataFrame([(bytearray(b"9.\xff5"),)], "b binary")
     assert df.select(drop_invalid_utf8(F.col("b").cast("string"))).first()[0] == "9.5"
+
+
+def _scans(df):
+    """Locations of the file scans of a frame's plan."""
+    todo, found = [df._jdf.queryExecution().sparkPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node.simpleString(1 << 20))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def _many(n):
+    """Files of n headers: names in turning order, quoted values, one header that names a column twice."""
+    files = {}
+    for i in range(n):
+        names = ["a", f"b{i % 5}", "c"] if i % 2 else ["c", "A"]
+        values = [str(i), f'"x, {i}"', f"{i}.5"] if i % 2 else [f"{i}.5", str(i)]
+        if i == 3:
+            names[2] = "a"
+        files[f"{'PUBLIC_DVD_TRADINGPRICE_20260101%04d' % i if i % 3 else 'other%d' % i}.CSV"] = f"I,R,S,{i},{','.join(names)}\nD,R,S,{i},{','.join(values)}\nD,R,S,{i},,\n" if len(names) == 2 else f"I,R,S,{i},{','.join(names)}\nD,R,S,{i},{','.join(values)}\n"
+    return files
+
+
+def test_any_number_of_layouts_is_one_scan_of_a_table(spark, make_lines):
+    from voltline.functions.names import route_table
+
+    for n in (6, 50):
+        lines = make_lines(_many(n))
+        parsed = parse_report(lines)
+        staged = parsed.stage(lines.select("source_file", route_table("file_name").alias("table_name")).distinct())
+        assert staged.n_layouts == n and set(staged.columns) == {"tradingprice", "other_data"}
+        for name in staged.columns:
+            scans = _scans(staged.rows(name))
+            assert len(scans) == 2 and sum("PartitionFilters: [isnotnull(_table" in s for s in scans) == 1  # its own rows, and the registry
+        status = {r.file_name: r.status for r in parsed.file_status().collect()}
+        assert [k for k, v in status.items() if v != "ok"] == ["other3.CSV"] and status["other3.CSV"] == "bad_header"
+        got = sorted((r["_source_file"].split("/")[-1], r["_line_id"], r["A" if "A" in staged.columns[t] else "a"], r["c"]) for t in staged.columns for r in staged.rows(t).collect())
+        want = []
+        for name, text in _many(n).items():
+            i = int(text.split(",")[3])
+            if i != 3:
+                want.append((name, 1, str(i), f"{i}.5"))
+                if i % 2 == 0:
+                    want.append((name, 2, None, None))
+        assert got == sorted(want)
+        b = {r["_source_file"].split("/")[-1]: [r[c] for c in staged.columns["tradingprice"] if c.startswith("b") and r[c]] for r in staged.rows("tradingprice").collect()}
+        assert b["PUBLIC_DVD_TRADINGPRICE_202601010001.CSV"] == ["x, 1"] and b["PUBLIC_DVD_TRADINGPRICE_202601010004.CSV"] == []
+
+
+def test_staged_rows_equal_the_rows_of_one_layout(make_lines):
+    text = 'I,A,B,1,x,y,z\nD,A,B,1,"a,b","say ""hi""",\nD,A,B,1,plain, sp ,NA\nD,A,B,1,"",é,"q"\nD,A,B,1,1,"un"x,2\n'
+    lines = make_lines({"f.CSV": text})
+    parsed = parse_report(lines)
+    staged = parsed.stage(lines.selectExpr("source_file", "'T' AS table_name").distinct())
+    assert sorted(map(str, staged.rows("t").collect())) == sorted(map(str, parsed.strings(0).collect()))
+
+
+def test_more_layouts_than_ever_and_one_is_bad(make_lines):
+    n = 1001
+    files = {f"f{i}.CSV": f"I,A,B,{i},x,{'x' if i == 7 else 'y'}\nD,A,B,{i},{i},v\n" for i in range(n)}
+    lines = make_lines(files)
+    parsed = parse_report(lines)
+    status = {r.file_name: r.status for r in parsed.file_status().collect()}
+    assert len(status) == n and {k: v for k, v in status.items() if v != "ok"} == {"f7.CSV": "bad_header"}
+    staged = parsed.stage(lines.selectExpr("source_file", "'T' AS table_name").distinct())
+    assert staged.columns == {"t": ["x", "y"]} and staged.rows("t").selectExpr("count(*)", "sum(x)").first()[:] == (n - 1, sum(range(n)) - 7)

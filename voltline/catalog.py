@@ -78,9 +78,6 @@ DEFAULT_MONTHS = (1, 2, 3)
 LOADER_POLL_SECONDS = 30
 CURRENT_FEED_POLL_SECONDS = 300
 
-# Upper bound on distinct header layouts handled in one run (each becomes one parse branch).
-MAX_LAYOUTS = 1000
-
 # ---------------------------------------------------------------------------------------------
 
 

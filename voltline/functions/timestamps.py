@@ -20,3 +20,14 @@ def parse_market_timestamp(value: Column | str) -> Column:
     norm = F.regexp_replace(norm, r"^(\d{4})-(\d)-", "$1-0$2-")
     norm = F.regexp_replace(norm, r"^(\d{4}-\d{2})-(\d)(?!\d)", "$1-0$2")
     return F.when(c.rlike(_TS_SHAPE), norm.try_cast("timestamp_ntz"))
+
+
+def timestamp_layout(value: Column | str) -> Column:
+    """Which layout an accepted time is written in, as text (``9/9/9 9:9:9.6``: separators, parts, digits of the fraction).
+
+    NULL when the text is not of an accepted shape. Two texts of one layout are read by one format."""
+    c = F.col(value) if isinstance(value, str) else value
+    whole = F.trim(c)
+    parts = F.regexp_replace(F.substring_index(whole, ".", 1), r"\d+", "9")
+    fraction = F.regexp_extract(whole, r"\.(\d+)$", 1)
+    return F.when(c.rlike(_TS_SHAPE), F.when(fraction != "", F.concat(parts, F.lit("."), F.length(fraction).cast("string"))).otherwise(parts))

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from voltline import catalog
 from voltline.functions.text import quoted
-from voltline.functions.timestamps import parse_market_timestamp
+from voltline.functions.timestamps import parse_market_timestamp, timestamp_layout
 
 # Shapes of integer and decimal text. The pattern is checked before the cast: a failed cast costs an
 # exception inside the JVM, and the pattern also refuses Java-only forms the cast would take (1d, 0x1p3).
@@ -68,23 +68,65 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
     if not aggs:
         return {}
     row = df.agg(*aggs).collect()[0]
-    out: dict[str, T.DataType] = {}
-    for i, name in enumerate(columns):
-        mask = row[f"m{i}"] or 0
-        if not row[f"n{i}"]:
-            t: T.DataType = T.TimestampNTZType() if is_datetime_name(name) else T.DoubleType()
-        elif mask & _INT_BIT:
-            t = T.LongType()
-        elif mask & _NUM_BIT:
-            t = T.DoubleType()
-        elif mask & _BOOL_BIT:
-            t = T.BooleanType()
-        elif is_datetime_name(name):
-            t = T.TimestampNTZType()
-        else:
-            t = T.StringType()
-        out[name] = t
-    return out
+    return {name: _type_of(name, row[f"n{i}"], row[f"m{i}"]) for i, name in enumerate(columns)}
+
+
+def _type_of(name: str, values: int, mask: int | None) -> T.DataType:
+    mask = mask or 0
+    if not values:
+        return T.TimestampNTZType() if is_datetime_name(name) else T.DoubleType()
+    if mask & _INT_BIT:
+        return T.LongType()
+    if mask & _NUM_BIT:
+        return T.DoubleType()
+    if mask & _BOOL_BIT:
+        return T.BooleanType()
+    return T.TimestampNTZType() if is_datetime_name(name) else T.StringType()
+
+
+_TYPES: dict[str, T.DataType] = {t.simpleString(): t for t in (T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType(), T.StringType())}
+
+
+def infer_types_by_file(df: DataFrame, columns: Sequence[str], file_column: str = "_source_file") -> DataFrame:
+    """P8 as each file alone would have it: (source_file, position, column_name, values, inferred_type), one aggregate by file.
+
+    Two small buffers per column and file are combined in each task before they move; a file of very many rows is read by
+    many tasks. The type of a column without values in a file is that of ``infer_types``.
+    """
+    per = df.groupBy(quoted(file_column).alias("source_file")).agg(
+        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)], *[F.bit_and(value_class(quoted(c))).alias(f"m{i}") for i, c in enumerate(columns)])
+
+    def named(i: int, name: str):
+        n, m = F.col(f"n{i}"), F.col(f"m{i}")
+        text = "timestamp_ntz" if is_datetime_name(name) else "string"
+        found = (F.when(n == 0, "timestamp_ntz" if is_datetime_name(name) else "double").when(m.bitwiseAND(_INT_BIT) != 0, "bigint")
+                 .when(m.bitwiseAND(_NUM_BIT) != 0, "double").when(m.bitwiseAND(_BOOL_BIT) != 0, "boolean").otherwise(text))
+        return F.struct(F.lit(i + 1).alias("position"), F.lit(name).alias("column_name"), n.alias("values"), found.alias("inferred_type"))
+
+    return per.select("source_file", F.inline(F.array(*[named(i, c) for i, c in enumerate(columns)])))
+
+
+def types_of_first_file(by_file: DataFrame) -> dict[str, T.DataType]:
+    """Type of each column in the first file, in path order, that has a value there (any file's without one): a row per column."""
+    first = F.min_by("inferred_type", F.struct(F.col("values") == 0, "source_file"))
+    rows = by_file.groupBy("column_name").agg(first.alias("t")).collect()
+    return {r["column_name"]: _TYPES[r["t"]] for r in rows}
+
+
+def coerce_first_format(df: DataFrame, columns: Sequence[str], order: Sequence[str], file_column: str = "_source_file") -> DataFrame:
+    """P9 by the rule of one format: in each file the first value of a column that is there decides its layout; others are NULL.
+
+    ``order`` orders a file's rows. The first values come from one aggregate by file, combined in each task, and return
+    by a join on the file; all rows and other columns stay, the listed columns become TIMESTAMP_NTZ.
+    """
+    at = F.struct(*[quoted(c) for c in order])
+    firsts = df.groupBy(quoted(file_column).alias("_f")).agg(
+        *[F.min_by(quoted(c), F.when(quoted(c).isNotNull(), at)).alias(f"_first{i}") for i, c in enumerate(columns)])
+    formats = firsts.select("_f", *[timestamp_layout(f"_first{i}").alias(f"_layout{i}") for i in range(len(columns))])
+    joined = df.join(formats, quoted(file_column).eqNullSafe(F.col("_f")), "left")
+    place = {c: i for i, c in enumerate(columns)}
+    kept = lambda c: F.when(timestamp_layout(quoted(c)) == F.col(f"_layout{place[c]}"), parse_market_timestamp(quoted(c)))
+    return joined.select(*[kept(c).alias(c) if c in place else quoted(c) for c in df.columns])
 
 
 def cast_string_column(name: str, target: T.DataType, strict: bool = False):

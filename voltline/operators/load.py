@@ -28,6 +28,8 @@ from voltline.catalog import TableModel
 from voltline.functions.text import quoted
 from voltline.operators.align import align_schema, cast_to_target
 from voltline.operators.dedupe import anti_join_new, dedupe_first
+from voltline.operators.store import PERIOD, append, bound_target, create_table, in_periods_of, log_schema, period_column, read_table, table_schema
+from voltline.operators.sinks import BATCH, PART, checksum_of, content_id, read_written, write_once
 from voltline.session import materialize, path_exists
 
 LINEAGE = ("_source_file", "_block_start", "_line_id")
@@ -59,50 +61,18 @@ REJECTS = "_rejects"
 REJECT_SCHEMA = "table_name string, source_file string, block_start bigint, line_id bigint, reason string, row string"
 
 
-def write_rejects(warehouse: str, rows: DataFrame) -> int:
-    """Append rows to the warehouse's rejects; columns of ``REJECT_SCHEMA`` that ``rows`` lacks are NULL. Returns their number."""
+def write_rejects(warehouse: str, rows: DataFrame, part: str, batch_id: str) -> int:
+    """Put rows among the warehouse's rejects, in place of what ``(part, batch_id)`` had there; returns their number.
+
+    Columns of ``REJECT_SCHEMA`` that ``rows`` lacks are NULL."""
     fields = [c.split() for c in REJECT_SCHEMA.split(", ")]
-    n = Observation("rejects")
     out = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in fields])
-    out.observe(n, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(f"{warehouse.rstrip('/')}/{REJECTS}")
-    return n.get["n"]
+    return write_once(out, f"{warehouse.rstrip('/')}/{REJECTS}", part, batch_id)
 
 
 def read_rejects(spark: SparkSession, warehouse: str) -> DataFrame:
     path = f"{warehouse.rstrip('/')}/{REJECTS}"
-    return spark.read.schema(REJECT_SCHEMA).parquet(path) if path_exists(path, spark) else spark.createDataFrame([], REJECT_SCHEMA)
-
-
-def table_schema(spark: SparkSession, path: str, merge: bool = False) -> T.StructType | None:
-    """Schema of a path table, None when it does not exist; ``merge`` unites the schemas of all its files."""
-    if not path_exists(path, spark):
-        return None
-    return spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
-
-
-_RANGE_TYPES = (T.TimestampNTZType, T.TimestampType, T.DateType, T.LongType, T.IntegerType, T.DoubleType, T.StringType)
-
-
-def bound_target(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Restrict the target to the batch's [min, max] of one key column.
-
-    The bounds come from one aggregate over the (materialized) batch; the filter reaches the target's
-    Parquet scan, so row groups outside the range are skipped. A NULL key never matches, so dropping
-    target rows with a NULL in that column does not change the anti-join.
-    """
-    if column not in target.columns or not isinstance(batch.schema[column].dataType, _RANGE_TYPES):
-        return target
-    dtype = batch.schema[column].dataType
-    # bounds travel as text and are cast back to the column's type: exact and time-zone free
-    lo, hi = batch.agg(F.min(column).cast("string"), F.max(column).cast("string")).first()
-    if lo is None:
-        return target.limit(0)
-    return target.filter(F.col(column).between(F.lit(lo).cast(dtype), F.lit(hi).cast(dtype)))
-
-
-def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """K1: an empty table with the given schema; fails if it exists."""
-    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    return read_written(spark, path, REJECT_SCHEMA).drop(PART, BATCH) if path_exists(path, spark) else spark.createDataFrame([], REJECT_SCHEMA)
 
 
 def load_batch(
@@ -113,28 +83,34 @@ def load_batch(
     extra: str = "drop",
     strict: bool = False,
     warehouse: str | None = None,
+    batch_id: str | None = None,
 ) -> LoadReport:
     """Merge ``batch`` (typed, with lineage columns) into the Parquet table at ``table_path``.
 
+    Loading a batch again changes nothing: its rows are found in the table, and its rejects replace those of the
+    attempt before, told by ``batch_id`` (a hash of the batch's rows when not given).
+
     Rejects go to ``warehouse`` (the table's folder when not given); with ``strict`` an unconvertible value or a
-    NULL key fails the job instead. ``extra='add'`` keeps columns that the table does not know: new files of the
-    table hold them, and readers see them with ``mergeSchema``.
+    NULL key fails the job instead. ``extra='add'`` keeps columns that the table does not know: they are added to its
+    schema log, and older rows read as NULL there.
     """
     report = LoadReport(model.name)
     lineage_in = [c for c in LINEAGE if c in batch.columns]
     data_cols = [c for c in batch.columns if c not in LINEAGE]
-    target = table_schema(spark, table_path, merge=extra == "add")
+    target = table_schema(spark, table_path)
     if target is None:
         # K1: a schema declared in the catalogue wins (V8), else the batch's (inferred) schema
         declared = model.schema.fields if model.schema is not None else None
-        schema = T.StructType(
-            (list(declared) if declared is not None else [f for f in batch.schema.fields if f.name in data_cols])
-            + [T.StructField(c, T.StringType(), True) for c in STORED_LINEAGE]
-        )
+        fields = list(declared) if declared is not None else [f for f in batch.schema.fields if f.name in data_cols]
+        schema = T.StructType(fields + [T.StructField(c, T.StringType(), True) for c in STORED_LINEAGE])
+        if period_column(model, schema):
+            schema = schema.add(PERIOD, T.IntegerType())
         create_table(spark, table_path, schema)
         target = schema
         report.created = True
-    target_data = T.StructType([f for f in target.fields if f.name not in LINEAGE])
+    # a table is split by the month of a key time, or not at all
+    period = period_column(model, target) if PERIOD in target.fieldNames() else None
+    target_data = T.StructType([f for f in target.fields if f.name not in (*LINEAGE, PERIOD)])
 
     aligned = align_schema(batch, target_data, extra=extra, keep=lineage_in)
     report.added_columns, report.dropped_columns = aligned.added, aligned.dropped
@@ -151,7 +127,10 @@ def load_batch(
     lost = bad.withColumn("_reject_row", as_text).select(
         *[F.lit(None).cast(good.schema[c].dataType).alias(c) if c not in LINEAGE else F.col(c) for c in columns], "_reject_reason", "_reject_row"
     )
-    staged, report.rows_in = materialize(marked.unionByName(lost), "batch", with_count=True)
+    both = marked.unionByName(lost)
+    told = Observation("batch-content")
+    staged, report.rows_in = materialize(both.observe(told, checksum_of([quoted(c) for c in both.columns]).alias("sum")), "batch", with_count=True)
+    batch_id = batch_id or content_id(report.rows_in, told.get["sum"])
     wrong = staged.filter(F.col("_reject_reason").isNotNull())
     if strict and report.key_checked and not wrong.isEmpty():
         raise ValueError(f"{model.name}: rows with a NULL in a key column")
@@ -159,28 +138,34 @@ def load_batch(
     report.rejected = write_rejects(
         warehouse or table_path.rstrip("/").rsplit("/", 1)[0],
         wrong.select(F.lit(model.name).alias("table_name"), *[F.col(c).alias(named[c]) for c in order], F.col("_reject_reason").alias("reason"), F.col("_reject_row").alias("row")),
+        model.name, batch_id,
     )
     rows = staged.filter(F.col("_reject_reason").isNull()).select(*[quoted(c) for c in columns])
-    existing = spark.read.parquet(table_path)
+    existing = read_table(spark, table_path)
     if report.key_checked:
-        deduped, n_dedup = materialize(dedupe_first(rows, key, order) if order else rows.dropDuplicates(key), "dedupe", with_count=True)
+        # without lineage the least row of a key is its first
+        deduped, n_dedup = materialize(dedupe_first(rows, key, order or [c for c in rows.columns if c not in key]), "dedupe", with_count=True)
         report.dup_in_batch = report.rows_in - report.rejected - n_dedup
-        new = anti_join_new(deduped, bound_target(existing, deduped, key[0]), key, known_keys=n_dedup)
+        known = in_periods_of(existing, deduped, period) if period else existing
+        new = anti_join_new(deduped, bound_target(known, deduped, key[0]), key, known_keys=n_dedup)
     else:
         # No key (or key columns missing): replay guard on the lineage column only
         n_dedup = report.rows_in - report.rejected
         new = rows
         if "_source_file" in rows.columns and "_source_file" in existing.columns:
-            new = rows.join(existing.select("_source_file").distinct(), "_source_file", "left_anti")
-    stored = [f.name for f in target.fields]
+            # the batch's few file names bound and filter the target's; only names that both have come to the anti-join
+            files = rows.select("_source_file").distinct()
+            seen = bound_target(existing.select("_source_file"), files, "_source_file").join(files, "_source_file", "left_semi").distinct()
+            new = rows.join(seen, "_source_file", "left_anti")
+    stored = [f.name for f in target.fields if f.name != PERIOD]
     beyond = [c for c in columns if c not in stored and c not in LINEAGE] if extra == "add" else []
     new = new.select(*[quoted(c) if c in new.columns else F.lit(None).cast(target[c].dataType).alias(c) for c in stored], *[quoted(c) for c in beyond])
-    # the new rows are written once and appended from there: their counts by file come without the join run
-    # again. Rows are sorted by the first key column inside each task (no shuffle), for tight row-group statistics.
-    if key and key[0] in new.columns:
-        new = new.sortWithinPartitions(quoted(key[0]))
+    # the new rows are written once and appended from there: their counts by file come without the join run again
     new, report.rows_loaded = materialize(new, "new-rows", with_count=True)
-    new.write.mode("append").parquet(table_path)
+    if beyond:  # the log goes first: a column that no file has yet is NULL
+        log_schema(spark, table_path, T.StructType([*target.fields, *[T.StructField(c, new.schema[c].dataType) for c in beyond]]))
+    if report.rows_loaded:
+        append(new, table_path, report.rows_loaded, key[0] if key and key[0] in new.columns else None, period)
     if "_source_file" in new.columns:
         report.loaded_by_file = new.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("rows_loaded"))
     report.already_present = n_dedup - report.rows_loaded

@@ -3,25 +3,31 @@
 Passes over the lines (each one a distributed scan; nothing per file is collected):
 
 1. header lines with their position; the next header of a file bounds each section (a window over
-   header lines only); written once, it is small;
+   header lines only); written once, it is small; its distinct headers, analysed by tasks, are the
+   layout registry;
 2. every D line left-joined to its section -> per-section width statistics and per-file line
    counts -> file status;
-3. D lines joined to the sections that passed -> ``from_csv`` with the layout's width -> named columns.
+3. ``stage``: D lines of the files that passed are split once into an array of fields and written by
+   target table; ``StagedReport.rows`` reads one table's rows of all its layouts in one scan, each value
+   picked by the position that the registry gives its column. (``strings`` reads a single layout instead.)
 
-The only thing brought to the driver is the set of distinct header texts (layouts), capped at
-``catalog.MAX_LAYOUTS``; each layout becomes one ``from_csv`` branch with a constant schema.
+The registry is a DataFrame keyed by the header's hash, however many layouts there are; a header that can't be
+used fails the files that have it. What comes to the driver are the names of the tables and of their columns.
 """
 
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltline import catalog
-from voltline.session import materialize
+from voltline.session import materialize, scratch_dir, ship_package
 from voltline.functions.text import drop_invalid_utf8, field_count, null_if_token, strip_right
 
 # section tables with at most this many rows are broadcast to the line scans
@@ -37,7 +43,7 @@ _STATUS_RANK = {STATUS_EMPTY: 1, STATUS_BAD_HEADER: 2, STATUS_WIDTH: 3, STATUS_T
 
 @dataclass(frozen=True)
 class Layout:
-    """One distinct header line and what it means for the data lines under it."""
+    """One distinct header line and what it means for the data lines under it; ``layout_id`` is the header's hash."""
 
     layout_id: int
     header: str
@@ -52,7 +58,7 @@ class Layout:
 
 
 def analyse_header(layout_id: int, header: str) -> Layout:
-    """P5 + P10 on one header line (runs on the bounded set of distinct headers only).
+    """P5 + P10 on one header line (runs on distinct headers only).
 
     Fields are split with CSV quoting, NULL markers read as missing. After the leading ``I`` the first
     field whose trimmed text is all digits ends the prefix; the payload names follow it. A missing
@@ -80,6 +86,24 @@ def analyse_header(layout_id: int, header: str) -> Layout:
     return Layout(layout_id, header, width, start_col, tuple(names), None)
 
 
+REGISTRY_SCHEMA = "layout_id bigint, header string, width int, start_col int, names array<string>, problem string"
+
+
+def layout_registry(headers: DataFrame) -> DataFrame:
+    """P5 + P10 for a frame of distinct header lines (``header``): one row each, keyed by the header's 64-bit hash."""
+    ship_package(headers.sparkSession)
+    types = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string()]
+    names = [c.split()[0] for c in REGISTRY_SCHEMA.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [analyse_header(i, h) for i, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            rows = [(x.layout_id, x.header, x.width, x.start_col, list(x.names), x.problem) for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+
+    return headers.select(F.xxhash64("header").alias("layout_id"), "header").mapInArrow(run, REGISTRY_SCHEMA)
+
+
 def tag_lines(lines: DataFrame) -> DataFrame:
     """P1 + P2: decode, tag 'I'/'D' by exact prefix (no trim, case-sensitive), strip the right end."""
     decoded = lines.select("source_file", "file_name", "block_start", "line_id", drop_invalid_utf8("value").alias("value"))
@@ -95,15 +119,22 @@ def _pos(block: str, line: str) -> Column:
 class ParsedReport:
     """Result of ``parse_report``: sections with status and layout, plus per-layout row frames."""
 
-    def __init__(self, tagged: DataFrame, files: DataFrame, sections: DataFrame, layouts: list[Layout], sections_mode: str,
-                 n_sections: int):
+    def __init__(self, tagged: DataFrame, files: DataFrame, sections: DataFrame, registry: DataFrame, sections_mode: str,
+                 n_sections: int, n_layouts: int):
         self.n_sections = n_sections  # rows of the section table: decides broadcast vs shuffle join
+        self.n_layouts = n_layouts
         self.tagged = tagged
         self.files = files
         self.sections = sections
-        self.layouts = layouts
+        self.registry = registry
         self.sections_mode = sections_mode
 
+    @cached_property
+    def layouts(self) -> list[Layout]:
+        """The registry as a list in header order, for callers that know their layouts to be few (``stage`` needs none of it)."""
+        rows = self.registry.orderBy("header").collect()
+        return [Layout(r["layout_id"], r["header"], r["width"], r["start_col"], tuple(r["names"]), r["problem"]) for r in rows]
+
     # -- joins of D lines to sections --------------------------------------------------------
     def _data_with_sections(self, sections: DataFrame, how: str = "inner") -> DataFrame:
         data = self.tagged.filter(F.col("tag") == "D").select(
@@ -155,6 +186,83 @@ class ParsedReport:
         return parsed.select(*keep, *named)
 
 
+    def stage(self, routes: DataFrame) -> StagedReport:
+        """Split every D line once and write the rows by target table.
+
+        ``routes`` gives each ``source_file`` its ``table_name``. Kept are the rows of files whose status is ok, and
+        the lines without a header (whole, under ``ORPHANS``); files without a route give none. A task writes to the
+        few tables of its files, so nothing is shuffled.
+        """
+        spark = self.tagged.sparkSession
+        widest = self.registry.agg(F.coalesce(F.max("width"), F.lit(1))).first()[0]
+        rows = self._data_with_sections(self.sections.select("source_file", "h_pos", "n_pos", "layout_id", "file_ok"), how="left")
+        named = routes.select(F.col("source_file").alias("r_file"), F.lower("table_name").alias("route"))
+        named = F.broadcast(named) if self.n_sections <= BROADCAST_SECTIONS_MAX else named
+        rows = rows.join(named, F.col("source_file") == F.col("r_file"), "left")
+        orphan = F.col("h_pos").isNull()
+        kept = rows.filter(orphan | (F.col("file_ok") & F.col("route").isNotNull()))
+        # the split is a generator output, so that no filter or projection behind it runs it again
+        split = kept.select(
+            "source_file", "block_start", "line_id", "layout_id", "route", F.when(orphan, F.col("value")).alias("line"),
+            F.when(orphan, F.lit(ORPHANS)).otherwise(F.col("route")).alias("_table"),
+            F.explode(F.array(F.when(~orphan, split_fields("value", widest)))).alias("fields"),
+        )
+        path = scratch_dir(spark, "report-rows")
+        split.write.partitionBy("_table").parquet(path)
+        schema = "source_file string, block_start bigint, line_id bigint, layout_id bigint, route string, line string, fields array<string>, _table string"
+        staged = spark.read.schema(schema).parquet(path)
+        # every table's columns: in the order of the headers, then of the fields; names that differ in case only are one
+        used = self.sections.filter("file_ok").join(routes.select("source_file", F.lower("table_name").alias("route")), "source_file").select("route", "layout_id").distinct()
+        fields = used.join(self.registry, "layout_id").select("route", "header", F.posexplode("names").alias("at", "name"))
+        firsts = fields.groupBy("route", F.upper("name").alias("key")).agg(F.min(F.struct("header", "at", "name")).alias("first"))
+        columns: dict[str, list[str]] = {}
+        for r in firsts.orderBy("route", "first.header", "first.at").collect():
+            columns.setdefault(r["route"], []).append(r["first"]["name"])
+        return StagedReport(staged, self.registry, self.n_layouts, columns)
+
+
+#: Partition of the staged rows that holds lines without a header.
+ORPHANS = "_orphans"
+#: Registry copies sent to every task stay below this many bytes (four for each column of each layout).
+BROADCAST_POSITIONS_BYTES = 64 << 20
+
+
+def split_fields(value: str, widest: int) -> Column:
+    """The fields of a line as an array. Lines with a quote go through the CSV reader, ``widest`` fields at most."""
+    schema = ", ".join(f"c{i} string" for i in range(widest))
+    quoted_line = F.transform(F.array(F.from_csv(value, schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})),
+                              lambda s: F.array(*[s[f"c{i}"] for i in range(widest)]))
+    return F.when(F.col(value).contains('"'), F.get(quoted_line, F.lit(0))).otherwise(F.split(F.col(value), ","))
+
+
+@dataclass
+class StagedReport:
+    """Rows of a parsed report split into fields and lying by table; ``columns``: names of each table's columns in order."""
+
+    staged: DataFrame
+    registry: DataFrame
+    n_layouts: int
+    columns: dict[str, list[str]]
+
+    def rows(self, table: str) -> DataFrame:
+        """All-string rows of one table, all layouts in one scan of its partition; columns a layout lacks are NULL."""
+        names = self.columns[table]
+        known = F.transform("names", lambda n: F.upper(n))
+        at = F.array(*[F.array_position(known, F.lit(n.upper())) for n in names])
+        picks = self.registry.filter(F.col("problem").isNull()).select(
+            "layout_id", F.transform(at, lambda p: F.when(p > 0, (F.col("start_col") + p - 1).cast("int"))).alias("picks"))
+        if 4 * self.n_layouts * len(names) <= BROADCAST_POSITIONS_BYTES:
+            picks = F.broadcast(picks)
+        rows = self.staged.filter(F.col("_table") == table).join(picks, "layout_id")
+        values = [null_if_token(F.get("fields", F.get("picks", F.lit(j)))).alias(n) for j, n in enumerate(names)]
+        return rows.select(F.col("source_file").alias("_source_file"), F.col("block_start").alias("_block_start"), F.col("line_id").alias("_line_id"), *values)
+
+    def orphan_lines(self) -> DataFrame:
+        """Data lines that belong to no header (before the first of their file, or in a file without one)."""
+        rows = self.staged.filter(F.col("_table") == ORPHANS)
+        return rows.select("source_file", "block_start", "line_id", F.upper("route").alias("table_name"), F.lit("no header before the line").alias("reason"), F.col("line").alias("row"))
+
+
 def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     """Parse a lines frame.
 
@@ -184,17 +292,11 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         )
     sec, n_sections = materialize(sec, "report-heads", with_count=True)
 
-    # layouts: the only driver-side collection, bounded
-    distinct_headers = [r["header"] for r in sec.select("header").distinct().orderBy("header").limit(catalog.MAX_LAYOUTS + 1).collect()]
-    if len(distinct_headers) > catalog.MAX_LAYOUTS:
-        raise ValueError(f"more than {catalog.MAX_LAYOUTS} distinct header layouts in one batch")
-    layouts = [analyse_header(i, h) for i, h in enumerate(distinct_headers)]
-    spark = lines.sparkSession
-    layout_df = spark.createDataFrame(
-        [(l.layout_id, l.header, l.width, l.ok) for l in layouts], "layout_id int, header string, width int, layout_ok boolean"
-    )
-    sec = sec.join(F.broadcast(layout_df), "header", "inner")
-    parsed = ParsedReport(tagged, None, sec, layouts, sections, n_sections)
+    # layouts: one row per distinct header, analysed where they lie
+    registry, n_layouts = materialize(layout_registry(sec.select("header").distinct()), "report-layouts", with_count=True)
+    keyed = registry.select("layout_id", "header", "width", F.col("problem").isNull().alias("layout_ok"))
+    sec = sec.join(F.broadcast(keyed) if n_layouts <= BROADCAST_SECTIONS_MAX else keyed, "header", "inner")
+    parsed = ParsedReport(tagged, None, sec, registry, sections, n_sections, n_layouts)
 
     # pass 2: every D line, attached to its section when it has one -> width statistics per section,
     # data-line counts per file (lines before any header count as data but belong to no section)

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline import catalog
-from voltline.functions.names import in_period, period_strict
+from voltline.functions.names import in_period, period_first8, period_strict
 from voltline.operators.ledger import ledger_months
+from voltline.sources.archives import expand_archives, read_archives
 from voltline.sources.links import extract_links
 
 SOURCES = ("mmsdm", "archive", "current")
@@ -256,11 +257,17 @@ def plan_downloads(
     return links.join(local, "local_name", "left_anti")
 
 
+def extract_window(start_year: int, end_year: int, months: Sequence[int]) -> Column:
+    """Whether an archive's ``file_name`` is inside the period window (first-8 rule, 0 = unknown)."""
+    p = period_first8(F.col("file_name"))
+    return in_period(p["year"], p["month"], start_year, end_year, months, zero_is_unknown=True)
+
+
 def extract_plan(archives: DataFrame, start_year: int, end_year: int, months: Sequence[int]) -> DataFrame:
-    """Archives whose name is inside the period window (first-8 rule, 0 = unknown) are expanded."""
-    from voltline.functions.names import period_first8
-    from voltline.sources.archives import expand_archives
+    """G6 over a frame of archives: those inside the window are expanded. ``extract_folder`` prunes before content is read."""
+    return expand_archives(archives.filter(extract_window(start_year, end_year, months)))
 
-    p = period_first8(F.col("file_name"))
-    keep = in_period(p["year"], p["month"], start_year, end_year, months, zero_is_unknown=True)
-    return expand_archives(archives.filter(keep))
+
+def extract_folder(spark: SparkSession, folder: str, start_year: int, end_year: int, months: Sequence[int]) -> DataFrame:
+    """Members of the archives under ``folder`` inside the window; the others are pruned when the folder is listed."""
+    return expand_archives(read_archives(spark, folder, file_filter=extract_window(start_year, end_year, months)))

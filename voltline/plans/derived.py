@@ -512,8 +512,8 @@ def q_load_first_file(spark, sf_dir):
                                  "column_name string, position int, data_type string")
 
 
-def _damaged_load(spark, sf_dir):
-    """Even events loaded first; then all as text, some with a value that is no number, no time or no key."""
+def _damaged_load(spark, sf_dir, times: int = 1):
+    """Even events loaded first; then all as text, some with a value that is no number, no time or no key (``times`` over)."""
     from voltline.catalog import TableModel
     from voltline.operators.load import load_batch
 
@@ -526,7 +526,9 @@ def _damaged_load(spark, sf_dir):
         F.when(F.col("event_id") % 3 == 0, "junk").otherwise(F.col("event_time").cast("string")).alias("event_time"),
         F.when(F.col("event_id") % 5 == 0, "abc").otherwise(F.col("value").cast("string")).alias("value"), "_source_file",
     )
-    return warehouse, load_batch(spark, text, f"{warehouse}/EVENTS", model)
+    for _ in range(times):
+        report = load_batch(spark, text, f"{warehouse}/EVENTS", model)
+    return warehouse, report
 
 
 def q_load_rejects(spark, sf_dir):

@@ -4,12 +4,12 @@
     -> parse (P1-P10) -> per table: infer or take the target's types -> load_batch (D2) -> ledger mark (K3)
 
 Every step is a DataFrame plan; the driver only holds the candidate path list (as Spark's own file
-index does), the distinct header layouts and the (table, layout) pairs, all bounded and small.
+index does) and the names of the tables and their columns. The lines are split once, whatever the
+number of layouts; a table's rows are read from its own partition of the staged split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from voltline import catalog
 from voltline.functions.names import in_period, period_first8, period_strict, route_table
-from voltline.operators.infer import apply_types, infer_types
+from voltline.operators.infer import apply_types, coerce_first_format, infer_types, infer_types_by_file, is_datetime_name, types_of_first_file
 from voltline.operators.ledger import ledger_mark, ledger_skip, read_ledger
-from voltline.operators.load import REPORT_SCHEMA, LoadReport, load_batch, table_schema, write_rejects
-from voltline.operators.report import STATUS_EMPTY, STATUS_OK, ParsedReport, parse_report
+from voltline.operators.load import LINEAGE, REPORT_SCHEMA, LoadReport, load_batch, write_rejects
+from voltline.operators.report import STATUS_EMPTY, STATUS_OK, parse_report
+from voltline.operators.sinks import checksum_of, content_id
+from voltline.operators.store import table_schema
 from voltline.session import materialize
 from voltline.sources.lines import list_files, read_report_lines
 
@@ -42,6 +44,8 @@ class LoadOptions:
     sections: str = "nearest"      # V6
     extra: str = "drop"            # V5
     strict: bool = False
+    inference: str = "batch"       # types of a new table; 'first_file' takes each column's from the first file that fills it
+    time_formats: str = "any"      # V7; 'first' reads a DATE/TIME column of a file by its first value's layout alone
 
 
 def annotate_files(files: DataFrame, opts: LoadOptions) -> DataFrame:
@@ -63,29 +67,12 @@ def plan_candidates(files: DataFrame, ledger: DataFrame, opts: LoadOptions) -> D
     return ledger_skip(annotate_files(files, opts).filter("in_window"), ledger, grain=opts.grain)
 
 
-def tables_from_parsed(parsed: ParsedReport, routes: DataFrame) -> dict[str, list[DataFrame]]:
-    """String row frames per target table: one per (table, layout) pair that has rows."""
-    pairs = (
-        parsed.sections.filter(F.col("layout_ok"))
-        .join(routes.select("source_file", "table_name"), "source_file")
-        .select("table_name", "layout_id")
-        .distinct()
-        .collect()
-    )
-    out: dict[str, list[DataFrame]] = {}
-    for row in sorted(pairs, key=lambda r: (r["table_name"], r["layout_id"])):
-        files = routes.filter(F.col("table_name") == row["table_name"]).select("source_file")
-        frame = parsed.strings(row["layout_id"]).join(files.withColumnRenamed("source_file", "_source_file"), "_source_file", "left_semi")
-        out.setdefault(row["table_name"], []).append(frame)
-    return out
-
-
-def union_layouts(frames: Iterable[DataFrame]) -> DataFrame:
-    frames = list(frames)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def one_format(rows: DataFrame, names: list[str]) -> DataFrame:
+    """P9 with one layout per file and column, for the DATE/TIME columns that hold no numbers in a file."""
+    times = [c for c in names if is_datetime_name(c)]
+    numbers = infer_types(rows, times)
+    times = [c for c in times if numbers[c].simpleString() == "timestamp_ntz"]
+    return coerce_first_format(rows, times, LINEAGE) if times else rows
 
 
 def load_lines(
@@ -96,11 +83,13 @@ def load_lines(
     ledger_path: str | None = None,
     opts: LoadOptions | None = None,
     declared: dict | None = None,
+    batch: str | None = None,
 ) -> tuple[DataFrame, list[LoadReport]]:
     """Parse a lines frame and merge it into ``warehouse/<TABLE>``; returns (file status frame, reports).
 
     ``routes`` maps each source_file to table_name / year / month (see ``annotate_files``).
     ``declared`` maps upper-case table names to a StructType used instead of inference (V8).
+    ``batch`` names the load, so that a replay replaces its rejects; by default the names, sizes and times of its files do.
     """
     opts = opts or LoadOptions()
     parsed = parse_report(lines, sections=opts.sections)
@@ -112,17 +101,25 @@ def load_lines(
         .fillna(0, ["header_lines", "data_lines", "rows"]).drop("_name"),
         "file-status",
     )
-    write_rejects(warehouse, parsed.orphan_lines().join(routes.select("source_file", F.upper("table_name").alias("table_name")), "source_file", "left"))
+    if batch is None:
+        told = [c for c in ("source_file", "size", "modified") if c in routes.columns]
+        batch = content_id(*routes.agg(F.count(F.lit(1)), checksum_of([F.col(c) for c in told])).first())
+    staged = parsed.stage(routes)
+    write_rejects(warehouse, staged.orphan_lines(), "lines without a header", batch)
     reports: list[LoadReport] = []
     declared = declared or {}
-    for table, frames in tables_from_parsed(parsed, routes).items():
+    for table in sorted(staged.columns):
         model = catalog.table_model(table, declared.get(table.upper()))
         path = f"{warehouse.rstrip('/')}/{model.name}"
-        batch = union_layouts(frames)
+        rows = staged.rows(table)
+        names = staged.columns[table]
+        if opts.time_formats == "first":
+            rows = one_format(rows, names)
         if table_schema(spark, path) is None and model.schema is None:
-            data_cols = [c for c in batch.columns if not c.startswith("_")]
-            batch = apply_types(batch, infer_types(batch, data_cols))
-        reports.append(load_batch(spark, batch, path, model, extra=opts.extra, strict=opts.strict, warehouse=warehouse))
+            texts = [c for c in names if rows.schema[c].dataType.simpleString() == "string"]
+            types = infer_types(rows, texts) if opts.inference == "batch" else types_of_first_file(infer_types_by_file(rows, texts))
+            rows = apply_types(rows, types)
+        reports.append(load_batch(spark, rows, path, model, extra=opts.extra, strict=opts.strict, warehouse=warehouse, batch_id=batch))
     if ledger_path:
         loaded = status.filter(F.col("status") == STATUS_OK).select("table_name", "year", "month", "source_file")
         counts = [r.loaded_by_file for r in reports if r.loaded_by_file is not None]

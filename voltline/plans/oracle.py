@@ -7,6 +7,7 @@ pages, benchmark, labels and conversations are views over the same Parquet files
 from __future__ import annotations
 
 from voltline import catalog
+from voltline.plans.derived_jobs import STORED_SQL
 
 _TABLE_LIST = "[" + ", ".join(f"'{t}'" for t in list(catalog.ROUTABLE_TABLES) + ["UNLISTED"]) + "]"
 _ROUTABLE = ", ".join(f"'{t}'" for t in catalog.ROUTABLE_TABLES)
@@ -293,3 +294,59 @@ SQL["load_first_file"] = (
     f"SELECT CASE column_name WHEN 'ts' THEN 'event_time' ELSE column_name END AS column_name, ordinal_position::INTEGER AS position, {_TYPE_MAP} AS data_type "
     "FROM information_schema.columns WHERE table_name = 'events'"
 )
+
+# --- whole jobs (voltline.plans.derived_jobs) ------------------------------------------------------
+
+_DAYS = """days AS (SELECT strftime(o_orderdate, '%Y%m%d') AS day, min(o_orderkey) AS k, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished FROM orders GROUP BY 1),
+    links AS (SELECT 'https://example.test/feed/PUBLIC_ORDERS_' || day || '0000.zip' AS url, 'PUBLIC_ORDERS_' || day || '0000.ZIP' AS file_name,
+              CAST(substr(day, 1, 4) AS INTEGER) AS year, CAST(substr(day, 5, 2) AS INTEGER) AS month, k, finished FROM days)"""
+_EVENT_FILES = "SELECT event_id, ts AS event_time, user_id, value, 'PUBLIC_DVD_EVENTS_' || strftime(ts, '%Y%m%d') || '0000.CSV' AS file_name FROM events"
+SQL["sql_stored_tables"] = STORED_SQL
+SQL["list_tables"] = " UNION ALL ".join(f"SELECT '{t.upper()}' AS table_name, count(*) AS rows FROM {t}" for t in ("region", "nation", "supplier", "customer", "part"))
+SQL["parse_layouts"] = (
+    "SELECT CASE WHEN month(o_orderdate) % 2 = 1 THEN 'tradingregionsum' ELSE 'other_data' END AS table_name, o_orderkey, o_custkey, o_totalprice, "
+    "CASE WHEN month(o_orderdate) % 2 = 0 THEN o_orderpriority || ', x' END AS o_orderpriority FROM orders WHERE strftime(o_orderdate, '%Y%m') <> '199602'"
+)
+SQL["archive_window"] = r"""
+    WITH t AS (SELECT doc_id, doc_id // 20 AS k, regexp_split_to_array(regexp_replace(coalesce(text, ''), '(\r\n|\r|\n)$', ''), '\r\n|\r|\n') AS l FROM documents)
+    SELECT 'doc_' || doc_id || '.txt' AS member, len(l)::BIGINT AS lines, list_sum(list_transform(l, lambda x: length(x)))::BIGINT AS chars,
+           list_max(list_transform(l, lambda x: length(x)))::INTEGER AS longest
+    FROM t WHERE 2020 + k % 5 BETWEEN 2021 AND 2023 AND 1 + k % 12 <= 6"""
+SQL["run_job"] = _EVENT_FILES + " WHERE month(ts) % 2 = 1"
+SQL["stream_archives"] = _EVENT_FILES
+SQL["load_rejects_replayed"] = SQL["load_rejects"]
+SQL["plan_current"] = f"WITH {_DAYS} SELECT url, file_name, 'root' AS feed FROM links WHERE finished <= 2"
+SQL["plan_archive"] = f"""WITH {_DAYS}, full_months AS (SELECT year, month FROM links GROUP BY ALL HAVING min(k) % 3 = 0)
+    SELECT url, file_name, year, month FROM links l WHERE year BETWEEN 1996 AND 1998 AND month <= 6 AND finished <= 2
+      AND NOT EXISTS (SELECT 1 FROM full_months f WHERE f.year = l.year AND f.month = l.month)"""
+SQL["stream_manifest"] = f"WITH {_DAYS} SELECT url, file_name FROM links"
+SQL["stream_load_keyed"] = """
+    SELECT DUID, START_DATE, event_id, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY DUID, START_DATE ORDER BY event_id % 3 <> 0, event_id % 7, event_id) AS place
+      FROM (SELECT 'U' || (user_id % 50) AS DUID, date_trunc('day', ts) AS START_DATE, event_id, value FROM events)) WHERE place = 1"""
+
+SQL["load_periods"] = """
+    SELECT DUID, START_DATE, event_id, (year(START_DATE) * 100 + month(START_DATE))::INTEGER AS period FROM (
+      SELECT *, row_number() OVER (PARTITION BY DUID, START_DATE ORDER BY day > 12, event_id % 7, event_id) AS place
+      FROM (SELECT 'U' || (user_id % 20) AS DUID, date_trunc('hour', ts) AS START_DATE, event_id, day(ts) AS day FROM events)) WHERE place = 1"""
+SQL["align_schema_add"] = (
+    "SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS c_acctbal, "
+    "NULL::VARCHAR AS _source_file FROM customer"
+)
+_HISTORY = [["c_custkey:bigint", "c_name:string", "_source_file:string"], ["c_acctbal:double"], ["c_mktsegment:string", "c_nationkey:int"]]
+SQL["schema_history"] = " UNION ALL ".join(
+    f"SELECT {v}::INTEGER AS version, {i + 1}::INTEGER AS position, '{c.split(':')[0]}' AS column_name, '{c.split(':')[1]}' AS data_type FROM (SELECT count(*) FROM customer)"
+    for v in (1, 2, 3) for i, c in enumerate(sum(_HISTORY[:v], []))
+)
+_EVENT_TEXTS = """t AS (
+      SELECT user_id % 5 AS f, 'file' || (user_id % 5) AS file_name, event_id, ts, (event_id + user_id % 5) % 3 = 0 AS slashed, event_id % 11 <> 5 AS timed FROM events)"""
+SQL["infer_types_by_file"] = f"""
+    WITH {_EVENT_TEXTS}, f AS (SELECT f, file_name, count(*) AS n, count(*) FILTER (WHERE timed) AS times FROM t GROUP BY ALL)
+    SELECT file_name AS source_file, 1::INTEGER AS position, 'event_id' AS column_name, n AS values, 'bigint' AS inferred_type FROM f
+    UNION ALL SELECT file_name, 2, 'measure', CASE WHEN f = 4 THEN 0 ELSE n END, ['bigint', 'double', 'boolean', 'string', 'double'][f + 1] FROM f
+    UNION ALL SELECT file_name, 3, 'EVENT_TIME', times, 'timestamp_ntz' FROM f"""
+SQL["coerce_datetime_first_format"] = f"""
+    WITH {_EVENT_TEXTS}, firsts AS (SELECT f, arg_min(slashed, event_id) FILTER (WHERE timed) AS first_slashed FROM t GROUP BY f)
+    SELECT file_name, event_id::VARCHAR AS event_id,
+           CASE WHEN timed AND slashed = first_slashed THEN CASE WHEN slashed THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END END AS event_time
+    FROM t JOIN firsts USING (f)"""

@@ -12,14 +12,14 @@ from __future__ import annotations
 import io
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.session import ship_package
 
 from voltline.functions.names import base_name
 from voltline.functions.text import drop_invalid_utf8
-from voltline.sources.lines import raw_path
+from voltline.sources.lines import list_files, raw_path
 
 MEMBER_SCHEMA = "archive string, member string, depth int, content binary, error string"
 ZIP_GLOB = "*.[zZ][iI][pP]"
@@ -27,16 +27,27 @@ ZIP_GLOB = "*.[zZ][iI][pP]"
 _EXPAND_BYTES = 16 << 20
 
 
-def read_archives(spark: SparkSession, path: str, glob: str = ZIP_GLOB, recursive: bool = True) -> DataFrame:
-    """(archive, file_name, content) per zip file under ``path``."""
+def read_archives(spark: SparkSession, path: str, glob: str = ZIP_GLOB, recursive: bool = True, file_filter: Column | None = None) -> DataFrame:
+    """(archive, file_name, content) per zip file under ``path``.
+
+    ``file_filter`` is an expression over ``file_name``. Names are taken from the file metadata, so files that it
+    refuses are pruned when the folder is listed and their content is never read.
+    """
     df = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .option("pathGlobFilter", glob)
         .load(path)
     )
-    src = raw_path("path")
-    return df.select(src.alias("archive"), base_name(src).alias("file_name"), "content")
+    src = raw_path("_metadata.file_path", encoded=True)
+    out = df.select(src.alias("archive"), base_name(src).alias("file_name"), "content")
+    return out if file_filter is None else out.filter(file_filter)
+
+
+def archive_paths(spark: SparkSession, path: str, glob: str = ZIP_GLOB, recursive: bool = True, file_filter: Column | None = None) -> DataFrame:
+    """S2 without content: (archive, file_name, size, modified) per zip file under ``path``, for ``members.member_chunks``."""
+    out = list_files(spark, path, glob, recursive).withColumnRenamed("source_file", "archive")
+    return out if file_filter is None else out.filter(file_filter)
 
 
 def _members(archive: str, data: bytes):

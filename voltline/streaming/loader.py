@@ -4,7 +4,8 @@ The file source replaces re-listing the inbox on a timer: its checkpoint remembe
 taken, and ``foreachBatch`` runs the same batch load as ``plans.load`` on each micro-batch. The
 cross-batch dedupe state is the target table itself (J1) plus the ledger, so the stream keeps no
 unbounded ``dropDuplicates`` state. A replayed micro-batch is a no-op: keyed tables drop existing
-keys, key-less tables drop files already present by the ``_source_file`` lineage column (V10).
+keys, key-less tables drop files already present by the ``_source_file`` lineage column (V10), and its
+rejects replace those of the attempt before.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from voltline import catalog
 from voltline.functions.names import base_name
 from voltline.operators.ledger import read_ledger
 from voltline.operators.load import write_rejects
+from voltline.operators.sinks import stream_batch
 from voltline.plans.load import LoadOptions, load_lines, plan_candidates
 from voltline.session import materialize
-from voltline.sources.archives import expand_archives, failed_members, member_lines
 from voltline.sources.lines import raw_path
+from voltline.sources.members import chunk_lines, failed_chunks, member_chunks
 
 
 def _batch_lines(batch: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def start_stream_load(
     if archives:
         stream = (
             reader.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-            .option("pathGlobFilter", "*.[zZ][iI][pP]").load(inbox)
+            .option("pathGlobFilter", "*.[zZ][iI][pP]").load(inbox).select("path")
         )
     else:
         stream = reader.format("text").option("pathGlobFilter", "*.[cC][sS][vV]").load(inbox).select(
@@ -72,13 +74,14 @@ def start_stream_load(
         )
 
     def _load(batch: DataFrame, epoch_id: int) -> None:
+        name = stream_batch(spark, epoch_id)
         if archives:
-            arch = batch.select(raw_path("path").alias("archive"), "content")
-            members = materialize(expand_archives(arch), "members")
-            write_rejects(warehouse, failed_members(members))
-            lines = member_lines(members)
+            # paths only: the content is read member by member, in chunks
+            chunks = materialize(member_chunks(batch.select(raw_path("path").alias("archive"))), "member-chunks")
+            write_rejects(warehouse, failed_chunks(chunks), "archives", name)
+            lines = chunk_lines(chunks)
         else:
-            lines = _batch_lines(batch)
+            lines = materialize(_batch_lines(batch), "batch-lines")  # the files are read once
         files = lines.select("source_file", "file_name").distinct()
         routes, n_files = materialize(plan_candidates(files, read_ledger(spark, ledger_path), opts), "stream-routes", with_count=True)
         if n_files == 0:
@@ -86,7 +89,7 @@ def start_stream_load(
         keep = routes.select("source_file")
         # one row per file of the micro-batch: broadcast while that list is small, shuffle beyond
         lines = lines.join(F.broadcast(keep) if n_files <= 200_000 else keep, "source_file", "left_semi")
-        load_lines(spark, lines, routes, warehouse, ledger_path, opts)
+        load_lines(spark, lines, routes, warehouse, ledger_path, opts, batch=name)
 
     writer = stream.writeStream.foreachBatch(_load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{interval_seconds} seconds")
