@@ -1,3 +1,5 @@
+import numpy as np
+
 from voltline.llm import language_id as L
 
 
@@ -37,3 +39,38 @@ def test_a_rare_language_is_learned(spark):
     assert model.langs == ["en", "pl"]
     got = {r.doc_id: r.lang_pred for r in L.predict(docs.where("doc_id % 1000 < 3"), model).collect()}
     assert all(v == ("pl" if d >= 5000 else "en") for d, v in got.items()) and len(got) == 12
+
+
+def plain_score(m, text):
+    """Probabilities by one n-gram after another."""
+    t = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    data = t.encode()
+    data = b" " + b" ".join(data.split()) + b" " if data.split() else b"  "
+    total, n = np.zeros(len(m.langs)), 0
+    for k in L.ORDERS:
+        for i in range(len(data) - k + 1):
+            if b" " in data[i + 1 : i + k - 1]:
+                continue
+            h = data[i] * 0x01000193 % 2**32
+            for c in data[i + 1 : i + k]:
+                h = (h ^ c) * 0x01000193 % 2**32
+            h = (h ^ h >> 15) * 0x85EBCA6B % 2**32
+            total += m.table[(h >> 16 ^ h) & (len(m.table) - 1)]
+            n += 1
+    z = (total / max(n, 1) + m.bias) / m.temperature
+    return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+
+def test_scores_against_single_ngrams():
+    rng = np.random.default_rng(2)
+    m = L.LanguageModel(["aa", "bb", "cc"], rng.normal(0, 3, (1 << 12, 3)).astype(np.float32), rng.normal(0, 1, 3), 0.7)
+    texts = ["Ein Haus, und 3 Mäuse", "x", "l'été  à\nla mer", "漢字 kana", "a-b-c", "word " * 200]
+    p, _ = m.probabilities(texts)
+    for row, t in zip(p, texts):
+        assert np.allclose(row, plain_score(m, t), atol=1e-5), t
+
+
+def test_ties_take_the_first_language(spark):
+    m = L.LanguageModel(["aa", "bb"], np.zeros((1 << 12, 2), np.float32), np.zeros(2))
+    docs = spark.createDataFrame([(1, "some words"), (2, "")], "doc_id long, text string")
+    assert {(r.doc_id, r.lang_pred, r.score) for r in L.predict(docs, m).collect()} == {(1, "aa", 0.5), (2, "und", 0.0)}

@@ -71,3 +71,27 @@ def test_operator_on_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     assert L.score(no_docs, L.train(no_docs, labels.limit(0))).count() == 0
     assert L.keep_good(odd_docs, model).columns == odd_docs.columns
+
+
+def test_a_document_of_many_lines_is_in_the_fit(spark):
+    rows = [(i, "A plain line of some words here.\n" * 5000 if i == 0 else "A plain line of some words here.", 1) for i in range(4)]
+    rows += [(10 + i, "BUY $$$ NOW ||| !!!\n" * 3, 0) for i in range(4)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    seen = []
+    real = L.fit
+    try:
+        L.fit = lambda own, size, y, cfg: seen.append(sorted(map(len, own))) or real(own, size, y, cfg)
+        model = L.train(docs, labels, cfg=L.CrfConfig(steps=40))
+    finally:
+        L.fit = real
+    assert seen == [[1, 1, 1, 3, 3, 3, 3, 5000]]
+    got = {r.doc_id: r.predicted for r in L.score(docs, model).collect()}
+    assert all(got[i] == (i < 10) for i in got)
+    # the score by hand: length-weighted marginals of the chain, calibrated
+    text = "A line. BUY $$$\n\nMore ||| words !!! here"
+    lines = L.lines_of([text])
+    p = L.marginals(lines.features() @ model.weight, model.move, lines.offsets())[0]
+    mean = sum(s * q for s, q in zip(lines.size, p)) / sum(lines.size)
+    z = model.scale * np.log(mean / (1 - mean)) + model.shift
+    assert np.isclose(model.scores([text])[0], 1 / (1 + np.exp(-z)), atol=1e-6)

@@ -89,3 +89,20 @@ def test_evidence_reaches_all_occurrences_of_a_token():
         nodes = P.nodes_of(text)
         p = f.marginals(nodes.feature, nodes.chain, nodes.skip)
         assert len(p) == 60 and (p[:, 1 + P.ORDER["phone"]] > 0.9).all(), at
+
+
+def test_a_texts_marginals_do_not_depend_on_its_neighbours():
+    f = _fitted()
+    texts = ["phone 555 0199 end", "x 4111111111111112 y 4111111111111112 z a1@b", "word\n".join(f"5550199 {i}" for i in range(40)), "", "no node"]
+    parts = [P.nodes_of(t) for t in texts]
+    feature, chain, skip, off = P._together(parts)
+    together = f.marginals(feature, chain, skip, off)
+    for p, a, b in zip(parts, off, off[1:]):
+        assert np.array_equal(together[a:b], f.marginals(p.feature, p.chain, p.skip))
+
+
+def test_a_long_document_is_in_the_fit(spark):
+    long = " ".join(f"Karte 41111111111111{i % 90 + 10} und" for i in range(3000))
+    docs = spark.createDataFrame([(1, long), (2, "kein Wort")], "doc_id long, text string")
+    f = P.train(docs)
+    assert f.unary[P._bucket("cue", "karte"), 1 + P.ORDER["card"]] > f.unary[P._bucket("cue", "und"), 1 + P.ORDER["card"]]

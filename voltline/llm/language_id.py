@@ -158,7 +158,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``lang_pred`` (``und`` for texts without a letter, null or empty), ``score``, ``accepted``."""
+    """One row per input row: ``lang_pred`` (``und`` for texts without a letter, null or empty), ``score``, ``accepted``.
+
+    Of languages that tie, the first by name is taken; equal rows (repeats) give equal rows; texts of any length are read
+    whole; an empty table gives no rows."""
 
     def run(texts: list[str]) -> dict[str, list]:
         p, n = model.probabilities(texts)
@@ -171,6 +174,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predict`` of every whole text of ``documents``, by a model of the rows outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train(docs.where(crc_mod("doc_id", 4) != 2))
-    return predict(docs, model).withColumn("held_out", crc_mod("doc_id", 4) == 2)
+    return predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")

@@ -2,8 +2,8 @@
 
 Each non-blank line has shape features (letters, capitals, digits, symbols, bars, lengths, repetition) beside those
 of the line before and after it. The chain labels every line bad or good; its weights and transitions are fitted
-by gradient ascent on the log-likelihood of a bounded sample of labelled documents, whose lines take the document's
-label. A document's quality is the length-weighted mean of its lines' forward-backward marginals, calibrated by a
+by gradient ascent on the log-likelihood of a sample of labelled documents, bounded in rows and characters, whose lines
+take the document's label. A document's quality is the length-weighted mean of its lines' forward-backward marginals, calibrated by a
 logistic curve on the same sample. Scoring is one map over the rows: no shuffle; the model is a few hundred numbers.
 """
 
@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.common import crc_mod, keep_texts, map_texts, table
-from voltline.llm.sampling import bounded_sample
+from voltline.llm.sampling import bounded_sample, within_budget
 from voltline.llm.textarrays import mix, segment_hashes, words_of
+from voltline.session import materialize
 
 
 @dataclass(frozen=True)
 class CrfConfig:
     sample_rows: int = 6000  # labelled documents to fit on
-    sample_lines: int = 400  # documents of more lines are left out of the fit, never of the scoring
+    sample_chars: int = 24_000_000  # characters of all sampled texts together; rows are taken by hash, never by size
     steps: int = 250
     rate: float = 0.05
     decay: float = 1e-3
@@ -226,16 +227,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Model from the rows of ``docs`` whose id has a label; null labels are left out, and of several the least counts."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_key")).agg(F.min(label_col).cast("int").alias("_label"))
     chosen = bounded_sample(known, "_key", cfg.sample_rows)  # at most sample_rows small rows
-    rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_key")
+    rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_key")
+    rows = within_budget(materialize(rows, "quality-sample"), "_key", "_text", cfg.sample_chars)
 
     def run(texts: list[str]) -> dict[str, list]:
         lines = lines_of(texts)
         off = lines.offsets().tolist()
-        # as the bytes of float arrays; a text of too many lines gives null
-        parts = [(lines.own[a:b], lines.size[a:b]) if b - a <= cfg.sample_lines else None for a, b in zip(off, off[1:])]
-        return {"own": [p and p[0].astype("<f4").tobytes() for p in parts], "size": [p and p[1].astype("<f4").tobytes() for p in parts]}
+        # as the bytes of float arrays
+        return {"own": [lines.own[a:b].astype("<f4").tobytes() for a, b in zip(off, off[1:])], "size": [lines.size[a:b].astype("<f4").tobytes() for a, b in zip(off, off[1:])]}
 
-    got = map_texts(rows, "_label", "_text", run, {"own": "binary", "size": "binary"}).where("own is not null").limit(cfg.sample_rows).collect()
+    got = map_texts(rows, "_label", "_text", run, {"own": "binary", "size": "binary"}).limit(cfg.sample_rows).collect()
     got = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in got)  # the fit doesn't depend on the order of tasks
     own = [np.frombuffer(r[1], "<f4").astype(float).reshape(-1, N_OWN) for r in got]
     size = [np.frombuffer(r[2], "<f4").astype(float) for r in got]
@@ -244,7 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: ChainModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``score`` in 0..1, ``predicted``. Null, empty and blank texts take the sample's share
-    of good documents as score; an empty table gives no rows."""
+    of good documents as score; equal rows (repeats) give equal rows; texts of any length are scored whole; an empty
+    table gives no rows."""
 
     def run(texts: list[str]) -> dict[str, np.ndarray]:
         p = model.scores(texts)
@@ -264,6 +266,7 @@ def trained_on(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ChainModel:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``score`` of every whole text of ``documents``, by a model of the labelled rows outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, trained_on(spark, docs, sf_dir))
     return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")

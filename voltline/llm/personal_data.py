@@ -3,8 +3,9 @@
 The field's nodes are the tokens with a digit or an ``@`` (a token without either can only be outside: its potential
 for every kind is 0, so it parts the chain). Neighbouring nodes share a transition potential; distant tokens that are
 equal or similar (same letters and digits, or the same mailbox name) are all linked to their first occurrence and share
-an agreement potential, so evidence of any of them is two steps from every other. Loopy message passing runs over all texts of a block at once, so a repeated token takes one
-label through its document. Weights are fitted by pseudo-likelihood on a bounded sample of documents: tokens under a
+an agreement potential, so evidence of any of them is two steps from every other. Loopy message passing runs over all
+texts of a block at once, each until its own messages settle, so a repeated token takes one label through its document.
+The word before a token is a hashed feature: which words are cues is learned from the corpus, in any language. Weights are fitted by pseudo-likelihood on a bounded sample of documents: tokens under a
 fixed pattern take its kind, tokens whose match only failed its check (Luhn, part or digit count) stay unlabelled,
 all others are outside. The work is per text: no shuffle; the weights are a fixed-size table.
 """
@@ -18,10 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltline.llm.common import map_texts, table
-from voltline.llm.sampling import bounded_sample
+from voltline.llm.sampling import bounded_sample, within_budget
 from voltline.llm.spans import Span, digest, joined
+from voltline.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -82,8 +85,9 @@ def matches(text: str) -> tuple[list[Span], list[Span]]:
 
 OUT = 0
 N_LABELS = 1 + len(KINDS)
-BUCKETS = 1 << 12
-CUES = frozenset("account address addr call card cell contact credit email fax host ip mail mobile phone server tel telephone visa".split())
+BUCKETS = 1 << 14
+#: Characters before a token in which the word before it is looked for: a window of a feature, not of the search.
+CUE_CHARS = 64
 
 
 @dataclass
@@ -123,14 +127,14 @@ def nodes_of(text: str) -> Nodes:
     for i, (s, e) in enumerate(spans):
         token = text[s:e]
         digits = sum(c.isdigit() for c in token)
-        before = text[max(0, s - 24) : s].split()
+        before = text[max(0, s - CUE_CHARS) : s].split()
         cue = re.sub(r"\W", "", before[-1]).lower() if before else ""
         near = bool(i) and text[spans[i - 1][1] : s].isspace() and "\n" not in text[spans[i - 1][1] : s]
         after = i + 1 < len(spans) and text[e : spans[i + 1][0]].isspace() and "\n" not in text[e : spans[i + 1][0]]
         # the bucket of each feature; shapes of neighbours count where no other token lies between
         feats.append([
             _bucket("shape", shapes[i]), _bucket("digits", str(min(digits, 24))), _bucket("both", f"{shapes[i]}/{min(digits, 24)}"),
-            _bucket("cue", cue if cue in CUES else ""), _bucket("before", shapes[i - 1] if near else ""), _bucket("after", shapes[i + 1] if after else ""),
+            _bucket("cue", cue), _bucket("before", shapes[i - 1] if near else ""), _bucket("after", shapes[i + 1] if after else ""),
         ])
         if near:
             chain.append((i - 1, i))
@@ -158,11 +162,11 @@ def node_labels(nodes: Nodes, good: list[Span], failed: list[Span]) -> np.ndarra
 @dataclass(frozen=True)
 class FieldConfig:
     sample_rows: int = 20_000
-    sample_nodes: int = 2_000  # documents of more nodes are left out of the fit, never of the search
+    sample_chars: int = 60_000_000  # characters of all sampled texts together; rows are taken by hash, never by size
     steps: int = 150
     rate: float = 0.1
     decay: float = 1e-4
-    rounds: int = 10  # of message passing
+    rounds: int = 200  # of message passing at most; a text is done when its messages have settled
     damping: float = 0.3
     accept: float = 0.8  # least marginal of an added span
 
@@ -174,9 +178,13 @@ class Field:
     agree: float
     cfg: FieldConfig
 
-    def marginals(self, feature: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        """Label marginals by loopy sum-product over chain and skip edges."""
+    def marginals(self, feature: np.ndarray, chain: np.ndarray, skip: np.ndarray, off: np.ndarray | None = None) -> np.ndarray:
+        """Label marginals by loopy sum-product over chain and skip edges.
+
+        ``off``: first node of each text, then the number of nodes. A text's messages stop when all of them have settled,
+        whatever those of other texts do."""
         n = len(feature)
+        off = np.array([0, n]) if off is None else off
         phi = self.unary[feature].sum(1)
         edges = np.concatenate([chain, skip])
         if not len(edges):
@@ -191,16 +199,22 @@ class Field:
                 m[:, k] += np.bincount(b, ab[:, k], n) + np.bincount(a, ba[:, k], n)
             return m
 
+        text = np.searchsorted(off, a, "right") - 1
+        live = np.arange(len(edges))
         for _ in range(self.cfg.rounds):
             m = belief()
-            new_ab = _logsum((m[a] - ba)[:, :, None] + pair, 1)
-            new_ba = _logsum((m[b] - ab)[:, None, :] + pair, 2)
+            i, j, p = a[live], b[live], pair[live]
+            new_ab = _logsum((m[i] - ba[live])[:, :, None] + p, 1)
+            new_ba = _logsum((m[j] - ab[live])[:, None, :] + p, 2)
             new_ab -= new_ab.max(1, keepdims=True)
             new_ba -= new_ba.max(1, keepdims=True)
-            moved = max(np.abs(new_ab - ab).max(), np.abs(new_ba - ba).max())
-            ab += (1 - self.cfg.damping) * (new_ab - ab)
-            ba += (1 - self.cfg.damping) * (new_ba - ba)
-            if moved < 1e-4:
+            moved = np.maximum(np.abs(new_ab - ab[live]).max(1), np.abs(new_ba - ba[live]).max(1))
+            ab[live] += (1 - self.cfg.damping) * (new_ab - ab[live])
+            ba[live] += (1 - self.cfg.damping) * (new_ba - ba[live])
+            most = np.zeros(len(off))
+            np.maximum.at(most, text[live], moved)
+            live = live[most[text[live]] >= 1e-4]
+            if not len(live):
                 break
         return _softmax(belief())
 
@@ -262,7 +276,7 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     base = [matches(t)[0] for t in texts]
     parts = [nodes_of(t) for t in texts]
     feature, chain, skip, off = _together(parts)
-    p = field.marginals(feature, chain, skip)
+    p = field.marginals(feature, chain, skip, off)
     label = np.where(p.max(1, initial=0) >= field.cfg.accept, p.argmax(1), OUT) if len(p) else np.zeros(0, np.int64)
     out = []
     for text, b, nodes, o, stop in zip(texts, base, parts, off, off[1:]):
@@ -295,20 +309,19 @@ def _trimmed(text: str, s: int, e: int) -> tuple[int, int]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: FieldConfig = FieldConfig()) -> Field:
-    """Field fitted on a bounded sample of rows (by hash of the id)."""
+    """Field fitted on a sample of rows (by hash of the id) bounded in rows and characters; texts without nodes teach nothing."""
 
     def run(texts: list[str]) -> dict[str, list]:
         rows = []
         for t in texts:
             n = nodes_of(t)
-            if not 0 < len(n.start) <= cfg.sample_nodes:
-                rows.append([None] * 4)
-                continue
             rows.append([node_labels(n, *matches(t)).tolist(), n.feature.ravel().tolist(), n.chain.ravel().tolist(), n.skip.ravel().tolist()])
         return {k: [r[i] for r in rows] for i, k in enumerate(("y", "feature", "chain", "skip"))}
 
     fields = dict.fromkeys(("y", "feature", "chain", "skip"), "array<int>")
-    got = map_texts(bounded_sample(docs.select(id_col, text_col), id_col, cfg.sample_rows), id_col, text_col, run, fields).where("y is not null").drop(id_col).limit(cfg.sample_rows).collect()
+    sample = bounded_sample(docs.select(F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text")), "_key", cfg.sample_rows)
+    sample = within_budget(materialize(sample, "personal-sample"), "_key", "_text", cfg.sample_chars)
+    got = map_texts(sample, "_key", "_text", run, fields).where("size(y) > 0").drop("_key").limit(cfg.sample_rows).collect()
     got = sorted(tuple(map(tuple, r)) for r in got)  # the fit doesn't depend on the order of tasks
     arrays = [Nodes(np.array(r[0]), np.array(r[0]), np.array(r[1], np.int64).reshape(-1, N_FEATURES), np.array(r[2], np.int64).reshape(-1, 2), np.array(r[3], np.int64).reshape(-1, 2)) for r in got]
     feature, chain, skip, _ = _together(arrays)
@@ -321,7 +334,8 @@ FIELDS = {"n_email": "long", "n_ip": "long", "n_card": "long", "n_phone": "long"
 def personal_spans(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts and digest of the base spans, and all spans by kind, then start.
 
-    Null and empty texts have no spans; repeated rows give repeated rows; an empty table gives none."""
+    Null and empty texts have no spans; repeated rows give repeated rows; texts of any length are searched whole; of
+    labels that tie, the first of ``KINDS`` is taken; an empty table gives none."""
 
     def run(texts: list[str]) -> dict[str, list]:
         out: dict[str, list] = {k: [] for k in FIELDS}
@@ -338,5 +352,6 @@ def personal_spans(docs: DataFrame, field: Field, id_col: str = "doc_id", text_c
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``personal_spans`` of every whole text of ``documents``, by a field fitted on a sample of them."""
     docs = table(spark, sf_dir, "documents")
     return personal_spans(docs, train(docs))

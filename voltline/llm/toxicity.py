@@ -204,9 +204,8 @@ def gradients(m: ConvModel, words: list[np.ndarray], y: np.ndarray, weight: np.n
         pooled.append(np.where(n[:, None] > 0, np.maximum(np.take_along_axis(r, top, 0) + b, 0), 0))
     a = np.concatenate(pooled, 1)
     z = a @ m.out + m.base
-    p = _sigmoid(z)
-    loss = -(weight * np.where(y == 1, np.log(p), np.log1p(-p))).sum()
-    g = weight * (p - y)
+    loss = (weight * np.logaddexp(0, np.where(y == 1, -z, z))).sum()
+    g = weight * (_sigmoid(z) - y)
     da = g[:, None] * m.out * (a > 0)
     d_filters, d_bias, at, d_rows, d_emb = [], [], 0, [], []
     for w, b, top in zip(m.filters, m.bias, chosen):
