@@ -7,6 +7,7 @@ listing-page links, name matching, ledger and already-local skips - is here.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from voltline import catalog
 from voltline.functions.names import in_period, period_first8, period_strict
 from voltline.operators.ledger import ledger_months
 from voltline.sources.archives import expand_archives, read_archives
-from voltline.sources.links import extract_links
+from voltline.sources.links import extract_links, page_links, resolve_url
 
 SOURCES = ("mmsdm", "archive", "current")
 
@@ -66,15 +67,17 @@ def match_table(file_name: Column, tables: Sequence[str]) -> Column:
     """first wanted table T whose name pattern occurs in the (upper-cased) file name, else NULL.
 
     Patterns: ``PUBLIC_DVD_{T}_``, ``PUBLIC_ARCHIVE#{T}#``, ``PUBLIC_ARCHIVE%23{T}%23``. The table list is
-    configuration (a handful of names), so this is a projection, not a join.
+    configuration (a handful of names): one pattern holds all of it, in its order. A name with several
+    patterns, which is rare, takes the table that the list has first.
     """
-    hit = F.filter(
-        _tables_array(tables),
-        lambda t: file_name.contains(F.concat(F.lit(catalog.DVD_PREFIX), t, F.lit("_")))
-        | file_name.contains(F.concat(F.lit(catalog.ARCHIVE_MARKER), t, F.lit("#")))
-        | file_name.contains(F.concat(F.lit(catalog.ARCHIVE_MARKER_ENCODED), t, F.lit("%23"))),
-    )
-    return F.try_element_at(hit, F.lit(1))
+    names = "|".join(re.escape(t.upper()) for t in tables)
+    dvd, mark, coded = (re.escape(x) for x in (catalog.DVD_PREFIX, catalog.ARCHIVE_MARKER, catalog.ARCHIVE_MARKER_ENCODED))
+    prefix = f"(?:{dvd}|{mark}|{coded})"
+    found = F.regexp_extract_all(file_name, F.lit(f"{dvd}(?:{names})(?=_)|{mark}(?:{names})(?=#)|{coded}(?:{names})(?=%23)"), F.lit(0))
+    only = F.regexp_replace(F.get(found, F.lit(0)), f"^{prefix}", "")
+    several = F.transform(found, lambda x: F.regexp_replace(x, f"^{prefix}", ""))
+    first = F.get(F.filter(_tables_array(tables), lambda t: F.array_contains(several, t)), F.lit(0))
+    return F.when(F.size(found) <= 1, only).otherwise(first) if tables else F.lit(None).cast("string")
 
 
 def include_filter(file_name: Column, patterns: Column | Sequence[str]) -> Column:
@@ -167,15 +170,16 @@ def link_manifest(pages: DataFrame, tables: Sequence[str], ledger: DataFrame, lo
     link's own period. ``year`` and ``month`` of the result are the link's.
     ``local_files`` has ``file_name`` (the on-disk, un-decoded last URL segment).
     """
-    links = extract_links(pages, suffix=suffix, with_page=True)
+    # the match is a generator: links of no wanted table end here, only the others are resolved and dated
+    hit = match_table(F.col("file_name"), tables)
+    links = page_links(pages, suffix=suffix).select("*", F.explode(F.when(hit.isNotNull(), F.array(F.lower(hit)))).alias("table_name"))
     period = period_strict(F.col("file_name"))
     matched = links.select(
-        "page_id", "position", "href", "url", "file_name",
-        F.lower(match_table(F.col("file_name"), tables)).alias("table_name"),
+        "page_id", "position", "href", resolve_url("page_url", "href").alias("url"), "file_name", "table_name",
         period["year"].alias("year"), period["month"].alias("month"),
         F.substring_index("href", "/", -1).alias("local_name"),
         *[F.regexp_extract("page_url", _PAGE_MONTH, i).try_cast("int").alias(f"page_{k}") for i, k in ((1, "year"), (2, "month"))],
-    ).filter(F.col("table_name").isNotNull())
+    )
     asked = matched.select("*", *[F.when(F.col("page_year").isNull(), F.col(k)).otherwise(F.col(f"page_{k}")).alias(f"_{k}") for k in ("year", "month")])
     done = ledger_months(ledger).select("table_name", F.col("year").alias("_year"), F.col("month").alias("_month"))
     fresh = asked.join(done, ["table_name", "_year", "_month"], "left_anti").drop("_year", "_month", "page_year", "page_month")

@@ -297,3 +297,51 @@ def q_coerce_datetime_first_format(spark, sf_dir):
 
     rows = coerce_first_format(_event_texts(spark, sf_dir), ["EVENT_TIME"], ["_block_start", "_line_id"])
     return rows.select(F.col("_source_file").alias("file_name"), "event_id", F.col("EVENT_TIME").alias("event_time"))
+
+
+def q_stream_archive_files(spark, sf_dir):
+    """K4: reports land in two drops; the stream moves those of committed batches, and the last ones when it has ended."""
+    from voltline.plans.load import LoadOptions
+    from voltline.sources.lines import list_files
+    from voltline.streaming.loader import start_stream_load
+    from voltline.streaming.settle import settle_files
+
+    root = scratch_dir(spark, "settled")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"), "value")
+    fname = F.concat(F.lit("PUBLIC_DVD_EVENTS_"), ymd("event_time"), F.lit("0000.CSV"))
+    lines = staged(render_report_lines(e, fname, F.col("event_id"), report="EVENTS", sub_report="EVENTS"))
+    opts = LoadOptions(start_year=1900, end_year=2100, months=tuple(range(1, 12)))  # December stays in the inbox
+    early = F.regexp_extract("file_name", r"\d{6}(\d{2})0000", 1) <= "15"
+    for i, drop in enumerate((lines.filter(early), lines.filter(~early))):
+        write_report_files(drop, f"{root}/inbox/drop{i}").count()
+        query = start_stream_load(spark, f"{root}/inbox", f"{root}/wh", f"{root}/ledger", f"{root}/ckpt", opts, archive_dir=f"{root}/done")
+        query.awaitTermination()
+    settle_files(spark, f"{root}/wh", f"{root}/inbox", f"{root}/done", query.id)
+    places = [list_files(spark, f"{root}/{p}", "*.CSV").select(F.lit(p).alias("place"), F.regexp_extract("source_file", r"/(drop\d)/", 1).alias("drop"), "file_name") for p in ("inbox", "done")]
+    return places[0].unionByName(places[1])
+
+
+def q_period_grid_now(spark, sf_dir):
+    """without a year given the grid ends with this one; the start is the first year that has orders."""
+    from voltline.plans.acquire import period_grid
+
+    bounds = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("s"))
+    return period_grid(spark, F.col("s"), 2999, [12, 1], "https://example.test/MMSDM/", source=bounds)
+
+
+ODD_SQL = "SELECT `c key` AS c_custkey, `a.b` AS c_name, `tick``s` AS c_acctbal, upper(`SELECT`) AS segment FROM other_data WHERE `c key` % 2 = 0"
+
+
+def q_load_quoted_names(spark, sf_dir):
+    """Quoted identifiers: a report whose columns have a blank, a dot, a back-tick and a keyword as names, loaded, then asked in SQL."""
+    from voltline.plans.load import LoadOptions, load_lines
+    from voltline.plans.sql import run_sql
+
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c key"), F.col("c_name").alias("a.b"), F.col("c_acctbal").alias("tick`s"), F.col("c_mktsegment").alias("SELECT"))
+    data = c.select(F.concat_ws(",", F.lit("D,CUST,OMER,1"), F.col("`c key`"), F.col("`a.b`"), F.col("`tick``s`"), F.col("`SELECT`")).alias("value"), F.col("`c key`").alias("line_id"))
+    head = spark.range(1).select(F.lit("I,CUST,OMER,1,c key,a.b,tick`s,SELECT").alias("value"), F.lit(-1).cast("bigint").alias("line_id"))
+    lines = staged(data.unionByName(head).select(F.lit("inbox/customers.csv").alias("source_file"), F.lit("customers.csv").alias("file_name"), F.lit(0).cast("bigint").alias("block_start"), "line_id", "value"))
+    routes = spark.createDataFrame([("inbox/customers.csv", "other_data", 2026, 1)], "source_file string, table_name string, year int, month int")
+    warehouse = scratch_dir(spark, "quoted")
+    load_lines(spark, lines, routes, warehouse, None, LoadOptions())
+    return run_sql(spark, ODD_SQL, warehouse=warehouse)

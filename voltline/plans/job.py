@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 
 from voltline.operators.ledger import read_ledger
 from voltline.operators.load import REPORT_SCHEMA, write_rejects
-from voltline.operators.sinks import checksum_of, content_id
+from voltline.operators.sinks import checksum_of, content_id, read_written, write_once
 from voltline.plans.acquire import extract_window, plan_downloads
 from voltline.plans.load import LoadOptions, load_lines, plan_candidates
-from voltline.session import materialize
+from voltline.session import materialize, path_exists
 from voltline.sources.archives import archive_paths
 from voltline.sources.members import CHUNK_BYTES, chunk_lines, failed_chunks, member_chunks
 
 
+#: Archives that loads have taken, sound and damaged ones, under the warehouse.
+TAKEN = "_taken_archives"
+TAKEN_SCHEMA = "archive string, size bigint, modified timestamp"
+
+
 @dataclass
 class JobResult:
     manifest: DataFrame  # links to fetch
@@ -32,13 +37,14 @@ def load_archives(spark: SparkSession, folder: str, warehouse: str, ledger_path:
     """G6 + G7: the zip archives under ``folder`` inside the period window, but for those loaded as they are now.
 
     Archives are told apart by path, size and time; nothing of a skipped one is read. Members are streamed in chunks,
-    routed and tested by their own names. Returns (file status, per-table report); damaged archives are rejects.
+    routed and tested by their own names. Returns (file status, per-table report); damaged archives are rejects, once.
     """
     opts = opts or LoadOptions()
     ledger = read_ledger(spark, ledger_path)
     found = archive_paths(spark, folder, file_filter=extract_window(opts.start_year, opts.end_year, opts.months))
-    done = ledger.filter(F.col("source_file").contains("!/")).select(F.substring_index("source_file", "!/", 1).alias("archive"), "size", "modified").distinct()
-    todo, n = materialize(found.join(done, ["archive", "size", "modified"], "left_anti"), "archives", with_count=True)
+    notes = f"{warehouse.rstrip('/')}/{TAKEN}"
+    done = read_written(spark, notes, TAKEN_SCHEMA) if path_exists(notes, spark) else spark.createDataFrame([], TAKEN_SCHEMA)
+    todo, n = materialize(found.join(done.select("archive", "size", "modified"), ["archive", "size", "modified"], "left_anti"), "archives", with_count=True)
     if n == 0:
         return spark.createDataFrame([], "source_file string, file_name string, status string"), spark.createDataFrame([], REPORT_SCHEMA)
     batch = content_id(*todo.agg(F.count(F.lit(1)), checksum_of([F.col(c) for c in ("archive", "size", "modified")])).first())
@@ -48,6 +54,7 @@ def load_archives(spark: SparkSession, folder: str, warehouse: str, ledger_path:
     files = lines.select("source_file", "file_name").distinct().withColumn("archive", F.substring_index("source_file", "!/", 1))
     routes = materialize(plan_candidates(files.join(todo.select("archive", "size", "modified"), "archive").drop("archive"), ledger, opts), "member-routes")
     status, reports = load_lines(spark, lines.join(routes.select("source_file"), "source_file", "left_semi"), routes, warehouse, ledger_path, opts, batch=batch)
+    write_once(todo.select("archive", "size", "modified"), notes, "archives", batch)  # last: what is noted is loaded
     return status, spark.createDataFrame([r.as_row() for r in reports], REPORT_SCHEMA)
 
 

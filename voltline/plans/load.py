@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltline import catalog
 from voltline.functions.names import in_period, period_first8, period_strict, route_table
@@ -117,8 +118,11 @@ def load_lines(
             rows = one_format(rows, names)
         if table_schema(spark, path) is None and model.schema is None:
             texts = [c for c in names if rows.schema[c].dataType.simpleString() == "string"]
-            types = infer_types(rows, texts) if opts.inference == "batch" else types_of_first_file(infer_types_by_file(rows, texts))
-            rows = apply_types(rows, types)
+            if opts.inference == "batch":
+                rows = apply_types(rows, infer_types(rows, texts))
+            else:  # the table takes the first file's types; what does not fit them is a reject
+                types = types_of_first_file(infer_types_by_file(rows, texts))
+                model = catalog.table_model(table, T.StructType([T.StructField(c, types.get(c, rows.schema[c].dataType)) for c in names]))
         reports.append(load_batch(spark, rows, path, model, extra=opts.extra, strict=opts.strict, warehouse=warehouse, batch_id=batch))
     if ledger_path:
         loaded = status.filter(F.col("status") == STATUS_OK).select("table_name", "year", "month", "source_file")

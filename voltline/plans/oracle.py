@@ -350,3 +350,11 @@ SQL["coerce_datetime_first_format"] = f"""
     SELECT file_name, event_id::VARCHAR AS event_id,
            CASE WHEN timed AND slashed = first_slashed THEN CASE WHEN slashed THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END END AS event_time
     FROM t JOIN firsts USING (f)"""
+
+SQL["stream_archive_files"] = """
+    SELECT DISTINCT CASE WHEN month(ts) = 12 THEN 'inbox' ELSE 'done' END AS place, CASE WHEN day(ts) <= 15 THEN 'drop0' ELSE 'drop1' END AS drop,
+           'PUBLIC_DVD_EVENTS_' || strftime(ts, '%Y%m%d') || '0000.CSV' AS file_name FROM events"""
+SQL["period_grid_now"] = """
+    SELECT y::INTEGER AS year, m::INTEGER AS month, 'https://example.test/MMSDM/' || y || '/MMSDM_' || y || '_' || lpad(m::VARCHAR, 2, '0') || '/MMSDM_Historical_Data_SQLLoader/DATA/' AS url
+    FROM (SELECT min(year(o_orderdate)) AS s FROM orders) b, range(b.s, year(current_date) + 1) t(y), (VALUES (1), (12)) v(m)"""
+SQL["load_quoted_names"] = "SELECT c_custkey, c_name, c_acctbal, upper(c_mktsegment) AS segment FROM customer WHERE c_custkey % 2 = 0"

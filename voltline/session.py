@@ -49,9 +49,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Scratch folders that this process has named, in order.
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (never a machine-local path on a cluster)."""
-    return f"{checkpoint_root(spark)}/voltline-scratch/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/voltline-scratch/{purpose}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_made() -> list[str]:
+    """The scratch folders named so far and not dropped: a job takes the list before it begins, to drop what it added."""
+    return list(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders that no frame in use reads any more."""
+    for path in paths:
+        if path in _SCRATCH:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _SCRATCH.remove(path)
 
 
 def open_filesystem(path: str):
@@ -82,9 +102,17 @@ def materialize(df, purpose: str = "stage", with_count: bool = False):
     obs = Observation(purpose)
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
     return (out, obs.get["n"]) if with_count else out
 
 
+def drop_frame(df) -> None:
+    """Delete what ``materialize`` wrote for ``df``: neither it nor a frame made of it may be read any more."""
+    path = getattr(df, "scratch_path", None)
+    if path:
+        drop_scratch(df.sparkSession, [path])
+
+
 def path_exists(path: str, spark: SparkSession | None = None) -> bool:
     """True when a file or folder exists at ``path``, in any file system that the session's Hadoop knows."""
     spark = spark or SparkSession.getActiveSession()

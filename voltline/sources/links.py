@@ -17,8 +17,10 @@ from voltline.functions.names import percent_decode
 _STRIP = (r"(?s)<!--.*?-->", r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>")
 # An anchor's attributes up to the one named href, and its value with its quotes if any.
 _HREF = r"""(?i)<a(?=[\s/])(?:[\s/]+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Character references that links hold in practice; the ampersand comes last.
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&#x26;": "&", "&amp;": "&"}
+# The named character references that links hold in practice.
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+# A link's text cut into references and what lies between them.
+_REFERENCES = r"&(?:lt|gt|quot|apos|amp);|&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,14 +33,25 @@ def strip_markup_noise(html: Column | str) -> Column:
     return F.regexp_replace(_col(html), combined, "")
 
 
+def _referred(piece: Column) -> Column:
+    """The character that a reference stands for; other pieces as they are."""
+    hexa, number = piece.rlike(r"^&#[xX]"), piece.rlike(r"^&#.*;$")
+    digits = F.substring(piece, F.when(hexa, 4).otherwise(3), F.length(piece) - F.when(hexa, 4).otherwise(3))
+    code = F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    out = F.when(number, F.when(real, char).otherwise("\ufffd")).otherwise(piece)
+    for name, c in _NAMED.items():
+        out = F.when(piece == name, c).otherwise(out)
+    return out
+
+
 def _plain_value(raw: Column) -> Column:
-    """An attribute's value without its quotes, character references resolved."""
+    """An attribute's value without its quotes, character references (named and numeric) resolved once, left to right."""
     quoted = raw.startswith('"') | raw.startswith("'")
     value = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    out = value
-    for entity, char in _ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(value.contains("&"), out).otherwise(value)
+    pieces = F.regexp_extract_all(value, F.lit(_REFERENCES), F.lit(0))
+    return F.when(value.contains("&"), F.array_join(F.transform(pieces, _referred), "")).otherwise(value)
 
 
 def collapse_dots(url: Column) -> Column:
@@ -76,22 +89,21 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     )
 
 
-def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", suffix: str | None = ".zip", with_page: bool = False) -> DataFrame:
-    """One row per anchor: page_id, position (1-based, document order), href, url, file_name (``with_page``: page_url too).
+def page_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", suffix: str | None = ".zip") -> DataFrame:
+    """One row per anchor, nothing resolved yet: page_id, page_url, position (1-based, document order), href, file_name.
 
     ``suffix`` keeps only hrefs ending with it (any case); ``None`` keeps all. ``file_name`` is the
-    percent-decoded last path segment, upper-cased.
+    percent-decoded last path segment, upper-cased. A link's value is a generator output, so that tests
+    on it above don't read it again.
     """
     hrefs = F.regexp_extract_all(strip_markup_noise(html), F.lit(_HREF), 1)
-    out = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("page_url"), F.posexplode(hrefs).alias("pos", "href"))
-    out = out.withColumn("href", _plain_value(F.col("href")))
+    out = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("page_url"), F.posexplode(hrefs).alias("pos", "raw"))
+    out = out.select("page_id", "page_url", (F.col("pos") + 1).alias("position"), F.explode(F.array(_plain_value(F.col("raw")))).alias("href"))
     if suffix:
         out = out.filter(F.lower("href").endswith(suffix.lower()))
-    return out.select(
-        "page_id",
-        (F.col("pos") + 1).alias("position"),
-        "href",
-        resolve_url("page_url", "href").alias("url"),
-        F.upper(F.substring_index(percent_decode("href"), "/", -1)).alias("file_name"),
-        *(["page_url"] if with_page else []),
-    )
+    return out.select("*", F.upper(F.substring_index(percent_decode("href"), "/", -1)).alias("file_name"))
+
+
+def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", suffix: str | None = ".zip") -> DataFrame:
+    """``page_links`` with the absolute url: page_id, position, href, url, file_name."""
+    return page_links(pages, page_id, url, html, suffix).select("page_id", "position", "href", resolve_url("page_url", "href").alias("url"), "file_name")

@@ -23,6 +23,7 @@ from voltline.plans.load import LoadOptions, load_lines, plan_candidates
 from voltline.session import materialize
 from voltline.sources.lines import raw_path
 from voltline.sources.members import chunk_lines, failed_chunks, member_chunks
+from voltline.streaming.settle import note_files, settle_files
 
 
 def _batch_lines(batch: DataFrame) -> DataFrame:
@@ -52,13 +53,11 @@ def start_stream_load(
 ) -> StreamingQuery:
     """Start the continuous loader. ``archives=True`` takes zip files (T3) instead of report files.
 
-    ``archive_dir`` (K4) moves source files there once their batch is committed (the file source's
-    ``cleanSource=archive``; it runs a batch late, so never read "gone from the inbox" as "loaded").
+    ``archive_dir`` (K4) takes the source files of batches that are loaded and committed: each batch moves those of the
+    batches before it, and ``settle.settle_files`` those of the last one when the query has ended.
     """
     opts = opts or LoadOptions()
     reader = spark.readStream.option("recursiveFileLookup", "true")
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archives:
@@ -75,6 +74,9 @@ def start_stream_load(
 
     def _load(batch: DataFrame, epoch_id: int) -> None:
         name = stream_batch(spark, epoch_id)
+        job = name.rsplit("-", 1)[0]
+        if archive_dir and epoch_id:
+            settle_files(spark, warehouse, inbox, archive_dir, job, before=epoch_id)
         if archives:
             # paths only: the content is read member by member, in chunks
             chunks = materialize(member_chunks(batch.select(raw_path("path").alias("archive"))), "member-chunks")
@@ -90,6 +92,8 @@ def start_stream_load(
         # one row per file of the micro-batch: broadcast while that list is small, shuffle beyond
         lines = lines.join(F.broadcast(keep) if n_files <= 200_000 else keep, "source_file", "left_semi")
         load_lines(spark, lines, routes, warehouse, ledger_path, opts, batch=name)
+        if archive_dir:  # files of no candidate stay where they are
+            note_files(warehouse, routes.select(F.substring_index("source_file", "!/", 1).alias("path")), job, epoch_id)
 
     writer = stream.writeStream.foreachBatch(_load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{interval_seconds} seconds")
