@@ -2,8 +2,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
-from voltline.llm.common import blocks
+from voltline.llm.common import rewrite_texts, text_blocks
 from voltline.llm.sampling import bounded_sample
 from voltline.llm.textarrays import shingles, words_of
 
@@ -36,9 +37,20 @@ def test_lower_maps_ascii_capitals_only():
 
 
 def test_blocks_cover_all_texts():
-    texts = ["x" * n for n in (5, 0, 30, 1, 1, 1)]
-    parts = list(blocks(texts, 10))
-    assert [i for p in parts for i in range(p.start, p.stop)] == list(range(6)) and list(blocks([])) == []
+    texts = ["x" * 5, None, "é" * 15, "", "x", "x", "x"]
+    parts = list(text_blocks(pa.array(texts, pa.string()), 10))
+    assert [t for _, p in parts for t in p] == texts and [i for s, _ in parts for i in range(s.start, s.stop)] == list(range(7))
+    assert [len(p) for _, p in parts] == [2, 1, 4] and list(text_blocks(pa.array([], pa.string()))) == []
+    sliced = pa.array(["long ago", *texts, "x" * 99], pa.string()).slice(1, 7)
+    assert [t for _, p in text_blocks(sliced, 10) for t in p] == texts
+
+
+def test_rewritten_texts_keep_rows_and_columns(odd_docs):
+    got = rewrite_texts(odd_docs, "text", lambda t: t + "!")
+    assert got.schema == odd_docs.schema
+    want = [r.asDict() | {"text": None if r.text is None else r.text + "!"} for r in odd_docs.collect()]
+    key = lambda r: str(sorted((k, str(v)) for k, v in r.items()))
+    assert sorted((r.asDict() for r in got.collect()), key=key) == sorted(want, key=key)
 
 
 def test_bounded_sample_is_bounded_and_repeatable(spark):

@@ -86,3 +86,57 @@ def test_scores_of_joined_values_are_those_of_their_text():
             at += len(w)
         k = rng.randint(0, len(parts))
         assert S.Value(text, [S.Value(text, parts[:k]), *parts[k:]]).score() == S.literal_score(text), words
+
+
+def test_more_forms_of_targets_and_values():
+    v = "Zx81!qPv#77w"
+    long_name = "password_" + "x" * 1000
+    for t in (
+        f'os.environ["DB_PASSWORD"] = "{v}"', f"conf['client_secret'] = '{v}'", f'password = """{v}"""', f"pwd = \'\'\'{v}\'\'\'", f'client.set_password("{v}")',
+        f'withApiKey( "{v}")', f'login(user="me", passphrase="{v}")', f'pwd = r"{v}"', f'{long_name} = "{v}"',
+        f'password:\n  value: "{v}"', f'db:\n  passphrase:\n    # the one\n    first: "{v}"\n', f'"passwd": {{\n  "value": "{v}"\n}}',
+    ):
+        assert literals(t) == [v], t
+    for t in (f'get_token("{v}")', f'other:\n  value: "{v}"', f'password:\n  a: b\nname: "{v}"', f'x["other"] = "{v}"', "passphrase:\n  note: remember\n", f'print("{v}")'):
+        assert literals(t) == [], t
+
+
+def test_names_may_be_given_later_and_inside_literals():
+    v = "Zx81!qPv#77w"
+    assert literals(f'db_pwd = LATER\nLATER = AGAIN\nAGAIN = "{v}"') == [v]
+    assert literals(f'V = "{v}"\npassphrase = "${{V}}"') == [v] and literals(f'V = "{v}"\npassphrase = f"{{V}}"') == [v]
+    assert literals(f'V = "{v}"\npassphrase = "pre-%(V)s"') == [v, "pre-%(V)s"]
+    assert literals('pwd = "${NOT_KNOWN}"') == [] == literals("pwd = a\na = b\nb = a\n")
+    assert literals(f'V = "{v}"\ndb_pwd = V\nV = "none"') == [v]  # the last one before it
+    chain = "".join(f"c{i} = c{i + 1}\n" for i in range(3000)) + f'c3000 = "{v}"\npassphrase = c0'
+    assert literals(chain) == [v]
+
+
+def test_deep_and_long_texts_take_linear_time():
+    assert S.scan("a:\n" + "".join(f"{' ' * (i % 200)}k{i}:\n" for i in range(20_000)))[1] == []
+    assert S.scan("x" * 300_000 + "=1;" + "y.z" * 100_000 + ":2")[1] == []
+    assert S.scan('set("' * 20_000)[1] == []
+
+
+def test_added_spans_against_a_plain_reading():
+    """Flat assignments of quoted literals and names: every value followed by hand."""
+    rng = random.Random(8)
+    names = ["host", "db_pwd", "secretKey", "a", "b", "c", "auth_token"]
+    for _ in range(1500):
+        lines = [(rng.choice(names), rng.choice(["Zx81!qPv#77w", "plain", "0123-abc-XYZ", "localhost"]) if rng.random() < 0.6 else None, rng.choice(names)) for _ in range(rng.randint(1, 7))]
+        text, at, spans = "", 0, []
+        for n, lit, ref in lines:
+            text += f'{n} = "{lit}"\n' if lit else f"{n} = {ref}\n"
+            spans.append((len(text) - 2 - len(lit), len(text) - 2) if lit else None)
+        want = set()
+        for i, (n, _, _) in enumerate(lines):
+            j, seen = i, set()
+            while j is not None and lines[j][1] is None and j not in seen:
+                seen.add(j)
+                before = [k for k in range(j) if lines[k][0] == lines[j][2]]
+                after = [k for k in range(j + 1, len(lines)) if lines[k][0] == lines[j][2]]
+                j = before[-1] if before else after[0] if after else None
+            if j is not None and lines[j][1] and S.name_score(n) + S.literal_score(lines[j][1]) >= S.THRESHOLD:
+                want.add(spans[j])
+        got = [x for x in S.lexed_secrets(text) if text[x[0] - 1] == '"']
+        assert set(got) == want, text

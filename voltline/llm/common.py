@@ -6,9 +6,11 @@ columns of the input, also ones named like an output, never clash. A null text c
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,27 +20,37 @@ ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
     "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
 }
-#: Characters of text that a Python task turns into arrays at once; a longer text is a block of its own.
-BLOCK_CHARS = 1 << 20
+#: Bytes of text that a Python task turns into arrays at once; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def blocks(texts: list[str], limit: int = BLOCK_CHARS) -> Iterator[slice]:
-    """Slices of consecutive texts of about ``limit`` characters together."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
+def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[slice, list[str | None]]]:
+    """Slices of a column of texts, of about ``limit`` bytes each, with their texts: only these are Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > limit:
+            yield slice(start, i), column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield slice(start, len(sizes)), column.slice(start).to_pylist()
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, fn: Callable[[list[str]], dict], fields: dict[str, str], limit: int = BLOCK_CHARS) -> DataFrame:
+def settle() -> None:
+    """Give memory that Arrow and the C library hold unused back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_texts(df: DataFrame, id_col: str, text_col: str, fn: Callable[[list[str]], dict], fields: dict[str, str], limit: int = BLOCK_BYTES) -> DataFrame:
     """``fn`` over blocks of texts: one output row for each input row, the id in front.
 
     ``fields`` maps output columns to Spark types (keys of ``ARROW``); ``fn`` returns a sequence for each.
@@ -50,27 +62,46 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, fn: Callable[[list[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in blocks(texts, limit):
-                out = fn(texts[part])
+            for part, texts in text_blocks(batch.column(1), limit):
+                out = fn(texts)
                 cols = [batch.column(0).slice(part.start, part.stop - part.start)]
                 cols += [pa.array(out[k], type=ARROW[v]) for k, v in fields.items()]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        settle()
 
     schema = ", ".join(f"`{k}` {v}" for k, v in [(id_col, id_type), *fields.items()])
     return src.mapInArrow(run, schema)
 
 
 def keep_texts(df: DataFrame, text_col: str, keep: Callable[[list[str]], Iterable[bool]]) -> DataFrame:
-    """The rows of ``df``, all columns as they are, whose text ``keep`` accepts; it is given blocks of texts."""
+    """The rows of ``df``, all columns as they are, whose text ``keep`` accepts; it is given blocks of texts.
+
+    A null text is judged as the empty one, each of several equal rows by itself; a text of any length is given whole;
+    an empty table stays empty."""
+    ship_package(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in text_blocks(batch.column(at)):
+                yield batch.slice(part.start, part.stop - part.start).filter(pa.array(keep([t or "" for t in texts]), pa.bool_()))
+        settle()
+
+    return df.mapInArrow(run, df.schema)
+
+
+def rewrite_texts(df: DataFrame, text_col: str, fn: Callable[[str], str]) -> DataFrame:
+    """``df`` with ``fn`` of each text in its place; null texts stay null, all rows and other columns as they are."""
     ship_package(df.sparkSession)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for part in blocks(texts):
-                yield batch.slice(part.start, part.stop - part.start).filter(pa.array(keep(texts[part]), pa.bool_()))
+            for part, texts in text_blocks(batch.column(at)):
+                cols = batch.slice(part.start, part.stop - part.start).columns
+                cols[at] = pa.array([None if t is None else fn(t) for t in texts], batch.schema.types[at])
+                yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+        settle()
 
     return df.mapInArrow(run, df.schema)
 
