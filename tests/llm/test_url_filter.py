@@ -27,4 +27,16 @@ def test_rules_terms_and_sql(spark):
 
 
 def test_hits_count_strict_and_distinct_soft():
-    assert U.hits("casino/casino?free&free=win") == (2, 2) and U.hits("freewin") == (0, 0) and U.hits("Éfree-") == (0, 1)
+    assert U.hits("casino/casino?free&free=win") == (2, 2, 2.0) and U.hits("freewin") == (0, 0, 0.0) and U.hits("Éfree-") == (0, 1, 1.0)
+
+
+def test_a_vocabulary_from_a_table(spark):
+    rows = [("Poker", "strict", None), ("poker", "soft", 9.0), ("slot", "soft", 0.5), ("slot", "soft", 0.75), ("dice", "soft", None), ("card", "soft", 2.0), ("", "soft", 1.0), (None, "soft", 1.0), ("x", "other", 1.0)]
+    terms = spark.createDataFrame(rows, "term string, kind string, weight double")
+    words = U.Vocabulary.read(terms, least_distinct=2, least_weight=1.75)
+    assert words == U.Vocabulary(("poker",), (("card", 2.0), ("dice", 1.0), ("slot", 0.75)), 2, 1.75)
+    pages = spark.createDataFrame([(1, "http://a.org/POKER"), (2, "http://a.org/card"), (3, "http://slot.org/dice/slot"), (4, "http://slot.org/cards"), (5, "http://a.org/card-slot")], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.n_soft, r.soft_weight) for r in U.url_verdicts(pages, words=words, rules=[]).collect()}
+    assert got == {1: ("block", 0, 0.0), 2: ("allow", 1, 2.0), 3: ("block", 2, 1.75), 4: ("allow", 1, 0.75), 5: ("block", 2, 2.75)}
+    empty = U.Vocabulary.read(terms.limit(0))
+    assert {r.verdict for r in U.url_verdicts(pages, words=empty, rules=[]).collect()} == {"allow"}
