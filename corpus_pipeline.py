@@ -1,6 +1,9 @@
 """The corpus pipeline: quality rules, quality classifier, near duplicates, secret masking, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+Null texts count as empty and so fail the quality rules; rows that repeat an id or a text are rows of their own, of
+which the near-duplicate stage keeps the first; texts of any length go through whole; an empty table stays empty;
+further columns pass unchanged.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from voltline.llm.packing import pack
 from voltline.llm.quality_rules import keep_regular
 from voltline.llm.secret_scans import mask_secrets
 from voltline.llm.set_join import keep_one
-from voltline.session import materialize
+from voltline.session import drop_scratch, materialize, scratch_made
 
 #: Near duplicates in the pipeline: five-word shingles, similarity 0.8 or more.
 NEAR = Similarity(shingle=5, num=80, den=100)
@@ -59,10 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over all documents; each result but the last is written once."""
+    """The stages in order over all documents; each result but the last is written once.
+
+    When a stage's result is written, what the stage wrote on its way, and the result before it, is deleted."""
     docs = table(spark, sf_dir, "documents")
+    older = scratch_made()
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialize(docs, name.replace(" ", "-"))
+            drop_scratch(spark, [p for p in scratch_made()[:-1] if p not in older])  # the last is the result
     return docs

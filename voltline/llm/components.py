@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from voltline.session import materialize
+from voltline.session import drop_frame, materialize
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, int, int]:
@@ -41,7 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
     while n:
         nxt, m, g = _written(_small_star(_large_star(now)))
         if (m, g) == (n, h):
+            drop_frame(nxt)
             break
+        drop_frame(now)
         now, n, h = nxt, m, g
     # at the end every node but the least links to the least
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

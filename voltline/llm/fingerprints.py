@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import BLOCK_CHARS, map_texts, table
-from voltline.llm.linking import Similarity, classes_of, named, sets_of, text_key, with_components
+from voltline.llm.common import map_texts, table
+from voltline.llm.linking import PARITY, Similarity, named, rows_and_classes, sets_of, text_key, with_components
 from voltline.llm.textarrays import mix, shingles, words_of
-from voltline.session import materialize, ship_package
+from voltline.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class MinHashConfig:
     seed: int = 11
     band_rows: int = 4  # perms / band_rows bands: at Jaccard 0.8 a pair shares none of 32 bands once in 2 * 10^7
     similarity: tuple[int, int] = (80, 100)
+    rounds: int = 4  # of neighbour proposals: a hot band's list has no positions that exclude pairs
 
     @property
     def sets(self) -> Similarity:
@@ -99,9 +100,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Equal sets are one class before the bands are joined, lists of a hot band are cut into blocks, and a candidate's
     similarity is exact. Texts without words are alone; null ids as in the set join."""
-    rows = materialize(band_rows(docs.select(id_col, text_col), id_col, text_col, cfg), "bands")
-    classes = classes_of(rows, id_col)
-    return named(rows, with_components(classes, docs, text_col, cfg.sets, positional=False), id_col)
+    rows, classes = rows_and_classes(band_rows(docs.select(id_col, text_col), id_col, text_col, cfg), id_col)
+    return named(rows, with_components(classes, docs, text_col, cfg.sets, positional=False, rounds=cfg.rounds, folded=PARITY), id_col)
 
 
 # --- a document, its edited text and the next document ----------------------------------------
@@ -112,6 +112,8 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
+#: Characters of consecutive documents that are fingerprinted at once.
+CHAIN_CHARS = 1 << 18
 GROUP = {"n_shingles": "long", "component_id": "long"}
 EDIT = {"n_chars": "long", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"}
 
@@ -201,7 +203,7 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         yield emit(chain, t)
                         chain, done = [], True
                     continue
-                if chain and size > BLOCK_CHARS:
+                if chain and size > CHAIN_CHARS:
                     yield emit(chain, t)
                     chain, size = [], 0
                 chain.append((i, t, *known[key]) if groups_too else (i, t))
@@ -224,4 +226,6 @@ def likeness_and_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op10_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``likeness_and_copies`` of every whole text of ``documents``: null texts count as empty, equal texts have equal fingerprints,
+    documents follow by id, then text; an empty table gives no rows."""
     return likeness_and_copies(table(spark, sf_dir, "documents"))

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from voltline.llm.components import components
 from voltline.llm.textarrays import mix, shingles, words_of
-from voltline.session import materialize, ship_package
+from voltline.session import drop_frame, drop_scratch, materialize, scratch_made, ship_package
 
 #: Rows of a table of (long, long) that may be broadcast, counted before.
 BROADCAST_ROWS = 500_000
@@ -43,7 +43,7 @@ BROADCAST_ROWS = 500_000
 BLOCK = 256
 #: Rounds of neighbour proposals before all remaining pairs are looked for.
 ROUNDS = 2
-#: Bits of a class's parity bitmap, and of its folded form in the blocks.
+#: Bits of a class's parity bitmap, and of its folded form in the blocks of the exact prefix lists.
 PARITY, FOLDED = 1024, 256
 
 
@@ -112,7 +112,9 @@ def _texts(docs: DataFrame, text_col: str, wanted: DataFrame, sim: Similarity) -
     keys = wanted.select("tkey").distinct()
     found = src.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, "tkey", "left_semi")
     one = found.groupBy("tkey").agg(F.first("text").alias("text"))
-    return materialize(wanted.select("sid", "tkey").join(one, "tkey").select("sid", "text"), "texts")
+    texts = materialize(wanted.select("sid", "tkey").join(one, "tkey").select("sid", "text"), "texts")
+    drop_frame(wanted)
+    return texts
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, sim: Similarity) -> DataFrame:
@@ -241,13 +243,13 @@ def _neighbours(lists: DataFrame, turn: int, sim: Similarity) -> DataFrame:
 _BLOCK_SCHEMA = "key long, part long, sids array<long>, ns array<long>, rests array<long>, comps array<long>, bits binary, n_lo long, n_hi long, rest_hi long, c_lo long, c_hi long"
 
 
-def _blocks(entries: DataFrame) -> DataFrame:
+def _blocks(entries: DataFrame, folded: int) -> DataFrame:
     """Blocks of the lists (key, n, pos, sid, comp, bits) of more than one component, or that may go on in another task."""
     kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] * 4 + [pa.binary()] + [pa.int64()] * 5
     names = [c.split()[0] for c in _BLOCK_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_bits = np.empty((0, 5), np.int64), np.empty((0, FOLDED // 8), np.uint8)
+        held, held_bits = np.empty((0, 5), np.int64), np.empty((0, folded // 8), np.uint8)
         whole = True  # keep the next list whatever its components: it may spread over tasks
 
         def blocks_of(rows: np.ndarray, bits: np.ndarray) -> list[tuple]:
@@ -265,7 +267,7 @@ def _blocks(entries: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns[:5]], 1)])
-            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, FOLDED // 8)
+            new = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, folded // 8)
             bits = np.concatenate([held_bits, new])
             cuts = np.concatenate([[0], np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1])
             out: list[tuple] = []
@@ -287,7 +289,7 @@ def _blocks(entries: DataFrame) -> DataFrame:
     return _sorted_lists(entries.select("key", "n", "pos", "sid", "comp", "bits"), "key", "n", "pos", "sid").mapInArrow(run, _BLOCK_SCHEMA)
 
 
-def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFrame:
+def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool, folded: int) -> DataFrame:
     """Distinct (a, b) of different components in one list that the bounds don't exclude."""
     numbered, n = materialize(blocks.withColumn("id", F.monotonically_increasing_id()), "blocks", with_count=True)
     # lists of one block that is alone hold only their own pairs; the join is on the key, larger sizes to the right
@@ -311,7 +313,7 @@ def _block_pairs(blocks: DataFrame, sim: Similarity, positional: bool) -> DataFr
                 if positional:
                     ok &= (1 + np.minimum(rl[:, None], rr)) * (sim.num + sim.den) >= (small + large) * sim.num
                 x, y = np.nonzero(ok)
-                bl, br = (np.frombuffer(col[f"{s}_bits"][i].as_py(), np.uint64).reshape(-1, FOLDED // 64) for s in "lr")
+                bl, br = (np.frombuffer(col[f"{s}_bits"][i].as_py(), np.uint64).reshape(-1, folded // 64) for s in "lr")
                 apart = np.bitwise_count(bl[x] ^ br[y]).sum(1, dtype=np.int64)
                 near = apart * (sim.den + sim.num) <= (nl[x] + nr[y]) * (sim.den - sim.num)
                 a.append(np.minimum(sl[x], sr[y])[near])
@@ -334,6 +336,15 @@ def classes_of(rows: DataFrame, id_col: str) -> DataFrame:
     return materialize(one.withColumn("sid", F.monotonically_increasing_id()), "classes")
 
 
+def rows_and_classes(rows: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, n, k1, k2) of each row, and the classes; the rows' index keys are written once and deleted when the classes hold them."""
+    wide = materialize(rows, "sets")
+    classes = classes_of(wide, id_col)
+    lean = materialize(wide.select(id_col, "n", "k1", "k2"), "set-keys")
+    drop_frame(wide)
+    return lean, classes
+
+
 def named(rows: DataFrame, grouped: DataFrame, id_col: str) -> DataFrame:
     """Each row with the least id of its class's component."""
     grouped = grouped.select("k1", "k2", "rep", "component")
@@ -358,11 +369,17 @@ def _bitmaps_near(sim: Similarity):
     return near
 
 
-@F.pandas_udf(T.BinaryType())
-def _folded(parity: pd.Series) -> pd.Series:
-    """Bitmaps of ``FOLDED`` bits; a folded bit is the parity of the bits it stands for."""
-    rows = np.frombuffer(b"".join(map(bytes, parity)), np.uint8).reshape(-1, PARITY // FOLDED, FOLDED // 8)
-    return pd.Series([r.tobytes() for r in np.bitwise_xor.reduce(rows, axis=1)])
+def _folded(parity: str, folded: int) -> Column:
+    """Bitmaps of ``folded`` bits; a folded bit is the parity of the bits it stands for."""
+    if folded == PARITY:
+        return F.col(parity)
+
+    @F.pandas_udf(T.BinaryType())
+    def fold(parity: pd.Series) -> pd.Series:
+        rows = np.frombuffer(b"".join(map(bytes, parity)), np.uint8).reshape(-1, PARITY // folded, folded // 8)
+        return pd.Series([r.tobytes() for r in np.bitwise_xor.reduce(rows, axis=1)])
+
+    return fold(parity)
 
 
 class _Answers:
@@ -393,7 +410,10 @@ class _Answers:
         ids = left_open.select(F.col("a").alias("sid")).unionByName(left_open.select(F.col("b").alias("sid"))).distinct()
         texts = _texts(self.docs, self.text_col, self.classes.join(ids, "sid", "left_semi").select("sid", "tkey"), sim)
         slow = _compared(left_open, texts, sim).where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b")
-        return materialize(seen.where("link").select("a", "b").unionByName(slow), "links")
+        links = materialize(seen.where("link").select("a", "b").unionByName(slow), "links")
+        for done in (pairs, seen, texts):
+            drop_frame(done)
+        return links
 
 
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -403,15 +423,26 @@ def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
         return comp
     joined = components(across.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     new = comp.join(joined.select(F.col("node").alias("comp"), "component"), "comp", "left")
-    return materialize(new.select("sid", F.coalesce("component", "comp").alias("comp")), "comps")
+    merged = materialize(new.select("sid", F.coalesce("component", "comp").alias("comp")), "comps")
+    drop_frame(links)
+    drop_frame(comp)
+    return merged
+
 
+def with_components(classes: DataFrame, docs: DataFrame, text_col: str, sim: Similarity, positional: bool, rounds: int = ROUNDS, folded: int = FOLDED) -> DataFrame:
+    """``classes`` (sid, k1, k2, n, tkey, parity, keys) with ``component``: the least sid that links reach.
 
-def with_components(classes: DataFrame, docs: DataFrame, text_col: str, sim: Similarity, positional: bool) -> DataFrame:
-    """``classes`` (sid, k1, k2, n, tkey, parity, keys) with ``component``: the least sid that links reach."""
+    What is written on the way is deleted as soon as nothing reads it: ``classes`` too, once its keys are in lists.
+    ``rounds`` of neighbour proposals come before the blocks, whose bitmaps have ``folded`` bits: more of either leave
+    fewer pairs to compare. They steer work, never results."""
     ship_package(classes.sparkSession)
+    older = scratch_made()
     able = classes.where(F.col("n") >= sim.least_size)
     entries = able.select(F.posexplode("keys").alias("pos", "key"), F.col("n").cast("long").alias("n"), "sid").select("key", "n", F.col("pos").cast("long").alias("pos"), "sid")
     live, n = materialize(_live_lists(entries, sim, positional), "live", with_count=True)
+    lean = materialize(classes.drop("keys"), "class-facts")
+    drop_frame(classes)
+    classes = lean
     if not n:
         return classes.withColumn("component", F.col("sid"))
     width = F.col("n") - F.ceil(F.col("n") * sim.num / sim.den) + 1 if positional else F.lit(8)
@@ -419,11 +450,14 @@ def with_components(classes: DataFrame, docs: DataFrame, text_col: str, sim: Sim
     ids = heads.select("sid").unionByName(heads.select(F.col("head").alias("sid"))).distinct()
     texts = _texts(docs, text_col, classes.join(ids, "sid", "left_semi").select("sid", "tkey"), sim)
     star = materialize(_compared(heads.select(F.col("sid").alias("a"), F.col("head").alias("b")), texts, sim), "stars")
+    drop_frame(texts)
+    drop_frame(heads)
     answers = _Answers(classes.select("sid", "n", "tkey", "parity"), docs, text_col, sim, star)
     comp = materialize(live.select("sid").distinct().withColumn("comp", F.col("sid")), "comps")
     comp = _merged(comp, star.where(_links(F.col("d"), F.col("na") + F.col("nb"), sim)).select("a", "b"))
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         comp = _merged(comp, answers.links(_neighbours(live.join(comp, "sid"), turn, sim)))
-    lists = live.join(comp, "sid").join(classes.select("sid", _folded("parity").alias("bits")), "sid")
-    comp = _merged(comp, answers.links(_block_pairs(_blocks(lists), sim, positional)))
+    lists = live.join(comp, "sid").join(classes.select("sid", _folded("parity", folded).alias("bits")), "sid")
+    comp = _merged(comp, answers.links(_block_pairs(_blocks(lists, folded), sim, positional, folded)))
+    drop_scratch(comp.sparkSession, [p for p in scratch_made() if p not in (*older, lean.scratch_path, comp.scratch_path)])
     return classes.join(comp, "sid", "left").withColumn("component", F.coalesce("comp", "sid")).drop("comp")

@@ -2,7 +2,7 @@
 
 A document's ids (with its end id) are first cut into full windows; the tails, longest first, go to the open window
 with the tightest remaining capacity that holds them, found by a segment tree over capacities. Tails are dealt by a
-row number into groups of about ``group_pieces`` (their number follows the data), each packed by one task; full
+hash of their row numbers into groups of about ``group_pieces`` (their number follows the data), each packed by one task; full
 windows are sequences of their own and are not moved. Only piece records are shuffled unless ids are asked for.
 """
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import ARROW, blocks, table
+from voltline.llm.common import ARROW, settle, table, text_blocks
 from voltline.llm.wordbpe import encoder
 from voltline.session import materialize, ship_package
 
@@ -77,6 +77,8 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[tuple[int, int]
     return out
 
 
+#: Bytes of text encoded at once: the new words of a block go through one merge call.
+ENCODE_BYTES = 1 << 20
 PIECE = {"start": "long", "length": "long", "ids_crc32": "long", "doc_tokens": "long"}
 
 
@@ -91,11 +93,10 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, cfg: PackConfig, keep_id
         enc = encoder(cfg.tokenizer_path)
         end = cfg.end_id.to_bytes(4, "little")
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for part in blocks(texts):
+            for part, texts in text_blocks(batch.column(1), ENCODE_BYTES):
                 rows: list[tuple] = []
                 owner: list[int] = []
-                for i, ids in enumerate(enc.encode(texts[part])):
+                for i, ids in enumerate(enc.encode(texts)):
                     ids += end
                     for s in range(0, len(ids), step):
                         own = ids[s : s + step]
@@ -104,6 +105,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, cfg: PackConfig, keep_id
                 cols = [batch.column(0).take(pa.array(owner))]
                 cols += [pa.array([r[k] for r in rows], ARROW[t]) for k, t in enumerate(fields.values())]
                 yield pa.RecordBatch.from_arrays(cols, names=[id_col, *fields])
+        settle()
 
     schema = ", ".join(f"`{k}` {v}" for k, v in [(id_col, src.schema["_id"].dataType.simpleString()), *fields.items()])
     return src.mapInArrow(run, schema)
@@ -138,4 +140,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: P
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pack`` of all of ``documents`` into windows of 2,048 ids; a null text is its end id alone, texts of any length are cut whole."""
     return pack(table(spark, sf_dir, "documents"))

@@ -54,7 +54,7 @@ def doubling_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, l
     """
     n = len(symbols)
     rank, order = _dense(symbols)
-    levels, k = [rank], 1
+    levels, k = [rank.astype(np.int32)], 1
     while True:
         size = np.bincount(rank, minlength=n)
         active = order[size[rank[order]] > 1]  # in rank order
@@ -71,7 +71,7 @@ def doubling_ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, l
         rank, order = rank.copy(), order.copy()
         order[old + at - run] = moved
         rank[moved] = old + group - run
-        levels.append(rank)
+        levels.append(rank.astype(np.int32))
         k *= 2
 
 
@@ -84,7 +84,7 @@ def longest_repeats(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     a, b = order[:-1], order[1:]
     lcp = np.zeros(n - 1, np.int64)
     for k in range(len(levels) - 1, -1, -1):
-        r = np.append(levels[k], -1)
+        r = np.append(levels.pop(), np.int32(-1))
         same = r[np.minimum(a + lcp, n)] == r[np.minimum(b + lcp, n)]
         lcp += same.astype(np.int64) << k
     best = np.zeros(n, np.int64)
@@ -169,4 +169,5 @@ def keep_regular(docs: DataFrame, text_col: str = "text", limits: RepetitionLimi
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``repetition_rules`` of every whole text of ``documents``, with the production limits."""
     return repetition_rules(table(spark, sf_dir, "documents"))

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import blocks, map_texts, table
-from voltline.llm.linking import BROADCAST_ROWS, Similarity, classes_of, named, sets_of, text_key, with_components
+from voltline.llm.common import map_texts, table, text_blocks
+from voltline.llm.linking import BROADCAST_ROWS, Similarity, named, rows_and_classes, sets_of, text_key, with_components
 from voltline.llm.textarrays import shingles, words_of
 from voltline.session import materialize, ship_package
 
@@ -32,9 +32,8 @@ def shingle_counts(docs: DataFrame, text_col: str, sim: Similarity) -> np.ndarra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in blocks(texts):
-                _, h = shingles(words_of(texts[part], sim.lower), sim.shingle)
+            for _, texts in text_blocks(batch.column(0)):
+                _, h = shingles(words_of(texts, sim.lower), sim.shingle)
                 total += np.bincount((h >> np.uint64(45)).astype(np.int64), minlength=SKETCH)
         yield rows(range(SLICES), [total[i * width : (i + 1) * width] for i in range(SLICES)])
 
@@ -80,8 +79,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A text without words (null, empty, blank) has no shingles and is alone. Rows of equal texts share a component;
     a null id never names a component unless all its rows' ids are null. An empty table gives no rows.
     """
-    rows = materialize(set_rows(docs.select(id_col, text_col), id_col, text_col, sim), "sets")
-    classes = classes_of(rows, id_col)
+    rows, classes = rows_and_classes(set_rows(docs.select(id_col, text_col), id_col, text_col, sim), id_col)
     return named(rows, with_components(classes, docs, text_col, sim, positional=True), id_col)
 
 
@@ -105,4 +103,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all of ``documents`` by three-word shingles at 0.9; documents without words are alone, repeats are one set."""
     return similar_components(table(spark, sf_dir, "documents"))

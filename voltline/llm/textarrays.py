@@ -12,7 +12,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes whose hash terms are held at once.
-_HASH_BYTES = 1 << 21
+_HASH_BYTES = 1 << 18
 _powers = np.ones(1, np.uint64)
 
 
