@@ -213,7 +213,7 @@ class ParsedReport:
         staged = spark.read.schema(schema).parquet(path)
         # every table's columns: in the order of the headers, then of the fields; names that differ in case only are one
         used = self.sections.filter("file_ok").join(routes.select("source_file", F.lower("table_name").alias("route")), "source_file").select("route", "layout_id").distinct()
-        fields = used.join(self.registry, "layout_id").select("route", "header", F.posexplode("names").alias("at", "name"))
+        fields = used.join(self.registry.filter(F.col("problem").isNull()), "layout_id").select("route", "header", F.posexplode("names").alias("at", "name"))
         firsts = fields.groupBy("route", F.upper("name").alias("key")).agg(F.min(F.struct("header", "at", "name")).alias("first"))
         columns: dict[str, list[str]] = {}
         for r in firsts.orderBy("route", "first.header", "first.at").collect():
