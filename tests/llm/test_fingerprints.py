@@ -79,3 +79,9 @@ def test_query_returns_near_copies_of_the_whole_table(spark, odd_docs, no_docs):
     assert sorted((r.n_chars, r.n_shingles, r.component_id) for r in odd if r.doc_id == 4) == [(1, 1, 4), (1, 1, 4), (30, 2, 4)]
     assert {r.doc_id: r.component_id for r in odd if r.doc_id in (0, 7)} == {0: 0, 7: 0}
     assert all(r.component_id is None for r in odd if r.doc_id is None)
+
+
+def test_large_ids_beside_a_null_follow_exactly(spark):
+    rows = [(None, "none at all")] + [((1 << 53) + 1 + i, f"text {i} with words {i * i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected(rows, {r.doc_id: r for r in P.edit_likeness(docs).collect()})

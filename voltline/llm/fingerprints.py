@@ -151,10 +151,11 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     null_target = before.get(None, -1)
 
     @F.pandas_udf("int")
-    def halo_of(x: pd.Series) -> pd.Series:
-        return pd.Series([null_target if pd.isna(v) else look.get(int(v), -1) for v in x], dtype="int32")
+    def halo_of(x: pd.Series, none: pd.Series) -> pd.Series:
+        return pd.Series([null_target if no else look.get(v, -1) for v, no in zip(x.tolist(), none.tolist())], dtype="int32")
 
-    own = src.withColumn("_range", range_of("_id")).withColumn("_halo", halo_of("_id"))
+    # ids without nulls stay whole numbers, however large
+    own = src.withColumn("_range", range_of("_id")).withColumn("_halo", halo_of(F.coalesce("_id", F.lit(0)), F.col("_id").isNull()))
     copies = F.when(F.col("_halo") >= 0, F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("h")), F.struct(F.col("_halo").alias("r"), F.lit(True).alias("h"))))
     copies = copies.otherwise(F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("h"))))
     dealt = own.select("_id", "_text", "_tkey", F.explode(copies).alias("_at")).select(F.col("_at.r").alias("_range"), F.col("_at.h").alias("_next"), "_id", "_text", "_tkey")
@@ -162,7 +163,7 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         facts = groups.select(F.col("_who.id").alias("_id"), F.col("_who.text").alias("_tkey"), F.col("n_shingles").alias("_n"), F.col("component_id.id").alias("_least"))
         facts = facts.select(range_of("_id").alias("_range"), F.lit(False).alias("_next"), "_id", F.lit(None).cast("string").alias("_text"), "_tkey", "_n", "_least")
         dealt = dealt.unionByName(facts, allowMissingColumns=True)
-    sorted_rows = dealt.repartition(parts, "_range").sortWithinPartitions("_range", "_next", F.col("_id").asc_nulls_first(), "_text")
+    sorted_rows = dealt.repartitionById(parts, F.col("_range")).sortWithinPartitions("_range", "_next", F.col("_id").asc_nulls_first(), "_text")
 
     groups_too = groups is not None
 
