@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import table
+from voltline.llm.common import small_batches, table
 from voltline.llm.line_quality import keep_good, trained_on
 from voltline.llm.linking import Similarity
 from voltline.llm.packing import pack
@@ -67,9 +67,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     When a stage's result is written, what the stage wrote on its way, and the result before it, is deleted."""
     docs = table(spark, sf_dir, "documents")
     older = scratch_made()
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialize(docs, name.replace(" ", "-"))
-            drop_scratch(spark, [p for p in scratch_made()[:-1] if p not in older])  # the last is the result
+    with small_batches(spark):
+        for i, (name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if i + 1 < len(STAGES):
+                docs = materialize(docs, name.replace(" ", "-"))
+                drop_scratch(spark, [p for p in scratch_made()[:-1] if p not in older])  # the last is the result
     return docs

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,6 +42,23 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[sl
         yield slice(start, len(sizes)), column.slice(start).to_pylist()
 
 
+#: Rows of an Arrow batch of whole texts: with Spark's default of 10,000 a batch of two texts a row takes 100 MB on either side.
+BATCH_ROWS = 1_000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside hand Python workers ``BATCH_ROWS`` rows at a time at most; the session's setting comes back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    if not 0 < int(old) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def settle() -> None:
     """Give memory that Arrow and the C library hold unused back to the system: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

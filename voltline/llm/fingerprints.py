@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import map_texts, table
+from voltline.llm.common import map_texts, small_batches, table
 from voltline.llm.linking import PARITY, Similarity, named, rows_and_classes, sets_of, text_key, with_components
 from voltline.llm.textarrays import mix, shingles, words_of
 from voltline.session import ship_package
@@ -100,8 +100,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Equal sets are one class before the bands are joined, lists of a hot band are cut into blocks, and a candidate's
     similarity is exact. Texts without words are alone; null ids as in the set join."""
-    rows, classes = rows_and_classes(band_rows(docs.select(id_col, text_col), id_col, text_col, cfg), id_col)
-    return named(rows, with_components(classes, docs, text_col, cfg.sets, positional=False, rounds=cfg.rounds, folded=PARITY), id_col)
+    with small_batches(docs.sparkSession):
+        rows, classes = rows_and_classes(band_rows(docs.select(id_col, text_col), id_col, text_col, cfg), id_col)
+        return named(rows, with_components(classes, docs, text_col, cfg.sets, positional=False, rounds=cfg.rounds, folded=PARITY), id_col)
 
 
 # --- a document, its edited text and the next document ----------------------------------------

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltline.llm.common import map_texts, table, text_blocks
+from voltline.llm.common import map_texts, small_batches, table, text_blocks
 from voltline.llm.linking import BROADCAST_ROWS, Similarity, named, rows_and_classes, sets_of, text_key, with_components
 from voltline.llm.textarrays import shingles, words_of
 from voltline.session import materialize, ship_package
@@ -79,8 +79,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A text without words (null, empty, blank) has no shingles and is alone. Rows of equal texts share a component;
     a null id never names a component unless all its rows' ids are null. An empty table gives no rows.
     """
-    rows, classes = rows_and_classes(set_rows(docs.select(id_col, text_col), id_col, text_col, sim), id_col)
-    return named(rows, with_components(classes, docs, text_col, sim, positional=True), id_col)
+    with small_batches(docs.sparkSession):
+        rows, classes = rows_and_classes(set_rows(docs.select(id_col, text_col), id_col, text_col, sim), id_col)
+        return named(rows, with_components(classes, docs, text_col, sim, positional=True), id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim: Similarity = Similarity()) -> DataFrame:
