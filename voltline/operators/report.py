@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltline import catalog
@@ -33,6 +33,9 @@ from voltline.functions.text import drop_invalid_utf8, field_count, null_if_toke
 # section tables with at most this many rows are broadcast to the line scans
 BROADCAST_SECTIONS_MAX = 200_000
 
+# headers up to this number are analysed on the driver, more by tasks; the registry is the same
+LOCAL_LAYOUTS = 100
+
 STATUS_OK = "ok"
 STATUS_EMPTY = "no_header_or_data"
 STATUS_BAD_HEADER = "bad_header"
@@ -104,6 +107,13 @@ def layout_registry(headers: DataFrame) -> DataFrame:
     return headers.select(F.xxhash64("header").alias("layout_id"), "header").mapInArrow(run, REGISTRY_SCHEMA)
 
 
+def local_registry(spark: SparkSession, headers: list[str]) -> DataFrame:
+    """``layout_registry`` of a few headers that are at hand."""
+    found = [analyse_header(0, h) for h in headers]
+    rows = [(x.header, x.width, x.start_col, list(x.names), x.problem) for x in found]
+    return spark.createDataFrame(rows, REGISTRY_SCHEMA.split(", ", 1)[1]).select(F.xxhash64("header").alias("layout_id"), "*")
+
+
 def tag_lines(lines: DataFrame) -> DataFrame:
     """P1 + P2: decode, tag 'I'/'D' by exact prefix (no trim, case-sensitive), strip the right end."""
     decoded = lines.select("source_file", "file_name", "block_start", "line_id", drop_invalid_utf8("value").alias("value"))
@@ -292,8 +302,13 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
         )
     sec, n_sections = materialize(sec, "report-heads", with_count=True)
 
-    # layouts: one row per distinct header, analysed where they lie
-    registry, n_layouts = materialize(layout_registry(sec.select("header").distinct()), "report-layouts", with_count=True)
+    # layouts: one row per distinct header, analysed where they lie; a few are no job of their own
+    headers = sec.select("header").distinct()
+    few = [r["header"] for r in headers.limit(LOCAL_LAYOUTS + 1).collect()]
+    if len(few) <= LOCAL_LAYOUTS:
+        registry, n_layouts = local_registry(lines.sparkSession, few), len(few)
+    else:
+        registry, n_layouts = materialize(layout_registry(headers), "report-layouts", with_count=True)
     keyed = registry.select("layout_id", "header", "width", F.col("problem").isNull().alias("layout_ok"))
     sec = sec.join(F.broadcast(keyed) if n_layouts <= BROADCAST_SECTIONS_MAX else keyed, "header", "inner")
     parsed = ParsedReport(tagged, None, sec, registry, sections, n_sections, n_layouts)
