@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltline.operators.ledger import read_ledger
+from voltline.operators.render import write_report_files
 from voltline.plans.acquire import check_source, extract_plan, feeds_frame, plan_downloads
 from voltline.plans.load import LoadOptions, load_inbox
-from voltline.sources.archives import read_archives
+from voltline.sources.archives import read_archives, write_zip_archives
 from voltline.streaming.loader import start_stream_load
 
 HEAD = "I,TRADING,PRICE,2,SETTLEMENTDATE,RUNNO,REGIONID,PERIODID,RRP\n"
@@ -138,3 +139,49 @@ def test_period_grid_order_clamp_and_empty(spark):
     assert period_grid(spark, 2027, 2030, [1], "https://b/", current_year=2026).count() == 0
     url = period_grid(spark, 2026, 2026, [1], "https://b/").first()["url"]
     assert url == "https://b/2026/MMSDM_2026_01/MMSDM_Historical_Data_SQLLoader/DATA/"
+
+
+def _late_broadcast(spark, rows, names, key):
+    """``rows`` joined on ``key`` with few ``names``: planned as a shuffled join, found to be a broadcast one at run time."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(old, ("-1", "10m", "false")):
+        spark.conf.set(k, v)
+
+    def back():
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    return rows.join(names, key, "left_semi"), back
+
+
+def test_files_of_joined_lines_are_written_by_one_task_each(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    lines = spark.range(0, 40_000, 1, 4).select(
+        F.concat(F.lit("f"), F.col("id") % 3, F.lit(".csv")).alias("file_name"), F.lit(0).cast("bigint").alias("block_start"),
+        F.col("id").alias("line_id"), F.concat(F.lit("D,X,Y,1,"), F.col("id")).alias("value"))
+    names = spark.range(0, 1000, 1, 2).select(F.concat(F.lit("f"), F.col("id") % 3, F.lit(".csv")).alias("file_name")).distinct()
+    joined, back = _late_broadcast(spark, lines, names, "file_name")
+    try:
+        told = {r["file_name"]: r["lines"] for r in write_report_files(joined, d).collect()}
+    finally:
+        back()
+    for k in range(3):
+        with open(f"{d}/f{k}.csv") as f:
+            assert f.read().splitlines() == [f"D,X,Y,1,{i}" for i in range(k, 40_000, 3)]
+    assert told == {f"f{k}.csv": len(range(k, 40_000, 3)) for k in range(3)}
+
+
+def test_archives_of_joined_rows_are_written_by_one_task_each(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    rows = spark.range(0, 3_000, 1, 4).select(
+        F.concat(F.lit("a"), F.col("id") % 3, F.lit(".zip")).alias("archive"), F.lit(None).cast("string").alias("inner"),
+        F.concat(F.lit("m"), F.col("id")).alias("member"), F.encode(F.col("id").cast("string"), "UTF-8").alias("data"))
+    names = spark.range(0, 1000, 1, 2).select(F.concat(F.lit("a"), F.col("id") % 3, F.lit(".zip")).alias("archive")).distinct()
+    joined, back = _late_broadcast(spark, rows, names, "archive")
+    try:
+        write_zip_archives(joined, d).collect()
+    finally:
+        back()
+    for k in range(3):
+        with zipfile.ZipFile(f"{d}/a{k}.zip") as z:
+            assert sorted(z.namelist()) == sorted(f"m{i}" for i in range(k, 3_000, 3))

@@ -115,5 +115,7 @@ def write_report_files(lines: DataFrame, out_dir: str, newline: str = "\n") -> D
             yield pd.DataFrame({"file_name": [current], "lines": [count]})
 
     ship_package(lines.sparkSession)
-    ordered = lines.repartition("file_name").sortWithinPartitions("file_name", "block_start", "line_id")
+    # dealt by the name's hash: where lines come from a join on the name, Spark takes a repartition by the name itself
+    # for done and may then split the join's partitions, so that two tasks would write one file
+    ordered = lines.repartition(F.xxhash64("file_name")).sortWithinPartitions("file_name", "block_start", "line_id")
     return ordered.select("file_name", "value").mapInPandas(_write, "file_name string, lines long")

@@ -190,5 +190,6 @@ def write_zip_archives(rows: DataFrame, out_dir: str) -> DataFrame:
             yield pd.DataFrame([done], columns=["archive", "members"])
 
     ship_package(rows.sparkSession)
-    ordered = rows.repartition("archive").sortWithinPartitions("archive", "inner", "member")
+    # dealt by the name's hash, see ``render.write_report_files``: one task writes an archive, whatever join rows come from
+    ordered = rows.repartition(F.xxhash64("archive")).sortWithinPartitions("archive", "inner", "member")
     return ordered.select("archive", "inner", "member", "data").mapInPandas(_write, "archive string, members long")
