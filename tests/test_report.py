@@ -182,3 +182,43 @@ def test_more_layouts_than_ever_and_one_is_bad(make_lines):
     assert len(status) == n and {k: v for k, v in status.items() if v != "ok"} == {"f7.CSV": "bad_header"}
     staged = parsed.stage(lines.selectExpr("source_file", "'T' AS table_name").distinct())
     assert staged.columns == {"t": ["x", "y"]} and staged.rows("t").selectExpr("count(*)", "sum(x)").first()[:] == (n - 1, sum(range(n)) - 7)
+
+
+def test_widths_are_added_up_without_sorting_lines(spark):
+    from voltline.operators.report import section_widths
+
+    h = (0, -1)
+    rows = [("f", "f", h, 7, 0, "D,1"), ("f", "f", h, 7, 9, "D,1,2,3"), ("f", "f", h, 0, 5, "D,1,2"), ("f", "f", h, 0, 6, "D"), ("f", "f", None, 0, None, "D,x"),
+            ("g", "g", h, 0, 3, "D,1"), ("g", "g", h, 0, None, 'D,"a,b",2'), ("g", "g", h, None, 4, "D")]
+    data = spark.createDataFrame(rows, "source_file string, file_name string, h_pos struct<b:bigint,l:bigint>, block_start bigint, line_id bigint, value string")
+    found = section_widths(data)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.source_file, r.h_pos is None): (r.rows, r.first_width, r.max_width) for r in found.collect()}
+    assert got == {("f", False): (4, 3, 4), ("f", True): (1, 2, 2), ("g", False): (3, 1, 3)}
+
+
+def test_rules_of_inference_stand_in_the_plan_once(spark):
+    from voltline.operators.infer import column_classes
+
+    df = spark.createDataFrame([("1", "2.5", None, "True", "1996/01/02", "9" * 19, "x")] * 3, "a string, b string, c string, d string, e string, f string, g string")
+    plan = lambda cols: column_classes(df, cols)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+    assert plan(df.columns) == plan(["a"])
+    assert [tuple(r) for r in column_classes(df, df.columns).orderBy("i").collect()] == [(0, 3, 3), (1, 3, 2), (2, 0, 7), (3, 3, 4), (4, 3, 0), (5, 3, 0), (6, 3, 0)]
+    assert {k: v.simpleString() for k, v in infer_types(df, df.columns).items()} == dict(
+        a="bigint", b="double", c="double", d="boolean", e="string", f="string", g="string")
+    assert {k: v.simpleString() for k, v in infer_types(df.limit(0), ["a"]).items()} == {"a": "double"}
+
+
+def test_class_of_odd_values(spark):
+    from voltline.operators.infer import value_class
+
+    texts = {None: 7, "": 0, "-": 0, ".": 0, "-.": 0, "5.": 2, "-.5": 2, "+.5": 2, "--5": 0, "-5": 3, " 5 ": 3, "5\n": 3, "9" * 18: 3, "9" * 19: 0, "9223372036854775807": 3,
+             "-9223372036854775808": 3, "0" * 25: 3, "1e5": 2, "1.5e5": 2, "1e999": 2, "1d": 0, "1.5d": 0, "0x1p3": 0, "inf": 2, "-infinity": 2, "NaN": 2, "TRUE": 4, "tRUE": 0, "1/2": 0, "1:2": 0, "1.2.3": 0}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", value_class(F.col("t")).alias("k"))
+    assert {r.t: r.k for r in df.collect()} == texts
+
+
+def test_split_and_csv_rows_of_one_layout(make_lines):
+    text = "I,A,B,1,x,y,z\nD,A,B,1, 1 ,,NA\nD,A,B,1,\"a,\"\"b\"\"\",2,\nD,A,B,1,é\n"
+    rows = parse_report(make_lines({"F.CSV": text})).strings(0, lineage=False).collect()
+    assert sorted((tuple(r) for r in rows), key=str) == sorted([(" 1 ", None, None), ('a,"b"', "2", None), ("é", None, None)], key=str)

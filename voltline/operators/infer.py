@@ -25,16 +25,12 @@ from voltline import catalog
 from voltline.functions.text import quoted
 from voltline.functions.timestamps import parse_market_timestamp, timestamp_layout
 
-# Shapes of integer and decimal text. The pattern is checked before the cast: a failed cast costs an
-# exception inside the JVM, and the pattern also refuses Java-only forms the cast would take (1d, 0x1p3).
+# Shapes of integer and decimal text (every integer is a decimal). The pattern is checked before the cast: a failed cast
+# costs an exception inside the JVM, and the pattern also refuses Java-only forms the cast would take (1d, 0x1p3).
 _INT = r"^\s*[+-]?\d+\s*$"
 _FLOAT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity|nan|NaN)\s*$"
 
 
-def _is_integer(c):
-    return c.rlike(_INT) & c.try_cast("bigint").isNotNull()
-
-
 def _is_decimal(c):
     return c.rlike(_FLOAT) & c.try_cast("double").isNotNull()
 
@@ -43,13 +39,26 @@ def _is_decimal(c):
 _INT_BIT, _NUM_BIT, _BOOL_BIT = 1, 2, 4
 
 
+# Text of so many characters that reads as an integer fits 64 bits, whatever its digits are.
+_SAFE_LENGTH = 18
+_PLAIN_DECIMAL = r"^-?\d+\.\d+$"
+
+
 def value_class(c):
-    """Small integer class of one text value: integer 3, other number 2, true/false word 4, other 0."""
-    return F.when(c.isNull(), F.lit(_INT_BIT | _NUM_BIT | _BOOL_BIT)).otherwise(
-        F.when(_is_integer(c), F.lit(_INT_BIT | _NUM_BIT))
-        .when(c.rlike(_INT), F.lit(0))  # an integer beyond 64 bit keeps its digits as text
-        .when(_is_decimal(c), F.lit(_NUM_BIT))
+    """Small integer class of one text value: integer 3, other number 2, true/false word 4, other 0.
+
+    A pattern costs more than a search for a character, the wide pattern more than the others, so the usual values
+    (plain integers and decimals, times) are told by one pattern at most; other text meets the patterns in turn.
+    """
+    integer = c.rlike(_INT)
+    return (
+        F.when(c.isNull(), F.lit(_INT_BIT | _NUM_BIT | _BOOL_BIT))
+        .when(c.contains("/") | c.contains(":"), F.lit(0))  # no number or word has these
+        .when(c.contains("."), F.when(c.rlike(_PLAIN_DECIMAL) | _is_decimal(c), F.lit(_NUM_BIT)).otherwise(F.lit(0)))
+        .when(integer & (F.length(c) <= _SAFE_LENGTH), F.lit(_INT_BIT | _NUM_BIT))
+        .when(integer, F.when(c.try_cast("bigint").isNotNull(), F.lit(_INT_BIT | _NUM_BIT)).otherwise(F.lit(0)))  # one beyond 64 bit keeps its digits as text
         .when(c.isin(*catalog.TRUE_TOKENS, *catalog.FALSE_TOKENS), F.lit(_BOOL_BIT))
+        .when(_is_decimal(c), F.lit(_NUM_BIT))
         .otherwise(F.lit(0))
     )
 
@@ -59,16 +68,21 @@ def is_datetime_name(name: str) -> bool:
     return any(marker in upper for marker in catalog.DATETIME_NAME_MARKERS)
 
 
+def column_classes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, n, m) of each column: its place in ``columns``, how many values it has, the AND of their classes; no rows, none.
+
+    The values of a row are put below each other, so the rules stand in the plan once, however many columns there are.
+    """
+    values = df.select(F.posexplode(F.array(*[quoted(c) for c in columns])).alias("i", "v"))
+    return values.groupBy("i").agg(F.count("v").alias("n"), F.bit_and(value_class(F.col("v"))).alias("m"))
+
+
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
-    """Infer a type per string column with a single aggregate over ``df`` (two small aggregates per column)."""
-    aggs = []
-    for i, name in enumerate(columns):
-        c = quoted(name)
-        aggs += [F.count(c).alias(f"n{i}"), F.bit_and(value_class(c)).alias(f"m{i}")]
-    if not aggs:
+    """Infer a type per string column with a single aggregate over ``df`` (two small buffers per column)."""
+    if not columns:
         return {}
-    row = df.agg(*aggs).collect()[0]
-    return {name: _type_of(name, row[f"n{i}"], row[f"m{i}"]) for i, name in enumerate(columns)}
+    rows = {r["i"]: (r["n"], r["m"]) for r in column_classes(df, columns).collect()}
+    return {name: _type_of(name, *rows.get(i, (0, None))) for i, name in enumerate(columns)}
 
 
 def _type_of(name: str, values: int, mask: int | None) -> T.DataType:

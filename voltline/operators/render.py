@@ -24,7 +24,8 @@ def render_field(c: Column, dtype: T.DataType) -> Column:
     """One value as report text: NULL -> empty, timestamps as yyyy/MM/dd HH:mm:ss[.ffffff], text quoted when needed."""
     if isinstance(dtype, T.TimestampNTZType):
         # zone-free: the string cast of a TIMESTAMP_NTZ never consults the session time zone
-        text = F.regexp_replace(c.cast("string"), r"^(\d{4})-(\d{2})-(\d{2})", "$1/$2/$3")
+        plain = c.cast("string")
+        text = F.when(F.year(c).between(0, 9999), F.replace(plain, F.lit("-"), F.lit("/"))).otherwise(plain)
     elif isinstance(dtype, T.TimestampType):
         base = F.date_format(c, "yyyy/MM/dd HH:mm:ss")
         frac = F.date_format(c, "SSSSSS")

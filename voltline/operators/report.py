@@ -188,10 +188,13 @@ class ParsedReport:
         rows = self._data_with_sections(secs.select("source_file", "h_pos", "n_pos"))
         schema = ", ".join(f"c{i} string" for i in range(lay.width))
         # the split is a generator output: filters on values derived from the fields cannot be pushed
-        # below it, so each line is parsed exactly once whatever the consumers do
-        fields = F.from_csv("value", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-        parsed = rows.select("source_file", "block_start", "line_id", F.inline(F.array(fields)))
-        named = [null_if_token(F.col(f"c{lay.start_col + j}")).alias(name) for j, name in enumerate(lay.names)]
+        # below it, so each line is parsed exactly once whatever the consumers do; only lines that need it meet the CSV reader
+        by_csv = F.col("value").contains('"') | F.col("value").contains("\n")
+        read = F.when(by_csv, F.from_csv("value", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})).alias("_read")
+        cut = F.when(~by_csv, F.split("value", ",")).alias("_cut")
+        parsed = rows.select("source_file", "block_start", "line_id", F.inline(F.array(F.struct(read, cut))))
+        at = lambda i: F.when(F.col("_cut").isNotNull(), F.get("_cut", F.lit(i))).otherwise(F.col(f"_read.c{i}"))
+        named = [null_if_token(at(lay.start_col + j)).alias(name) for j, name in enumerate(lay.names)]
         keep = [F.col("source_file").alias("_source_file"), F.col("block_start").alias("_block_start"), F.col("line_id").alias("_line_id")] if lineage else []
         return parsed.select(*keep, *named)
 
@@ -273,6 +276,18 @@ class StagedReport:
         return rows.select("source_file", "block_start", "line_id", F.upper("route").alias("table_name"), F.lit("no header before the line").alias("reason"), F.col("line").alias("row"))
 
 
+def section_widths(data: DataFrame) -> DataFrame:
+    """(source_file, file_name, h_pos, rows, first_width, max_width) of the D lines of each section.
+
+    Lines are added up by split first, where a number orders them, so that Spark does it in hash tables: ordered by a
+    struct, the lines themselves would be sorted. A missing position comes first, as in ``pos``.
+    """
+    at = lambda c: F.coalesce(F.col(c), F.lit(-(1 << 63)))
+    lines = data.select("source_file", "file_name", "h_pos", at("block_start").alias("b"), at("line_id").alias("l"), field_count("value").alias("width_"))
+    by_split = lines.groupBy("source_file", "file_name", "h_pos", "b").agg(F.count("*").alias("rows"), F.min_by("width_", "l").alias("first_width"), F.max("width_").alias("max_width"))
+    return by_split.groupBy("source_file", "file_name", "h_pos").agg(F.sum("rows").alias("rows"), F.min_by("first_width", "b").alias("first_width"), F.max("max_width").alias("max_width"))
+
+
 def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     """Parse a lines frame.
 
@@ -316,14 +331,7 @@ def parse_report(lines: DataFrame, sections: str = "nearest") -> ParsedReport:
     # pass 2: every D line, attached to its section when it has one -> width statistics per section,
     # data-line counts per file (lines before any header count as data but belong to no section)
     joined = parsed._data_with_sections(sec.select("source_file", "h_pos", "n_pos"), how="left")
-    stats = materialize(
-        joined.withColumn("width_", field_count("value")).groupBy("source_file", "file_name", "h_pos").agg(
-            F.count("*").alias("rows"),
-            F.min_by("width_", "pos").alias("first_width"),
-            F.max("width_").alias("max_width"),
-        ),
-        "report-stats",
-    )
+    stats = materialize(section_widths(joined), "report-stats")
     data_counts = stats.groupBy("source_file", "file_name").agg(F.sum("rows").cast("bigint").alias("data_lines"))
     files = sec.select("source_file", "file_name", F.col("header_lines").cast("bigint").alias("header_lines")).distinct() \
         .join(data_counts, ["source_file", "file_name"], "full")

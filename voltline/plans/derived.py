@@ -33,11 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ym(ts: str | Column) -> Column:
     """yyyyMM of a TIMESTAMP_NTZ, zone-free (field extraction, not date_format)."""
-    return F.format_string("%04d%02d", F.year(ts), F.month(ts))
+    number = F.year(ts) * 100 + F.month(ts)
+    return F.when(F.year(ts).between(1000, 9999), number.cast("string")).otherwise(F.format_string("%04d%02d", F.year(ts), F.month(ts)))
 
 
 def ymd(ts: str | Column) -> Column:
-    return F.format_string("%04d%02d%02d", F.year(ts), F.month(ts), F.dayofmonth(ts))
+    number = F.year(ts) * 10_000 + F.month(ts) * 100 + F.dayofmonth(ts)
+    return F.when(F.year(ts).between(1000, 9999), number.cast("string")).otherwise(F.format_string("%04d%02d%02d", F.year(ts), F.month(ts), F.dayofmonth(ts)))
 
 
 def month_file(prefix: str, ts: str = "o_orderdate") -> Column:
